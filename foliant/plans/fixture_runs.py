@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from foliant import fixtures as fx
 from foliant.operators.hierarchy import tree_paths
 from foliant.operators.tasks import client_candidates, client_files, task_columns
+from foliant.session import materialize
 
 
 def inventory(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
-    """Inventory of one generation: nodes with path and indent (H1)."""
-    return tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID)
+    """Inventory of one generation: nodes with path and indent (H1), stored."""
+    return materialize(tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID))
 
 
 def client_folders(inv: DataFrame) -> DataFrame:
@@ -29,4 +30,4 @@ def client_folders(inv: DataFrame) -> DataFrame:
 
 def tasks_for(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
     inv = inventory(spark, sf_dir, gen)
-    return task_columns(client_files(inv, client_folders(inv)))
+    return materialize(task_columns(client_files(inv, client_folders(inv))))

@@ -71,3 +71,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = base[len("file:"):]
     path = os.path.join(base, f"{name}-{os.urandom(6).hex()}")
     return path
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary with a reliable checkpoint.
+
+    Used where the pipeline would store a table anyway (inventory, tasks,
+    plans). The data lands in the shared checkpoint folder, so a lost
+    executor does not replay the upstream jobs.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
