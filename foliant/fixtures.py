@@ -100,7 +100,7 @@ def fx_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("c"), "user_id")).alias("parent_id"),
         F.concat(F.lit("order_"), "user_id", F.lit("_v"), e).alias("name"),
         F.lit("application/pdf").alias("mime_type"),
-        (F.floor("value") * 100000).alias("size"))
+        (F.floor("value") * 100000).alias("size"), F.col("ts"))
 
 
 def fx_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +189,7 @@ SQL_VIEWS = {
          concat('o', user_id) file_id, event_type = 'error' removed,
          case when event_id % 499 = 0 then null else concat('c', user_id) end parent_id,
          concat('order_', user_id, '_v', event_id) name, 'application/pdf' mime_type,
-         cast(floor(value) as bigint) * 100000 size
+         cast(floor(value) as bigint) * 100000 size, ts
   from events""",
     "fx_report": """
   select cast(c_custkey as varchar) row_id, c_mktsegment segment, cast(c_nationkey as varchar) code,
@@ -270,4 +270,6 @@ def with_views(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} as ({SQL_VIEWS[n]}\n)" for n in order]
     for n, body in extra or []:
         parts.append(f"{n} as ({body}\n)")
+    if not parts:
+        return ""
     return "with recursive " + ",\n".join(parts) + "\n"
