@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_AREAS = ["tree", "planning", "catalog", "matching", "changes"]
+_AREAS = ["tree", "planning", "catalog", "matching", "changes", "assembly"]
 
 
 def _collect():

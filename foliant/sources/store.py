@@ -144,3 +144,11 @@ def promote_baseline(spark: SparkSession, plans_path: str, clients: DataFrame,
 def full_run_reset(prior: DataFrame, full_run: bool) -> DataFrame:
     """On a full run prior state counts as empty (it is then overwritten)."""
     return prior.limit(0) if full_run else prior
+
+
+def replace_partitions_text(df: DataFrame, path: str, partition_cols: list[str]) -> None:
+    """Text variant of ``replace_partitions`` (one ``value`` column)."""
+    if df.isEmpty():
+        return
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).text(path))
