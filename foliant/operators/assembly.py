@@ -19,6 +19,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The frame lines around each member text.
 START_MARK = "\n--- START OF "
@@ -90,7 +91,7 @@ def join_fragments(fragments: DataFrame, mode: str = "paragraphs") -> DataFrame:
         F.expr("listagg(text, '') within group (order by pos)").alias("text"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_ignore(b: pd.Series) -> pd.Series:
     return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
 
