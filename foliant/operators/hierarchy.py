@@ -16,7 +16,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import first_parent, path_depth
@@ -34,8 +34,26 @@ def with_parent_id(items: DataFrame) -> DataFrame:
     return items.withColumn("parent_id", first_parent("parents"))
 
 
+def _broadcast_bound(spark) -> int:
+    """Largest side (bytes) this module broadcasts: the session's threshold, at
+    least 10 MB, at most 256 MB."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        val = int(str(raw).lower().rstrip("b"))
+    except ValueError:
+        val = 10 * 1024 * 1024
+    return min(max(val, 10 * 1024 * 1024), 256 * 1024 * 1024)
+
+
+def _level_stats(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes (ids + paths) of a level: one small action."""
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.coalesce(F.sum(F.length("path") + F.length("id") + F.lit(16)), F.lit(0)).alias("b")).collect()[0]
+    return int(r["n"]), int(r["b"])
+
+
 def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
-               checkpoint_every: int = 8, broadcast_rows: int = 2_000_000) -> DataFrame:
+               checkpoint_every: int = 8, broadcast_bytes: int | None = None) -> DataFrame:
     """Full path and indent of every node reachable from ``root_id``.
 
     ``nodes`` has at least ``id, parent_id, name, mime_type``; other columns
@@ -43,27 +61,28 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
     ``indent = -1``, its children ``indent = 0``; only folders are descended
     into, like a listing scan. Returns the node columns plus ``path, indent``.
 
-    The folder table is cached once. A level whose counted size is at most
-    ``broadcast_rows`` is broadcast into the join (its size is known from the
-    count the loop needs anyway); larger levels go through a shuffle join.
-    Every ``checkpoint_every`` levels the frontier is checkpointed to the
-    shared checkpoint folder so recovery never replays a long chain.
+    The folder table is cached once. A level is broadcast into the next join
+    only when its measured size (rows and path bytes, taken by the action the
+    loop needs anyway to stop) is below the broadcast bound; larger levels go
+    through a shuffle join. Every ``checkpoint_every`` levels the frontier is
+    checkpointed to the shared folder so recovery never replays a long chain.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
+    bound = broadcast_bytes if broadcast_bytes is not None else _broadcast_bound(spark)
     nodes = with_parent_id(nodes)
     root = nodes.where(F.col("id") == F.lit(root_id))
     folders = nodes.where(F.col("mime_type") == FOLDER_MIME) \
         .select("id", "parent_id", "name").persist(StorageLevel.MEMORY_AND_DISK)
     frontier = root.select("id", F.coalesce("name", F.lit(DEFAULT_ROOT_NAME)).alias("path"),
                            F.lit(-1).alias("indent")).persist(StorageLevel.MEMORY_AND_DISK)
-    count = frontier.count()
-    levels, counts = [frontier], [count]
+    count, size = _level_stats(frontier)
+    levels, total = [frontier], size
     depth = 0
     while count > 0:
         parent = frontier.select(F.col("id").alias("parent_id"), F.col("path").alias("_pp"),
                                  F.col("indent").alias("_pi"))
-        if count <= broadcast_rows:
+        if size <= bound:
             parent = F.broadcast(parent)
         step = folders.join(parent, "parent_id").select(
             "id", F.concat("_pp", F.lit("/"), "name").alias("path"), (F.col("_pi") + 1).alias("indent"))
@@ -74,15 +93,15 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
             step = step.checkpoint()
         else:
             step = step.persist(StorageLevel.MEMORY_AND_DISK)
-        count = step.count()
+        count, size = _level_stats(step)
         if count:
             levels.append(step)
-            counts.append(count)
+            total += size
         frontier = step
     folder_paths = reduce(DataFrame.unionByName, levels)
     parents = folder_paths.select(F.col("id").alias("parent_id"), F.col("path").alias("_pp"),
                                   F.col("indent").alias("_pi"))
-    if sum(counts) <= broadcast_rows:
+    if total <= bound:
         parents = F.broadcast(parents)
     items = nodes.join(parents, "parent_id").withColumn(
         "path", F.concat("_pp", F.lit("/"), "name")).withColumn("indent", F.col("_pi") + 1)
@@ -198,9 +217,3 @@ def render_tree_text(lines: DataFrame) -> DataFrame:
     return lines.groupBy("client").agg(
         F.expr("listagg(concat(line, '\\n'), '') within group "
                "(order by section, pos, ord, path, id)").alias("tree_text"))
-
-
-def dedupe_last(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Last row per key in the given order (a dict build where later wins)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

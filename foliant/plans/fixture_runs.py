@@ -15,9 +15,24 @@ from foliant.operators.tasks import client_candidates, client_files, task_column
 from foliant.session import materialize
 
 
+_STORED: dict = {}
+
+
+def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """A table the pipeline stores once and later stages read (inventory,
+    tasks): built on first use per session and kept in the checkpoint folder."""
+    k = (spark.sparkContext.applicationId,) + key
+    df = _STORED.get(k)
+    if df is None:
+        df = materialize(build())
+        _STORED[k] = df
+    return df
+
+
 def inventory(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
     """Inventory of one generation: nodes with path and indent (H1), stored."""
-    return materialize(tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID))
+    return _stored(spark, ("inventory", sf_dir, gen),
+                   lambda: tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID))
 
 
 def client_folders(inv: DataFrame) -> DataFrame:
@@ -29,5 +44,7 @@ def client_folders(inv: DataFrame) -> DataFrame:
 
 
 def tasks_for(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
-    inv = inventory(spark, sf_dir, gen)
-    return materialize(task_columns(client_files(inv, client_folders(inv))))
+    def build():
+        inv = inventory(spark, sf_dir, gen)
+        return task_columns(client_files(inv, client_folders(inv)))
+    return _stored(spark, ("tasks", sf_dir, gen), build)

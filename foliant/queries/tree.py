@@ -16,7 +16,7 @@ FOLDER = "'application/vnd.google-apps.folder'"
 
 
 def q_tree_paths(spark, sf):
-    return inventory(spark, sf)
+    return H.tree_paths(fx.fx_node(spark, sf), fx.ROOT_ID)
 
 
 def q_path_depth(spark, sf):
