@@ -51,6 +51,7 @@ PLACED_SCHEMA = T.StructType([
 ])
 
 ITEM_COLS = ["client", "fmt", "batch_pos", "batch_id", "item_pos", "file_id", "size"]
+_DTYPES = {f.name: ("int64" if isinstance(f.dataType, T.LongType) else object) for f in PLACED_SCHEMA.fields}
 
 
 def _placer(limit: int):
@@ -102,7 +103,8 @@ def _placer(limit: int):
                 out["batch_pos"].append(pos)
                 out["batch_id"].append(target_id)
                 out["item_pos"].append(item)
-            yield pd.DataFrame(out, columns=PLACED_SCHEMA.fieldNames())
+            if out["file_id"]:
+                yield pd.DataFrame({c: pd.Series(v, dtype=_DTYPES[c]) for c, v in out.items()})
 
     return run
 

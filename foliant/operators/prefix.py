@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import path_depth
+from foliant.session import ensure_checkpoint_dir
 
 
 def _slashes(col):
@@ -92,6 +93,10 @@ def prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
         matched = matched.join(redundant, grp + ["_k", "_anc"], "left_anti")
         # Several folders of one group can share one ancestor string.
         matched = matched.dropDuplicates(grp + ["_k", "_anc"])
+    # The matched-ancestor table is small (one row per matched ancestor); a
+    # reliable checkpoint keeps the final plan from repeating the item lineage.
+    ensure_checkpoint_dir(items.sparkSession)
+    matched = matched.checkpoint()
     out = it.join(matched, ["_k", "_anc"])
     return out.drop("_k", "_anc")
 

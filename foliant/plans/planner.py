@@ -16,7 +16,7 @@ from foliant.operators.packing import repack_batches
 from foliant.operators.plandiff import plan_diff
 from foliant.operators.snapshots import changed_clients, clients_to_replan
 from foliant.operators.tasks import client_files, task_columns
-from foliant.session import BATCH_LIMIT_BYTES
+from foliant.session import BATCH_LIMIT_BYTES, materialize
 
 
 @dataclass
@@ -41,13 +41,14 @@ def plan_clients(inv_now: DataFrame, inv_prev: DataFrame, client_folders: DataFr
     On a full run every client is replanned from an empty history and the
     baseline counts as empty (all ADDED), as after a reset of the plans.
     """
-    members_now = client_files(inv_now, client_folders, boundary)
+    members_now = materialize(client_files(inv_now, client_folders, boundary))
     if full_run:
         replan = clients_to_replan(client_folders, client_folders.limit(0), True)
     else:
-        members_prev = client_files(inv_prev, client_folders, boundary)
+        members_prev = materialize(client_files(inv_prev, client_folders, boundary))
         replan = changed_clients(members_now, members_prev, client_folders)
-    tasks = task_columns(members_now.join(replan, "client", "left_semi"))
+    replan = materialize(replan)
+    tasks = materialize(task_columns(members_now.join(replan, "client", "left_semi")))
     hist_items = last_items.limit(0) if full_run else _only(last_items, replan)
     hist_tasks = last_tasks.limit(0) if full_run else _only(last_tasks, replan)
     items = repack_batches(tasks, hist_items, hist_tasks, limit=limit)

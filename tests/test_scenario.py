@@ -9,6 +9,7 @@ from foliant.operators.packing import pack_batches
 from foliant.operators.plandiff import plan_diff
 from foliant.operators.tasks import client_files, task_columns
 from foliant.plans.planner import plan_clients
+from foliant.session import materialize
 
 FOLDER = "application/vnd.google-apps.folder"
 NODE = "id string, parent_id string, name string, mime_type string, size long"
@@ -20,12 +21,12 @@ def test_walkthrough(spark):
         ("c1", "s", "ACME", FOLDER, None), ("c2", "s", "BETA", FOLDER, None),
         ("f1", "c1", "a.pdf", "application/pdf", 40), ("f2", "c1", "b.txt", "text/plain", 10),
         ("f3", "c2", "c.pdf", "application/pdf", 30)], NODE)
-    inv1 = tree_paths(nodes, "root").select(*CH.INVENTORY_COLS)
+    inv1 = materialize(tree_paths(nodes, "root").select(*CH.INVENTORY_COLS))
     cf = spark.createDataFrame([("ACME", 0, "c1", "ACME", "ROOT/ATUAIS/ACME"),
                                 ("BETA", 0, "c2", "BETA", "ROOT/ATUAIS/BETA")],
                                "client string, pos int, folder_id string, folder_name string, folder_path string")
     tasks1 = task_columns(client_files(inv1, cf))
-    items1 = pack_batches(tasks1, limit=100)
+    items1 = materialize(pack_batches(tasks1, limit=100))
     # processed: the first plan is also the baseline
     base_items, base_tasks = items1, tasks1
 
@@ -34,6 +35,7 @@ def test_walkthrough(spark):
                                "name string, mime_type string, size long")
     inv2, _, rescanned = CH.apply_changes(inv1, nodes, ch, "root", "ROOT")
     assert not rescanned
+    inv2 = materialize(inv2)
     assert inv2.where(F.col("id") == "f4").select("path").collect()[0].path == "ROOT/ATUAIS/ACME/d.pdf"
 
     res = plan_clients(inv2, inv1, cf, items1, tasks1, base_items, base_tasks, limit=100)
