@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import first_parent, path_depth
-from foliant.session import DEFAULT_ROOT_NAME, FOLDER_MIME, ensure_checkpoint_dir
+from foliant.session import DEFAULT_ROOT_NAME, FOLDER_MIME, ensure_checkpoint_dir, materialize
 
 
 class TreeDepthError(RuntimeError):
@@ -90,7 +90,7 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
         if depth > max_depth:
             raise TreeDepthError(f"folder tree deeper than {max_depth} levels (cycle?)")
         if depth % checkpoint_every == 0:
-            step = step.checkpoint()
+            step = materialize(step)
         else:
             step = step.persist(StorageLevel.MEMORY_AND_DISK)
         count, size = _level_stats(step)
@@ -154,7 +154,8 @@ def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
         F.when(F.col("parent_id").isNull() | (F.col("parent_id") == F.lit(root_id)), F.lit(None))
         .otherwise(F.col("parent_id")).alias("cur"),
         F.coalesce("name", F.lit("Unknown")).alias("acc"),
-    ).checkpoint()
+    )
+    state = materialize(state)
     for _ in range(max_depth + 1):
         if state.where(F.col("cur").isNotNull()).isEmpty():
             break
@@ -170,7 +171,7 @@ def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
             F.when(F.col("cur").isNull(), F.col("acc"))
             .otherwise(F.concat(F.coalesce("_pn", F.lit("Unknown")), F.lit("/"), "acc")).alias("acc"),
         )
-        state = step.checkpoint()
+        state = materialize(step)
     else:
         raise TreeDepthError(f"ancestor chain deeper than {max_depth} levels (cycle?)")
     return state.select("id", F.concat(F.lit(label), F.lit("/"), "acc").alias("path"))

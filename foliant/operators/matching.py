@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from foliant.functions import strip_all
 from foliant.operators.hierarchy import with_parent_id
 from foliant.operators.positional import with_global_index
-from foliant.session import REQUEST_BATCH_SIZE, ensure_checkpoint_dir
+from foliant.session import REQUEST_BATCH_SIZE, ensure_checkpoint_dir, materialize
 
 # --- report names ----------------------------------------------------------
 
@@ -266,12 +266,13 @@ def connected_labels(nodes: DataFrame, edges: DataFrame, max_iter: int = 100) ->
     label changes.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
-    labels = nodes.select("norm").distinct().withColumn("label", F.col("norm")).checkpoint()
+    labels = materialize(nodes.select("norm").distinct().withColumn("label", F.col("norm")))
     for _ in range(max_iter):
         prop = edges.join(labels, "norm").select(F.col("other").alias("norm"), F.col("label").alias("_l"))
         new = labels.join(prop.groupBy("norm").agg(F.min("_l").alias("_l")), "norm", "left") \
             .select("norm", F.least("label", F.coalesce("_l", "label")).alias("label"),
-                    (F.coalesce("_l", "label") < F.col("label")).alias("_chg")).checkpoint()
+                    (F.coalesce("_l", "label") < F.col("label")).alias("_chg"))
+        new = materialize(new)
         if new.where("_chg").isEmpty():
             return new.drop("_chg")
         labels = new.drop("_chg")

@@ -9,8 +9,8 @@ exact and uses only equi-joins:
   components equal those of ``F`` and its component ``k`` starts with the last
   component of ``F``.
 * So each item is cut to its ancestor string ``anc_k`` (first ``k+1``
-  components) for the few distinct ``k`` of the folder set (a bounded,
-  broadcast table: at most one row per tree level).
+  components) for the few distinct ``k`` of the folder set (a list bounded by
+  the tree depth, applied with ``explode`` on each item: no join).
 * The *distinct* ancestors are matched to folders by enumerating the prefixes
   of their last component and equi-joining on ``(k, dir, prefix)``: the
   fan-out is the name length, never the number of sibling folders.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import path_depth
-from foliant.session import ensure_checkpoint_dir
+from foliant.session import ensure_checkpoint_dir, materialize
 
 
 def _slashes(col):
@@ -51,15 +51,21 @@ def prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
     end at a ``/`` (``ACME`` does not take ``ACME 2``). Returns the item
     columns plus the folder key columns (and ``folder_path``).
     """
+    spark = items.sparkSession
+    ensure_checkpoint_dir(spark)
     fcols = list(dict.fromkeys(folder_keys + [folder_path]))
     f = folders.select(*fcols).where(F.col(folder_path).isNotNull() & (F.col(folder_path) != ""))
     f = f.withColumn("_k", _slashes(folder_path))
     f = f.withColumn("_dir", _first_components(F.col(folder_path), F.col("_k"))) \
         .withColumn("_base", F.element_at(F.split(folder_path, "/", -1), F.col("_k") + 1))
-    # Distinct slash counts: at most one row per tree level (bounded broadcast).
-    ks = F.broadcast(f.select("_k").distinct())
-    it = items.withColumn("_n", _slashes(item_path))
-    it = it.join(ks, F.col("_n") >= F.col("_k")).drop("_n")
+    f = materialize(f)
+    # Distinct slash counts of the folder paths: at most one value per tree
+    # level, so this list is bounded by the tree depth.
+    ks = sorted(r[0] for r in f.select("_k").distinct().collect())
+    if not ks:
+        return items.join(f.select(*fcols), F.lit(False)).limit(0)
+    n = _slashes(item_path)
+    it = items.withColumn("_k", F.explode(F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k <= n)))
     it = it.withColumn("_anc", _first_components(F.col(item_path), F.col("_k") + 1))
 
     anc = it.select("_k", "_anc").distinct()
@@ -81,22 +87,23 @@ def prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
         raise ValueError("boundary must be 'raw' or 'component'")
 
     if dedupe_by:
-        # Drop a match if a shallower ancestor of the same item already matched
-        # for the same group (then the deeper folder adds nothing).
         grp = list(dedupe_by)
-        m = matched.select(*grp, "_k", "_anc").distinct()
-        up = m.join(ks.withColumnRenamed("_k", "_k1"), F.col("_k1") < F.col("_k")) \
-            .withColumn("_anc1", _first_components(F.col("_anc"), F.col("_k1") + 1))
-        redundant = up.join(
-            m.select(*grp, F.col("_k").alias("_k1"), F.col("_anc").alias("_anc1")),
-            grp + ["_k1", "_anc1"], "left_semi").select(*grp, "_k", "_anc")
-        matched = matched.join(redundant, grp + ["_k", "_anc"], "left_anti")
+        if len(ks) > 1:
+            # Drop a match if a shallower ancestor of the same item already
+            # matched for the same group (then the deeper folder adds nothing).
+            m = materialize(matched.select(*grp, "_k", "_anc").distinct())
+            up = m.withColumn("_k1", F.explode(F.filter(F.array(*[F.lit(k) for k in ks]),
+                                                        lambda k: k < F.col("_k")))) \
+                .withColumn("_anc1", _first_components(F.col("_anc"), F.col("_k1") + 1))
+            redundant = up.join(
+                m.select(*grp, F.col("_k").alias("_k1"), F.col("_anc").alias("_anc1")),
+                grp + ["_k1", "_anc1"], "left_semi").select(*grp, "_k", "_anc")
+            matched = matched.join(redundant, grp + ["_k", "_anc"], "left_anti")
         # Several folders of one group can share one ancestor string.
         matched = matched.dropDuplicates(grp + ["_k", "_anc"])
-    # The matched-ancestor table is small (one row per matched ancestor); a
-    # reliable checkpoint keeps the final plan from repeating the item lineage.
-    ensure_checkpoint_dir(items.sparkSession)
-    matched = matched.checkpoint()
+    # The matched-ancestor table is small (one row per matched ancestor); storing
+    # it keeps the final plan from repeating the item lineage.
+    matched = materialize(matched)
     out = it.join(matched, ["_k", "_anc"])
     return out.drop("_k", "_anc")
 

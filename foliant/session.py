@@ -74,11 +74,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage at a stage boundary with a reliable checkpoint.
+    """Cut lineage at a stage boundary with a written table.
 
     Used where the pipeline would store a table anyway (inventory, tasks,
-    plans). The data lands in the shared checkpoint folder, so a lost
-    executor does not replay the upstream jobs.
+    plans) and inside loops. The table is written as Parquet under the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read back with its
+    schema, so a lost executor never replays the upstream jobs and the
+    optimizer sees real file sizes.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
