@@ -79,7 +79,9 @@ def match_requests(batches: DataFrame, folders: DataFrame) -> DataFrame:
         F.expr("listagg(concat('- ', name), '\\n') within group (order by idx)").alias("names_block"))
     folder_block = folders.agg(F.expr(
         "listagg(concat('- ', name), '\\n') within group (order by sort_key)").alias("folders_block"))
-    return names.crossJoin(folder_block)
+    # One folder block row attached to every request row (a one-row side).
+    return names.withColumn("_one", F.lit(1)) \
+        .join(folder_block.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 # --- responses -------------------------------------------------------------

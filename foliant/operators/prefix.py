@@ -63,7 +63,10 @@ def prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
     # level, so this list is bounded by the tree depth.
     ks = sorted(r[0] for r in f.select("_k").distinct().collect())
     if not ks:
-        return items.join(f.select(*fcols), F.lit(False)).limit(0)
+        empty = items.limit(0)
+        for c in fcols:
+            empty = empty.withColumn(c, F.lit(None).cast(dict(f.dtypes)[c]))
+        return empty
     n = _slashes(item_path)
     it = items.withColumn("_k", F.explode(F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k <= n)))
     it = it.withColumn("_anc", _first_components(F.col(item_path), F.col("_k") + 1))

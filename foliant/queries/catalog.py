@@ -92,8 +92,8 @@ def q_snapshot_rotate(spark, sf):
     schema = inventory(spark, sf).select(*cols).schema
     cur = ST.read_generation(spark, base, schema, "current").withColumn("which", F.lit("current"))
     last = ST.read_generation(spark, base, schema, "last_run").withColumn("which", F.lit("last_run"))
-    gens = spark.createDataFrame([(len(ST.list_generations(spark, base)),)], "n_gens int")
-    return cur.unionByName(last).crossJoin(gens)
+    n_gens = len(ST.list_generations(spark, base))
+    return cur.unionByName(last).withColumn("n_gens", F.lit(n_gens))
 
 
 def _grupo(col="client"):

@@ -236,15 +236,12 @@ _MATCH = [
         union all select unnest(tokens) from nf) group by token"""),
     _prefix_sql("pn", "nn", "name", "freq"),
     _prefix_sql("pf", "nf", "folder_id", "freq"),
-    ("cand", "select distinct pn.name, pf.folder_id from pn join pf using (token)"),
+    ("cpairs", "select distinct pn.name, pf.folder_id from pn join pf using (token)"),
     ("pairs", f"""select * from (select c.name, f.folder_id, f.folder_name, f.folder_path,
           {_score_sql('n.norm', 'f.norm', 'n.tokens', 'f.tokens')} score
-        from cand c join nn n using (name) join nf f using (folder_id))
+        from cpairs c join nn n using (name) join nf f using (folder_id))
         where score * 100 >= {M.THRESHOLD_PCT} - 1e-9"""),
 ]
-# "cand" is used for both candidate folders and candidate pairs; rename the pair one.
-_MATCH[-2] = ("cpairs", _MATCH[-2][1])
-_MATCH[-1] = ("pairs", _MATCH[-1][1].replace("from cand c", "from cpairs c"))
 
 _CONS = [
     _NAMES,
