@@ -103,14 +103,24 @@ def init_store(store: InventoryStore, inventory: DataFrame, nodes: DataFrame) ->
                  "last_poll_day": None})
 
 
+def _span_is_mergeable(nodes: DataFrame, changes: DataFrame) -> bool:
+    """True when no changed id is referenced as a parent, before or after the
+    changes (a semi-join of changed ids against all parent references)."""
+    changed = changes.where(F.col("file_id").isNotNull()).select(F.col("file_id").alias("pid")).distinct()
+    parents = nodes.select(F.col("parent_id").alias("pid")) \
+        .unionByName(changes.select(F.col("parent_id").alias("pid"))).where(F.col("pid").isNotNull())
+    return changed.join(parents, "pid", "left_semi").isEmpty()
+
+
 def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll_col: str = "batch_day"):
     """foreachBatch function: apply the polls of one micro-batch in order.
 
-    Exact shortcut: the node table after several polls is the node table with
+    Exact shortcuts: the node table after several polls is the node table with
     the last change per id applied (last-change-wins composes), and a poll
     that needs a re-walk rebuilds the inventory from nodes alone. So only the
-    last re-walk poll of the micro-batch is walked, and the polls after it are
-    patched one by one in order.
+    last re-walk poll of the micro-batch is walked. The polls after it are
+    patched together when none of their changed ids is a parent of anything
+    (then no ancestor path moves between them), else one by one in order.
     """
     def apply_batch(batch: DataFrame, epoch: int) -> None:
         state = store.state() or {}
@@ -131,6 +141,14 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
             nodes = materialize(apply_to_nodes(nodes, latest_changes(upto)))
             inv = materialize(tree_paths(nodes, root_id).select(*INVENTORY_COLS))
             todo = [d for d in polls if d > rescan_day]
+        if todo and _span_is_mergeable(nodes, batch.where(F.col(poll_col).isin(todo))):
+            # No id changed in these polls is anyone's parent, so no ancestor
+            # changes between them: one patch against the final live nodes
+            # equals patching poll by poll.
+            last = latest_changes(batch.where(F.col(poll_col).isin(todo)))
+            nodes = materialize(apply_to_nodes(nodes, last))
+            inv = materialize(patch_inventory(inv, nodes, last, root_id, root_label))
+            todo = []
         for day in todo:
             day_changes = batch.where(F.col(poll_col) == F.lit(day))
             last = latest_changes(day_changes)

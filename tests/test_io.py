@@ -56,3 +56,20 @@ def test_stream_epoch_replay_is_skipped(spark):
     write(batch, 0)  # replay of the same epoch: no new generation
     assert store.current_gen() == gen
     assert store.state()["last_seq"] == 1
+
+
+def test_stream_keeps_poll_order_when_a_parent_changes(spark):
+    nodes = spark.createDataFrame([("root", None, "ROOT", FOLDER, None), ("F", "root", "old", FOLDER, None)],
+                                  "id string, parent_id string, name string, mime_type string, size long")
+    inv = tree_paths(nodes, "root").select(*CH.INVENTORY_COLS)
+    store = CF.InventoryStore(spark, scratch_dir(spark, "store2"))
+    CF.init_store(store, inv, nodes)
+    batch = spark.createDataFrame([
+        (1, "file", "x", False, "F", "x", "text/plain", 1, None),
+        (2, "file", "F", False, "root", "new", FOLDER, None, None)], CF.CHANGE_FLAT) \
+        .withColumn("batch_day", F.when(F.col("seq") == 1, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02"))
+                    .cast("date"))
+    CF.make_batch_writer(store, "root", "ROOT")(batch, 0)
+    paths = {r.id: r.path for r in store.read("inventory").collect()}
+    # poll 1 placed x under the old name; poll 2 renames F without cascading
+    assert paths == {"root": "ROOT", "F": "ROOT/new", "x": "ROOT/old/x"}
