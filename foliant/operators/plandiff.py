@@ -13,7 +13,7 @@ def assemble_batches(items: DataFrame, tasks: DataFrame | None = None) -> DataFr
     ``source_tasks`` (task structs when ``tasks`` is given, else file ids).
 
     A batch is bounded by the size limit, so this is the unit that is nested;
-    the client-level document keeps batches as rows (``plan_document``).
+    a client's plan stays a set of batch rows (never one row per client).
     """
     src = items
     if tasks is not None:
@@ -34,16 +34,6 @@ def flatten_plan(batches: DataFrame) -> DataFrame:
                           F.posexplode("source_tasks").alias("item_pos", "task"))
 
 
-def plan_document(batches: DataFrame) -> DataFrame:
-    """Per client: ``concatenation_plan`` as map fmt -> ordered batch list."""
-    per_fmt = batches.groupBy("client", "fmt").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(
-            "batch_pos", F.struct("batch_id", "total_size_mb", "source_tasks").alias("b")))),
-            lambda e: e["b"]).alias("batches"))
-    return per_fmt.groupBy("client").agg(
-        F.map_from_entries(F.collect_list(F.struct("fmt", "batches"))).alias("concatenation_plan"))
-
-
 def file_to_batch(items: DataFrame) -> DataFrame:
     return items.select("client", "file_id", "batch_id")
 

@@ -152,3 +152,15 @@ def replace_partitions_text(df: DataFrame, path: str, partition_cols: list[str])
         return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).text(path))
+
+
+def write_ordered_lines(lines: DataFrame, path: str, by: str, order_cols: list[str],
+                        line_col: str = "line") -> None:
+    """One text file set per ``by`` value (tree listing, diff report), lines in
+    ``order_cols`` order: range partitions plus a sort inside each, so part
+    files read in name order give the text without gathering a client's lines
+    into one row."""
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartitionByRange(n, by, *order_cols).sortWithinPartitions(by, *order_cols)
+     .select(by, F.col(line_col).alias("value"))
+     .write.mode("overwrite").partitionBy(by).text(path))

@@ -73,3 +73,21 @@ def test_stream_keeps_poll_order_when_a_parent_changes(spark):
     paths = {r.id: r.path for r in store.read("inventory").collect()}
     # poll 1 placed x under the old name; poll 2 renames F without cascading
     assert paths == {"root": "ROOT", "F": "ROOT/new", "x": "ROOT/old/x"}
+
+
+def test_tree_lines_written_in_order(spark):
+    from foliant.operators.hierarchy import client_tree_lines, render_tree_text
+    from foliant.operators.prefix import prefix_members
+    from foliant.sources.store import write_ordered_lines
+    rows = [("root", None, "ROOT", FOLDER), ("A", "root", "A", FOLDER), ("acme", "A", "ACME", FOLDER)]
+    rows += [(f"f{i:03d}", "acme", f"file{i:03d}.pdf", "application/pdf") for i in range(200)]
+    nodes = spark.createDataFrame(rows, "id string, parent_id string, name string, mime_type string")
+    inv = tree_paths(nodes, "root")
+    cf = spark.createDataFrame([("ACME", 0, "ACME", "ROOT/A/ACME")],
+                               "client string, pos int, folder_name string, folder_path string")
+    lines = client_tree_lines(cf, prefix_members(inv, cf, ["client", "pos"]))
+    expected = render_tree_text(lines).collect()[0].tree_text
+    path = scratch_dir(spark, "trees")
+    write_ordered_lines(lines, path, "client", ["section", "pos", "ord", "path", "id"])
+    parts = sorted(glob.glob(f"{path}/client=ACME/part-*"))
+    assert "".join(open(p, encoding="utf-8").read() for p in parts) == expected
