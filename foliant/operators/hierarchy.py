@@ -53,7 +53,8 @@ def _level_stats(df: DataFrame) -> tuple[int, int]:
 
 
 def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
-               checkpoint_every: int = 8, broadcast_bytes: int | None = None) -> DataFrame:
+               checkpoint_every: int = 8, broadcast_bytes: int | None = None,
+               store_result: bool = True) -> DataFrame:
     """Full path and indent of every node reachable from ``root_id``.
 
     ``nodes`` has at least ``id, parent_id, name, mime_type``; other columns
@@ -66,6 +67,8 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
     loop needs anyway to stop) is below the broadcast bound; larger levels go
     through a shuffle join. Every ``checkpoint_every`` levels the frontier is
     checkpointed to the shared folder so recovery never replays a long chain.
+    With ``store_result`` (default) the result is written as a stage table and
+    the cached intermediates are released before returning.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
@@ -108,7 +111,14 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
     items = items.drop("_pp", "_pi")
     root_row = root.withColumn("path", F.coalesce("name", F.lit(DEFAULT_ROOT_NAME))) \
         .withColumn("indent", F.lit(-1))
-    return items.unionByName(root_row.select(*items.columns))
+    result = items.unionByName(root_row.select(*items.columns))
+    if not store_result:
+        return result
+    # Written as a stage table; then the cached folder table and levels are released.
+    stored = materialize(result)
+    for df in [folders] + levels:
+        df.unpersist()
+    return stored
 
 
 def root_name(inventory: DataFrame, root_id: str) -> DataFrame:

@@ -18,13 +18,15 @@ from foliant.session import materialize
 _STORED: dict = {}
 
 
-def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+def _stored(spark: SparkSession, key: tuple, build, written: bool = False) -> DataFrame:
     """A table the pipeline stores once and later stages read (inventory,
     tasks): built on first use per session and kept in the checkpoint folder."""
     k = (spark.sparkContext.applicationId,) + key
     df = _STORED.get(k)
     if df is None:
-        df = materialize(build())
+        df = build()
+        if not written:
+            df = materialize(df)
         _STORED[k] = df
     return df
 
@@ -32,7 +34,7 @@ def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
 def inventory(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
     """Inventory of one generation: nodes with path and indent (H1), stored."""
     return _stored(spark, ("inventory", sf_dir, gen),
-                   lambda: tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID))
+                   lambda: tree_paths(fx.fx_node(spark, sf_dir, gen), fx.ROOT_ID), written=True)
 
 
 def client_folders(inv: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
             rescan_day = rescans[-1]
             upto = batch.where(F.col(poll_col) <= F.lit(rescan_day))
             nodes = materialize(apply_to_nodes(nodes, latest_changes(upto)))
-            inv = materialize(tree_paths(nodes, root_id).select(*INVENTORY_COLS))
+            inv = tree_paths(nodes, root_id).select(*INVENTORY_COLS)
             todo = [d for d in polls if d > rescan_day]
         if todo and _span_is_mergeable(nodes, batch.where(F.col(poll_col).isin(todo))):
             # No id changed in these polls is anyone's parent, so no ancestor
