@@ -55,8 +55,9 @@ def inventory_to_json_rows(inv: DataFrame) -> DataFrame:
     """Typed inventory -> the JSON-lines shape (size as decimal string)."""
     parents = F.when(F.col("parent_id").isNull(), F.lit(None).cast(T.ArrayType(T.StringType()))) \
         .otherwise(F.array("parent_id"))
+    size = F.col("size") if "size" in inv.columns else F.lit(None)
     return inv.select("id", "name", F.col("mime_type").alias("mimeType"),
-                      F.col("size").cast("string").alias("size"), parents.alias("parents"),
+                      size.cast("string").alias("size"), parents.alias("parents"),
                       "path", "indent")
 
 

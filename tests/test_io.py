@@ -91,3 +91,28 @@ def test_tree_lines_written_in_order(spark):
     write_ordered_lines(lines, path, "client", ["section", "pos", "ord", "path", "id"])
     parts = sorted(glob.glob(f"{path}/client=ACME/part-*"))
     assert "".join(open(p, encoding="utf-8").read() for p in parts) == expected
+
+
+def test_listener_full_scan_and_decision(spark):
+    import datetime as dt
+
+    from foliant.plans import listener as L
+    from foliant.sources.store import list_generations, scan_inventory
+    nodes = spark.createDataFrame([("root", None, "ROOT", FOLDER), ("b", "root", "b", "text/plain"),
+                                   ("a", "root", "a", "text/plain")],
+                                  "id string, parent_id string, name string, mime_type string")
+    base = scratch_dir(spark, "scans")
+    for _ in range(3):
+        L.full_scan(spark, nodes, "root", base)
+    assert list_generations(spark, base) == [2, 3]
+    paths = [r.path for r in scan_inventory(spark, f"{base}/gen=3").collect()]
+    assert sorted(paths) == ["ROOT", "ROOT/a", "ROOT/b"]
+    state_path = scratch_dir(spark, "state")
+    st = L.read_state(spark, state_path)
+    d = L.poll_decision(st, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 12)).collect()[0]
+    assert d.rescan_due and d.report_changed
+    st = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9), dt.datetime(2024, 1, 2), None)], st.schema)
+    L.write_state(st, state_path)
+    d = L.poll_decision(L.read_state(spark, state_path), dt.datetime(2024, 1, 2),
+                        dt.datetime(2024, 1, 2, 12)).collect()[0]
+    assert not d.rescan_due and not d.report_changed
