@@ -193,3 +193,18 @@ def test_name_batches_positions(spark):
     assert [r[0] for r in rows] == list(range(250))
     assert [r[1] for r in rows] == [i // 100 for i in range(250)]
     assert rows[0][2] == "n000" and rows[-1][2] == "n249"
+
+
+def test_deterministic_matcher(spark):
+    names = M.normalize_names(spark.createDataFrame(
+        [("ACME Ltda.",), ("Açaí S A",), ("Beta Corp",), ("acme",), ("Zeta Nine",)], "name string"), "name")
+    assert {r.name: r.norm for r in names.collect()} == {
+        "ACME Ltda.": "ACME", "Açaí S A": "ACAI", "Beta Corp": "BETA", "acme": "ACME", "Zeta Nine": "ZETA NINE"}
+    folders = M.normalize_names(spark.createDataFrame(
+        [("f1", "GRUPO ACME", "R/S/GRUPO ACME"), ("f2", "ACAI", "R/S/ACAI"), ("f3", "Omega", "R/S/Omega")],
+        "folder_id string, folder_name string, folder_path string"), "folder_name")
+    best = {(r.name, r.folder_id) for r in M.match_best(M.match_pairs(names, folders)).collect()}
+    assert best == {("ACME Ltda.", "f1"), ("acme", "f1"), ("Açaí S A", "f2")}
+    masters = {r.name: r.master for r in M.consolidate_names(names).collect()}
+    assert masters["ACME Ltda."] == masters["acme"] == "ACME"
+    assert masters["Zeta Nine"] == "ZETA NINE"
