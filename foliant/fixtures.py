@@ -51,7 +51,7 @@ def fx_node(spark: SparkSession, sf_dir: str, gen: str = "all") -> DataFrame:
     """
     folder = F.lit(FOLDER_MIME)
     null_l = F.lit(None).cast("bigint")
-    null_t = F.lit(None).cast("timestamp")
+    null_t = F.lit(None).cast("timestamp_ntz")
     null_k = F.lit(None).cast("bigint")
     root = spark.range(1).select(
         F.lit(ROOT_ID).alias("id"), F.lit(None).cast("string").alias("parent_id"),

@@ -108,5 +108,5 @@ def output_names(items: DataFrame) -> DataFrame:
     """Output file per batch: 1-based ordinal of the batch in its format list."""
     batches = items.select("client", "fmt", "batch_pos", "batch_id").distinct()
     w = Window.partitionBy("client", "fmt").orderBy("batch_pos")
-    return batches.withColumn("ordinal", F.row_number().over(w)) \
+    return batches.withColumn("ordinal", F.row_number().over(w).cast("long")) \
         .withColumn("output_name", output_file_name(F.col("client"), F.col("ordinal"), F.col("fmt")))

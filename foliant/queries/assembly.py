@@ -136,17 +136,17 @@ _CONCAT = f"""select c.client, c.fmt, c.batch_id, n.output_name, count(*) n_item
 
 SQL = {
     "resolve_contents": _BASE + """select t.client, t.file_id, t.task_type, c.file_id is not null has_output,
-        length(c.text) n_chars from tasks_all t left join fx_content c on c.file_id = t.file_id
+        length(c.text)::int n_chars from tasks_all t left join fx_content c on c.file_id = t.file_id
         where t.task_type <> 'IGNORE'""",
     "missing_outputs": _BASE + """select client, file_id, task_type from tasks_all t where task_type <> 'IGNORE'
         and not exists (select 1 from fx_content c where c.file_id = t.file_id)""",
     "batch_contents": _BASE + """select client, fmt, batch_id, batch_pos, item_pos, file_id, file_name,
-        length(text) n_chars from contents""",
+        length(text)::int n_chars from contents""",
     "concat_texts": _BASE + _CONCAT,
     "batch_manifest": _BASE + """select c.client, n.output_name, c.batch_id, c.item_pos, c.file_id,
         'Source Path: ' || c.file_path header_path, 'Source URL: ' || c.drive_link header_url
         from contents c join names n using (client, fmt, batch_id) where c.fmt = 'pdf'""",
-    "drop_empty_outputs": V("fx_content") + """select file_id, length(text) n_chars from fx_content
+    "drop_empty_outputs": V("fx_content") + """select file_id, length(text)::int n_chars from fx_content
         where text is not null and length(text) > 0""",
     "join_fragments": V("fx_content") + """select file_id, string_agg(t, chr(10) order by pos) text from (
         select file_id, unnest(string_split(text, chr(10))) t, generate_subscripts(string_split(text, chr(10)), 1) pos
@@ -156,6 +156,6 @@ SQL = {
         from fx_content) where t <> '' group by file_id""",
     "read_text_lenient": "select 'o' || doc_id file_id, text || ' tail' text from documents",
     "process_all": _BASE + f"select client, output_name, text from ({_CONCAT})",
-    "plan_roundtrip": _BASE + """select i.client, i.fmt, i.batch_id, i.item_pos, i.file_id, t.file_name
+    "plan_roundtrip": _BASE + """select i.client, i.fmt, i.batch_id, i.item_pos::int item_pos, i.file_id, t.file_name
         from items_all i left join tasks_all t on t.client = i.client and t.file_id = i.file_id""",
 }

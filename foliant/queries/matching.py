@@ -277,10 +277,10 @@ SQL = {
         group by batch_no""",
     "parse_responses": V("fx_response", extra=_PARSE) + """
         select b.batch_no, p.batch_no is not null ok,
-          coalesce(len(json_keys(p.j, '$.consolidation_map')), 0) n_names,
-          coalesce(len(json_keys(p.j, '$.match_map')), 0) n_masters
+          coalesce(len(json_keys(p.j, '$.consolidation_map')), 0)::int n_names,
+          coalesce(len(json_keys(p.j, '$.match_map')), 0)::int n_masters
         from blocks b left join parsed p using (batch_no)""",
-    "merge_match_maps": V("fx_response", extra=_PARSE) + "select master, batch_no, pos, folder_name from ment",
+    "merge_match_maps": V("fx_response", extra=_PARSE) + "select master, batch_no, pos::int pos, folder_name from ment",
     "merge_last_wins": V("fx_response", extra=_PARSE) + """select raw_name, arg_max(master, batch_no) master
         from cons group by raw_name""",
     "rollup_to_group": V("fx_response", "fx_inventory", extra=[*_PARSE, *_FOLDERS, *_ROLL]) +

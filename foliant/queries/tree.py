@@ -153,15 +153,15 @@ def tasks_sql(gen: str = "") -> str:
 SQL = {
     "tree_paths": V("fx_inventory") + "select * from fx_inventory",
     "path_depth": V("fx_inventory") + """select id, indent,
-        length(path) - length(replace(path, '/', '')) - 1 depth from fx_inventory""",
+        (length(path) - length(replace(path, '/', '')) - 1)::int depth from fx_inventory""",
     "children_by_parent": V("fx_inventory") + f"""select parent_id, count(*) n_children,
-        sum(case when mime_type = {FOLDER} then 1 else 0 end) n_folders
+        sum(case when mime_type = {FOLDER} then 1 else 0 end)::bigint n_folders
         from fx_inventory where parent_id is not null group by parent_id""",
     "split_files_folders": V("fx_inventory") + f"""
-        select 'file' kind, count(*) n_items, sum(size) total_size from fx_inventory
+        select 'file' kind, count(*) n_items, sum(size)::bigint total_size from fx_inventory
           where mime_type is null or mime_type <> {FOLDER}
         union all
-        select 'folder', count(*), sum(size) from fx_inventory where mime_type = {FOLDER}""",
+        select 'folder', count(*), sum(size)::bigint from fx_inventory where mime_type = {FOLDER}""",
     "root_name": V("fx_inventory") + """select coalesce(max(name), 'ROOT') root_name
         from fx_inventory where id = 'root'""",
     "client_candidates": V("fx_inventory") + f"""select id, name, path, indent from fx_inventory
@@ -183,7 +183,7 @@ SQL = {
     "task_columns": V("fx_client_folder") + tasks_sql(),
     "active_tasks": V("fx_client_folder") + f"select * from ({tasks_sql()}) where task_type <> 'IGNORE'",
     "tasks_by_format": V("fx_client_folder") + f"""select client, task_type, output_format,
-        count(*) n_files, sum(size) total_bytes from ({tasks_sql()})
+        count(*) n_files, sum(size)::bigint total_bytes from ({tasks_sql()})
         group by client, task_type, output_format""",
     "sanitize_name": V("fx_inventory") + r"""select id, name,
         rtrim(regexp_replace(name, '[^\p{L}\p{N} _]', '', 'g'), ' ') safe_name from fx_inventory""",
