@@ -208,3 +208,21 @@ def test_deterministic_matcher(spark):
     masters = {r.name: r.master for r in M.consolidate_names(names).collect()}
     assert masters["ACME Ltda."] == masters["acme"] == "ACME"
     assert masters["Zeta Nine"] == "ZETA NINE"
+
+
+def test_upward_paths_with_missing_ancestor(spark):
+    from foliant.operators.hierarchy import resolve_changed_paths
+    nodes = spark.createDataFrame([
+        ("root", None, "ROOT"), ("d", "root", "docs"), ("x", "d", "x.pdf"), ("y", "gone", "y.pdf"),
+        ("z", None, "z.pdf")], "id string, parent_id string, name string")
+    ids = spark.createDataFrame([("x",), ("y",), ("z",), ("nope",)], "id string")
+    got = {r.id: r.path for r in resolve_changed_paths(ids, nodes, "root", "ROOT").collect()}
+    assert got == {"x": "ROOT/docs/x.pdf", "y": "ROOT/Unknown/y.pdf", "z": "ROOT/z.pdf", "nope": "ROOT/Unknown"}
+
+
+def test_report_needs_a_fourth_column(spark):
+    narrow = spark.createDataFrame([("1", "a", "b")], "r string, s string, c string")
+    assert M.report_clients(narrow, "r").count() == 0
+    wide = spark.createDataFrame([("1", "a", "b", "  ACME "), ("2", "a", "b", ""), ("3", "a", "b", "ACME")],
+                                 "r string, s string, c string, client string")
+    assert [(x.name, x.ord) for x in M.report_clients(wide, "r").collect()] == [("ACME", 1)]
