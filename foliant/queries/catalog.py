@@ -10,8 +10,8 @@ from foliant.operators import packing as P
 from foliant.operators import snapshots as SN
 from foliant.operators.tasks import client_files
 from foliant.plans.fixture_runs import client_folders, inventory, tasks_for
-from foliant.queries.planning import PACK_ALL, fold_ctes
-from foliant.queries.tree import client_files_sql, tasks_sql
+from foliant.queries.planning import fold_ctes
+from foliant.queries.tree import tasks_sql
 from foliant.schemas import BATCH_ITEM
 from foliant.session import materialize, scratch_dir
 from foliant.sources import catalog as C

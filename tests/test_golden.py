@@ -1,6 +1,5 @@
 """Hand-derived micro-cases (see FIXTURES.md section 4)."""
 
-from pyspark.sql import functions as F
 
 from foliant.functions import classify_task, mb_rounded, sanitize_name
 from foliant.operators import assembly as A
