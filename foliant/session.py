@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,10 +50,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared checkpoint folder the cluster names in spark.checkpoint.dir.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (tests, local runs) a fresh scratch folder
-    is taken.
+    Only in a single-JVM session (``local[...]``: tests, local runs) a scratch
+    folder is taken when nothing is configured. On a cluster a machine-local
+    folder would lose every other executor's files, so there the setting is
+    required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,18 +63,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not single_jvm(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="foliant-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def single_jvm(master: str) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder beside the checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-    return path
+    """A fresh folder beside the checkpoint folder, with the folder's own URI scheme."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{os.urandom(6).hex()}"
+
+
+_STAGES: dict[str, SparkSession] = {}
 
 
 def materialize(df):
@@ -80,9 +89,41 @@ def materialize(df):
     plans) and inside loops. The table is written as Parquet under the shared
     checkpoint folder (``spark.checkpoint.dir``) and read back with its
     schema, so a lost executor never replays the upstream jobs and the
-    optimizer sees real file sizes.
+    optimizer sees real file sizes. ``release`` removes it after its last use;
+    what a returned DataFrame still reads goes when the driver ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    if not _STAGES:
+        atexit.register(release_all)
+    _STAGES[path] = spark
+    return out
+
+
+def release(*frames) -> None:
+    """Remove the tables behind materialized frames that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_stage_path", None)
+        if path and _STAGES.pop(path, None) is not None:
+            _delete(df.sparkSession, path)
+
+
+def release_all() -> None:
+    """Remove every stage table that is left (also run when the driver ends)."""
+    for path, spark in list(_STAGES.items()):
+        _STAGES.pop(path)
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
+
+
+def open_stages() -> list[str]:
+    return sorted(_STAGES)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
