@@ -51,6 +51,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: ASCII characters that are neither letter nor digit.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
@@ -59,13 +61,14 @@ def fold_az(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
-def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and length of each white-space separated word, and the n + 1 word
-    offsets of the rows; words never cross rows."""
+def cut_words(data: np.ndarray, offsets: np.ndarray,
+              between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of each word, and the n + 1 word offsets of the rows; words
+    never cross rows. ``between`` marks the bytes that separate words."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~between[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = edge[:-1].copy()
