@@ -5,19 +5,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import quality_rules as rules
+from foliant.llm import decontaminate, quality_classifier, quality_rules, sentencepiece_codec, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op1_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.digest(decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op6_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark, sf_dir):
-    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_classifier(spark, sf_dir):
+    return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_decontaminate": op2_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontaminate": decontaminate.SQL,
+}
