@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import decontaminate, quality_classifier, quality_rules, sentencepiece_codec, toxicity
+from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op2_decontaminate(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,6 +45,7 @@ def op10_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
+    "op4_near_dedup": op4_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
