@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, toxicity
+from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,10 +51,12 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op4_near_dedup": op4_near_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
 SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
+    "op7_warc": warc.SQL,
 }
