@@ -236,8 +236,8 @@ SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS h FROM pages),
 f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
 SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-           CAST(((CAST('0x' || substr(h, CAST((k // 4) * 5 + 1 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(h, CAST((k // 4) * 5 + 1 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1 AS BIGINT), 1) for k in range(0, 32)], '') AS payload_digest,
        CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM p JOIN f USING (h)
