@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, toxicity, warc
+from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark, sf_dir):
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
