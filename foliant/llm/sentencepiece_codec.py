@@ -36,9 +36,8 @@ from pyspark.sql import functions as F
 from foliant.llm.text import hash_spans, mix, runs, small_batches, utf8
 
 #: Bytes of text after which a block is closed.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 12 << 20
 MARK = "▁"
-_LIST_COLUMNS = {"doc_id": "bigint"}
 
 
 def processor(path: str):
@@ -46,6 +45,23 @@ def processor(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def _packed(array: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed."""
+    import zstandard
+    width = array.dtype.itemsize
+    return zstandard.ZstdCompressor(level=3).compress(array.view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _unpacked(blob: bytes, kind: str) -> np.ndarray:
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _id_kind(sp) -> str:
+    return "<u2" if sp.vocab_size() <= 1 << 16 else "<i4"
+
+
 def check_markers(path: str) -> None:
     """Refuse a vocabulary in which a piece could cross the start of a marked word."""
     sp = processor(path)
@@ -110,7 +126,8 @@ def _numbered(block: pa.Table, buckets: int):
     data, offsets = utf8(coded.dictionary)
     hashes = hash_spans(data, offsets[:-1], np.diff(offsets))
     bucket = (hashes % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
+    by_word = pc.sort_indices(coded.dictionary).to_numpy()  # neighbours share prefixes and compress well
+    order = by_word[np.argsort(bucket[by_word], kind="stable")]
     number = np.empty(len(order), np.int32)
     number[order] = np.arange(len(order), dtype=np.int32)
     at = number[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
@@ -121,34 +138,46 @@ def _numbered(block: pa.Table, buckets: int):
 
 
 def _word_lists(buckets: int, block_bytes: int):
+    import zstandard
+
     def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
         for block in _blocks(batches, block_bytes):
             name, _, _, words, bucket = _numbered(block, buckets)
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
             if not len(words):
                 continue
-            offsets = np.append(starts, len(words)).astype(np.int32)
+            ends = np.append(starts[1:], len(words))
+            lists = []
+            for a, b in zip(starts, ends):
+                data, offsets = utf8(words.slice(a, b - a))
+                lists.append((_packed(np.diff(offsets).astype("<i4")), pack.compress(data.tobytes())))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(starts), name, np.int64)), pa.array(bucket[starts].astype(np.int32)),
-                 pa.array(starts.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), words)],
-                ["block", "bucket", "first", "words"])
+                 pa.array(starts.astype(np.int32)), pa.array([n for n, _ in lists], pa.binary()),
+                 pa.array([d for _, d in lists], pa.binary())], ["block", "bucket", "first", "lengths", "words"])
     return run
 
 
 def _segment(path: str):
+    import zstandard
+
     def run(batches):
         sp = processor(path)
-        lone = np.array([sp.piece_to_id(MARK)], np.int32)
+        kind, unpack = _id_kind(sp), zstandard.ZstdDecompressor()
+        lone = np.array([sp.piece_to_id(MARK)], kind)
         known: dict[str, np.ndarray] = {"": lone}
         for batch in batches:
             out = []
-            for words in batch.column("words").to_pylist():
+            for lengths, data in zip(batch.column("lengths").to_pylist(), batch.column("words").to_pylist()):
+                text, ends = unpack.decompress(data), np.cumsum(_unpacked(lengths, "<i4"))
+                words = [text[a:b].decode() for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
                 fresh = [w for w in words if w not in known]
                 for w, ids in zip(fresh, sp.encode(fresh, num_threads=1) if fresh else []):
-                    known[w] = np.array(ids, np.int32)
+                    known[w] = np.array(ids, kind)
                 ids = [known[w] for w in words]
-                counts = np.fromiter(map(len, ids), np.int32, len(ids))
-                out.append((counts.tobytes(), np.concatenate(ids).astype(np.int32).tobytes()))
+                counts = np.fromiter(map(len, ids), "<i4", len(ids))
+                out.append((_packed(counts), _packed(np.concatenate(ids))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("first"), pa.array([c for c, _ in out], pa.binary()),
                  pa.array([i for _, i in out], pa.binary()), pa.nulls(len(out), pa.list_(pa.int64()))],
@@ -157,16 +186,12 @@ def _segment(path: str):
 
 
 def _positions(buckets: int, block_bytes: int):
-    import zstandard
-
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
         for block in _blocks(batches, block_bytes):
             name, counts, at, _, _ = _numbered(block, buckets)
-            planes = at.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()  # bytes of equal weight together
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name], pa.int64()), pa.array([-1], pa.int32()),
-                 pa.array([np.asarray(counts, np.int32).tobytes()], pa.binary()), pa.array([pack.compress(planes)], pa.binary()),
+                 pa.array([_packed(np.asarray(counts).astype("<i4"))], pa.binary()), pa.array([_packed(at.astype("<i4"))], pa.binary()),
                  pa.array([block.column("doc_id").to_pylist()], pa.list_(pa.int64()))],
                 ["block", "first", "counts", "ids", "doc_ids"])
     return run
@@ -174,15 +199,12 @@ def _positions(buckets: int, block_bytes: int):
 
 def _joined(path: str, with_ids: bool, with_text: bool):
     """Rows sorted by block and first number -> documents with their ids."""
-    import zstandard
-
     def documents(head, lists, sp, decimal):
         n_ids = np.concatenate([c for c, _ in lists]) if lists else np.zeros(0, np.int32)
         flat = np.concatenate([i for _, i in lists]) if lists else np.zeros(0, np.int32)
         starts = np.cumsum(n_ids, dtype=np.int64) - n_ids
         doc_ids, counts, packed = head
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8) if packed else np.zeros(0, np.uint8)
-        at = planes.reshape(4, -1).T.copy().view("<i4").ravel() if len(planes) else np.zeros(0, np.int32)
+        at = _unpacked(packed, "<i4")
         if len(at) and at.max() >= len(n_ids):
             raise RuntimeError("a block's words did not all come back")
         begin, rows = 0, []
@@ -202,7 +224,8 @@ def _joined(path: str, with_ids: bool, with_text: bool):
     def run(batches):
         sp = processor(path)
         decimal = [str(i).encode() for i in range(sp.vocab_size())]
-        block, head, lists, expect = None, None, [], 0
+        kind = _id_kind(sp)
+        block, head, lists, expect, copies = None, None, [], 0, []
 
         def flush():
             for rows in documents(head, lists, sp, decimal) if head else ():
@@ -223,20 +246,20 @@ def _joined(path: str, with_ids: bool, with_text: bool):
                                                            ("block", "first", "counts", "ids", "doc_ids")]):
                 if first < 0:
                     if name == block:  # equal blocks (repeated rows) share the word lists
-                        copies.append((doc_ids, np.frombuffer(counts, np.int32), ids))
+                        copies.append((doc_ids, _unpacked(counts, "<i4"), ids))
                         continue
-                    for c in copies if block is not None else ():
+                    for c in copies:
                         head = c
                         yield from flush()
                     block, lists, expect = name, [], 0
-                    copies = [(doc_ids, np.frombuffer(counts, np.int32), ids)]
+                    copies = [(doc_ids, _unpacked(counts, "<i4"), ids)]
                 elif first == expect:
-                    n = np.frombuffer(counts, np.int32)
-                    lists.append((n, np.frombuffer(ids, np.int32)))
+                    n = _unpacked(counts, "<i4")
+                    lists.append((n, _unpacked(ids, kind)))
                     expect += len(n)
                 elif first > expect:
                     raise RuntimeError("a block's words did not all come back")
-        for c in copies if block is not None else ():
+        for c in copies:
             head = c
             yield from flush()
     return run
@@ -251,7 +274,7 @@ def encode(docs: DataFrame, model_path: str, block_bytes: int = BLOCK_BYTES, wit
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    words = docs.mapInArrow(_word_lists(buckets, block_bytes), "block bigint, bucket int, first int, words array<string>")
+    words = docs.mapInArrow(_word_lists(buckets, block_bytes), "block bigint, bucket int, first int, lengths binary, words binary")
     coded = "block bigint, first int, counts binary, ids binary, doc_ids array<bigint>"
     ids = words.repartition(buckets, "bucket").mapInArrow(_segment(model_path), coded)
     heads = docs.mapInArrow(_positions(buckets, block_bytes), coded)
