@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import decontaminate, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc
+from foliant.llm import (decontaminate, lm_scoring, near_dedup, quality_classifier, quality_rules, sentencepiece_codec,
+                         suffix_dedup, toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op2_decontaminate(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_lm_scoring(spark, sf_dir):
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_near_dedup": op4_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
