@@ -76,14 +76,15 @@ def tokens(wins: DataFrame, k: int = TOKEN) -> DataFrame:
 def places(docs: DataFrame, toks: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
     """Header row (``pos`` null) of every document and the places of benchmark tokens.
 
-    Columns ``rid, doc_id, n_words, k, pos, g, gw``.
+    Columns ``rid, doc_id, hash, n_words, k, pos, g, gw``; ``hash`` is the text's.
     """
     sizes = sorted(r["k"] for r in toks.select("k").distinct().collect())  # at most TOKEN rows
     # the hash alone, so that the lookup has one long key; the words are compared later
     known = toks.select(F.col("g").alias("_g")).distinct()
     if known.count() <= broadcast_tokens:
         known = F.broadcast(known)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", item_words(F.col("text")).alias("w")) \
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("hash"),
+                       item_words(F.col("text")).alias("w")) \
         .withColumn("h", _word_hashes(F.col("w")))
     lists, k_of, pos_of, first = [F.array(F.lit(None).cast("bigint"))], F.lit(0), F.lit(None).cast("int"), F.lit(1)
     for k in sizes:
@@ -92,11 +93,11 @@ def places(docs: DataFrame, toks: DataFrame, broadcast_tokens: int = BROADCAST_T
         pos_of = F.when(F.col("i") >= first, F.col("i") - first).otherwise(pos_of)
         first = first + F.greatest(F.size("w") - (k - 1), F.lit(0))
     # outer: the plain form would compute the array twice, once to drop empty ones
-    each = rows.select("rid", "doc_id", "w", F.posexplode_outer(F.concat(*lists)).alias("i", "g")) \
-        .select("rid", "doc_id", "w", k_of.alias("k"), pos_of.alias("pos"), "g")
+    each = rows.select("rid", "doc_id", "hash", "w", F.posexplode_outer(F.concat(*lists)).alias("i", "g")) \
+        .select("rid", "doc_id", "hash", "w", k_of.alias("k"), pos_of.alias("pos"), "g")
     found = each.join(known, F.col("g") == F.col("_g"), "left") \
         .where(F.col("_g").isNotNull() | F.col("pos").isNull())
-    return found.select("rid", "doc_id", F.size("w").alias("n_words"), "k", "pos", "g",
+    return found.select("rid", "doc_id", "hash", F.size("w").alias("n_words"), "k", "pos", "g",
                         F.when(F.col("pos").isNotNull(),
                                F.array_join(F.slice("w", F.col("pos") + 1, F.col("k")), " ")).alias("gw"))
 
@@ -125,7 +126,7 @@ def hits(found: DataFrame, toks: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items, contaminated`` of every row of ``docs``.
+    """``doc_id, hash, n_words, n_hit, n_items, items, contaminated`` of every row of ``docs``.
 
     ``items`` is the sorted array of the ids of the items with occurring windows.
     """
@@ -143,10 +144,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("rid").agg(F.sum("fresh").alias("n_hit"))
     items = occurring.select("rid", "wid").distinct().join(names, "wid").groupBy("rid") \
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
-    heads = found.where("pos is null").select("rid", "doc_id", "n_words")
+    heads = found.where("pos is null").select("rid", "doc_id", "hash", "n_words")
     out = materialize(
         heads.join(covered, "rid", "left").join(items, "rid", "left").select(
-            "doc_id", F.col("n_words").cast("long").alias("n_words"),
+            "doc_id", "hash", F.col("n_words").cast("long").alias("n_words"),
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"))
         .withColumn("contaminated", F.col("n_hit") > 0))
@@ -154,6 +155,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark window, with all their columns."""
+    hit = decontaminate(docs, benchmark).where("contaminated") \
+        .select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["_hash"]), "left_anti")
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The contract's columns from the operator's rows."""
     return result.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

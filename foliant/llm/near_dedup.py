@@ -268,3 +268,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         placed = placed.join(again, F.col("doc_id") == F.col("id"), "left") \
             .select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
     return placed.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each group, with all columns: the one of the smallest doc_id
+    (of rows that repeat it, one). Rows without doc_id stay."""
+    kept = near_dedup(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    kept = materialize(kept.select(F.col("doc_id").alias("_id"), "_n"))
+    rows = docs.join(kept.select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+    if not kept.where("_n > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where("doc_id is null"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import (decontaminate, lm_scoring, near_dedup, quality_classifier, quality_rules, sentencepiece_codec,
-                         suffix_dedup, toxicity, warc)
+from foliant.llm import (decontaminate, license_scan, lm_scoring, near_dedup, quality_classifier, quality_rules,
+                         sentencepiece_codec, suffix_dedup, toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark, sf_dir):
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_near_dedup": op4_near_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,

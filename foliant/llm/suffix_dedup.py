@@ -471,25 +471,43 @@ def removed(docs: DataFrame) -> DataFrame:
         _remove, _FIGURES.replace("doc_id", "num") + ", kept_text string")
 
 
-def _is_key(rows: DataFrame) -> bool:
-    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where("n > 1 or doc_id is null").isEmpty()
-
-
-def suffix_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for,
-    ``kept_text`` of every row of ``docs`` (``doc_id, text``)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
-    if _is_key(rows):
-        return removed(rows.select(F.col("doc_id").alias("num"), "text")).withColumnRenamed("num", "doc_id").select(*names)
-    # number the distinct rows by doc_id (null last) and hash of the text; equal rows share a number
-    rows = rows.withColumn("_h", F.sha2("text", 256))
-    keys = materialize(rows.select(F.col("doc_id").isNull().alias("_last"), "doc_id", "_h").distinct())
-    numbers = materialize(with_global_index(keys, ["_last", "doc_id", "_h"], "num")) \
-        .select(F.col("doc_id").alias("_d"), F.col("_h").alias("_hh"), "num")
-    own = rows.join(numbers, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_hh"))) \
-        .select("doc_id", "num", "text")
-    own = materialize(own)
-    figures = removed(own.groupBy("num").agg(F.first("text").alias("text")))
-    return own.select("doc_id", "num").join(figures, "num").select(*names)
+def with_numbers(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_num``, the place of a row's document in the order of documents.
+
+    That is the doc_id where it is a key. Else rows are numbered by doc_id (null
+    last) and hash of the text; equal rows share a number.
+    """
+    counts = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if counts.where("n > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("_num", F.col("doc_id").cast("bigint"))
+    rows = docs.withColumn("_h", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keys = materialize(rows.select(F.col("doc_id").isNull().alias("_last"), F.col("doc_id").alias("_d"), F.col("_h").alias("_hh")).distinct())
+    numbers = materialize(with_global_index(keys, ["_last", "_d", "_hh"], "_num")).drop("_last")
+    return materialize(rows.join(numbers, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_hh")))
+                       .drop("_h", "_d", "_hh"))
+
+
+def _figures(rows: DataFrame, one_each: bool) -> DataFrame:
+    texts = rows.select(F.col("_num").alias("num"), F.coalesce("text", F.lit("")).alias("text"))
+    return removed(texts if one_each else texts.groupBy("num").agg(F.first("text").alias("text")))
+
+
+def suffix_dedup(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs`` (``doc_id, text``)."""
+    rows = with_numbers(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    if not hasattr(rows, "_stage_path"):  # the doc_id is the number
+        return _figures(rows, True).withColumnRenamed("num", "doc_id").select(*names)
+    return rows.select("doc_id", "_num").join(_figures(rows, False), F.col("_num") == F.col("num")).select(*names)
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with what is left of each text (a null text stays null) and, where
+    there is such a column, ``n_chars`` of it."""
+    rows = with_numbers(docs)
+    left = _figures(rows, not hasattr(rows, "_stage_path")).select("num", F.col("kept_text").alias("_kept"))
+    rows = rows.withColumn("_null", F.col("text").isNull()).drop("text").join(left, F.col("_num") == F.col("num")) \
+        .withColumn("text", F.when(~F.col("_null"), F.col("_kept")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
