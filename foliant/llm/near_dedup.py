@@ -258,7 +258,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     reps = members.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles") \
         .agg(F.min("doc_id").alias("rep"))
     placed = members.join(reps, ["digest", "n_shingles"], "left").join(linked, F.col("rep") == F.col("id"), "left") \
-        .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+                .alias("component_id"))
     # a doc_id with several texts links all their classes
     several = placed.where("doc_id is not null").groupBy("doc_id") \
         .agg(F.min("component_id").alias("_lo"), F.max("component_id").alias("_hi")).where("_lo <> _hi")

@@ -505,8 +505,8 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with what is left of each text (a null text stays null) and, where
     there is such a column, ``n_chars`` of it."""
     rows = with_numbers(docs)
-    left = _figures(rows, not hasattr(rows, "_stage_path")).select("num", F.col("kept_text").alias("_kept"))
-    rows = rows.withColumn("_null", F.col("text").isNull()).drop("text").join(left, F.col("_num") == F.col("num")) \
+    left = _figures(rows, not hasattr(rows, "_stage_path")).select(F.col("num").alias("_key"), F.col("kept_text").alias("_kept"))
+    rows = rows.withColumn("_null", F.col("text").isNull()).drop("text").join(left, F.col("_num") == F.col("_key")) \
         .withColumn("text", F.when(~F.col("_null"), F.col("_kept")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
