@@ -2,7 +2,9 @@
 
 Every round is joins and aggregations on edges, so one huge component spreads
 over all tasks, and the number of rounds grows with the logarithm of the largest
-component, not with its diameter. There is no bound on the rounds.
+component, not with its diameter. There is no bound on the rounds. Up to ``SMALL``
+edges the rounds run in one task each, without a shuffle, since the time would
+otherwise go into starting tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 
 from foliant.session import materialize, release
 
+SMALL = 200_000
+
 
 def _star(directed: DataFrame) -> DataFrame:
     """``u, v, m``: m is the smallest of u and all its v."""
@@ -44,7 +48,8 @@ def connected_components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFr
     current = materialize(pairs)
     mark = _mark(current)
     while True:
-        following = materialize(_small(_large(current)))
+        rounds = current.coalesce(1) if mark[0] <= SMALL else current
+        following = materialize(_small(_large(rounds)))
         release(current)
         current, before, mark = following, mark, _mark(following)
         if mark == before:
