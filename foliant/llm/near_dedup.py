@@ -11,8 +11,9 @@ goes to the child of each chosen coordinate's minwise token.
    (linear in the child's size, however many copies it holds). The pairs that
    the sketches allow are confirmed on the full sets and joined to components.
 2. The trees go on below the root children that still hold several components.
-   Nodes of up to ``LEAF`` classes are compared exhaustively, between components
-   only; larger nodes branch again. After ``LEVELS`` levels, what is left in
+   Nodes with up to ``LEAF_PAIRS`` pairs between components are compared
+   exhaustively (a node of one large component and a few other classes is such
+   a one); larger nodes branch again. After ``LEVELS`` levels, what is left in
    large nodes is compared by a join of the classes outside the node's largest
    component with the node, so no pair is dropped for its node's size.
 3. All pairs that the sketches allow are confirmed on the full sets.
@@ -43,7 +44,9 @@ from foliant.session import materialize, release
 WORDS = 5
 #: Documents link with 100 * intersection >= PERCENT * union.
 PERCENT = 75
-COORDS, TREES, LEAF, LEVELS = 128, 10, 64, 6
+COORDS, TREES, LEVELS = 128, 10, 6
+#: Nodes are compared exhaustively up to so many pairs between components, and so many classes.
+LEAF_PAIRS, LEAF_ROWS = 100_000, 20_000
 #: Equal sketch coordinates that a pair needs to be confirmed: 0.75 less 3.9 standard deviations.
 MIN_EQUAL = 77
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,12 +140,16 @@ def _leaf_pairs(batches):
         reps = np.array([r[0] for r in rows], np.int64)
         labels = np.array([r[1] for r in rows], np.int64)
         m = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, COORDS)
-        a, b = np.triu_indices(len(rows), 1)
-        apart = labels[a] != labels[b]
-        a, b = a[apart], b[apart]
-        ok = (m[a] == m[b]).sum(axis=1) >= MIN_EQUAL
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(reps[a[ok]], reps[b[ok]])),
-                                           pa.array(np.maximum(reps[a[ok]], reps[b[ok]]))], ["a", "b"])
+        names, own, sizes = np.unique(labels, return_inverse=True, return_counts=True)
+        order = np.argsort(-sizes[own], kind="stable")  # the largest component first: it is never the outer side
+        reps, labels, m = reps[order], labels[order], m[order]
+        a, b = [], []
+        for i in range(sizes.max(), len(rows)):
+            hit = np.flatnonzero(((m[:i] == m[i]).sum(axis=1) >= MIN_EQUAL) & (labels[:i] != labels[i]))
+            a.append(reps[hit])
+            b.append(np.full(len(hit), reps[i]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     for batch in batches:
         for n, *row in zip(*[batch.column(c).to_pylist() for c in ("node", "rep", "label", "sketch")]):
@@ -180,15 +187,11 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         .mapInArrow(_allowed, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of doc_ids whose texts' full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
     one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    out = materialize(both.mapInArrow(_confirm, "a bigint, b bigint").distinct())
-    release(texts)
-    return out
+    return materialize(both.mapInArrow(_confirm, "a bigint, b bigint").distinct())
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -197,42 +200,50 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open_nodes(rows: DataFrame) -> DataFrame:
-    """Nodes that hold several components, with their size."""
-    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_lo"), F.max("label").alias("_hi")) \
-        .where("_lo <> _hi").select("node", "size")
+    """Nodes that hold several components, and whether they are small enough to compare."""
+    sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
+    leaf = (F.col("n") * F.col("n") - F.col("sq") <= 2 * LEAF_PAIRS) & (F.col("n") <= LEAF_ROWS)
+    return sizes.where("labels > 1").select("node", leaf.alias("leaf"))
 
 
 def near_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """``id, component`` of the class representatives that link with another class."""
     classes = materialize(sketched.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles")
                           .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")).select("rep", "sketch"))
-    roots = materialize(classes.mapInArrow(_roots, "node bigint, rep bigint").distinct())
+    roots = classes.mapInArrow(_roots, "node bigint, rep bigint")
+    heads = roots.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("_b")).where("a < _b").select("node", "a")
+    shared = materialize(roots.join(heads.hint("merge"), "node"))  # root children of several classes
+    # their texts, once; the hint keeps the plan the same at every size
+    ids = shared.select(F.col("rep").alias("doc_id")).distinct()
+    texts = materialize(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"))
     # 1. stars of the root children
-    heads = roots.groupBy("node").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    stars = roots.join(heads, "node").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    stars = shared.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     nearest = _with_sketches(stars, classes).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = confirmed(materialize(nearest), docs)
+    first = confirmed(nearest, texts)
     labels = materialize(connected_components(first, "a", "b"))
     # 2. the trees below, between components only
-    rows = _labelled(roots, labels)
+    rows = materialize(_labelled(shared, labels))
     pairs = None
     for level in range(LEVELS + 1):
-        rows = materialize(rows.join(_open_nodes(rows), "node").select("node", "rep", "label", "size"))
-        sketched_rows = rows.join(classes, "rep")
-        leaves = sketched_rows.where(F.col("size") <= LEAF).select("node", "rep", "label", "sketch")
+        rows = materialize(rows.join(_open_nodes(rows), "node").select("node", "rep", "label", "leaf"))
+        leaves = rows.where("leaf").join(classes, "rep").select("node", "rep", "label", "sketch")
         found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, "a bigint, b bigint")
-        large = sketched_rows.where(F.col("size") > LEAF)
+        large = rows.where("not leaf")
+        last = level == LEVELS or large.isEmpty()
         if level == LEVELS:
-            found = found.unionByName(_rest(rows.where(F.col("size") > LEAF), classes))
+            found = found.unionByName(_rest(large, classes))
         found = materialize(found.distinct())
         pairs = found if pairs is None else pairs.unionByName(found)
-        if level == LEVELS or rows.where(F.col("size") > LEAF).isEmpty():
+        if last:
             break
-        rows = large.select("node", "rep", "label", "sketch") \
-            .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct()
+        rows = materialize(large.join(classes, "rep").select("node", "rep", "label", "sketch")
+                           .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct())
     # 3. confirm
-    second = confirmed(materialize(pairs.distinct()), docs)
-    return materialize(connected_components(first.unionByName(second), "a", "b"))
+    second = confirmed(pairs.distinct(), texts)
+    linked = materialize(connected_components(first.unionByName(second), "a", "b"))
+    release(classes, shared, texts)
+    return linked
 
 
 def _rest(rows: DataFrame, classes: DataFrame) -> DataFrame:

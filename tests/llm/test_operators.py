@@ -144,7 +144,7 @@ def test_near_dedup_equals_brute_force(odd_docs, no_docs):
 
 def test_near_dedup_in_large_nodes(spark, monkeypatch):
     """Small leaves and few levels drive every branch: stars, branching and the rest join."""
-    monkeypatch.setattr(near_dedup, "LEAF", 2)
+    monkeypatch.setattr(near_dedup, "LEAF_PAIRS", 2)
     monkeypatch.setattr(near_dedup, "LEVELS", 1)
     base = english(100, 1).split()
     rows = [(i, " ".join(base[:i % 30] + [f"n{i}"] + base[i % 30 + 1:])) for i in range(40)]
