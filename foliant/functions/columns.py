@@ -32,9 +32,13 @@ def first_parent(col="parents") -> Column:
     return F.try_element_at(_c(col), F.lit(1))
 
 
+# Fixed value: the characters that ``str.strip`` takes off.
+WHITE_SPACE = "\\t-\\r\\x1c-\\x20\\x85\\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_all(col) -> Column:
     """Python ``str.strip()``: drop leading and trailing whitespace."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(col), f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
 
 
 def sanitize_name(col) -> Column:

@@ -38,7 +38,7 @@ def resolve_contents(tasks: DataFrame, extracted: DataFrame) -> DataFrame:
 def missing_outputs(tasks: DataFrame, extracted: DataFrame) -> DataFrame:
     """Non-ignored tasks that produced no output (the run must not go on)."""
     return tasks.where(F.col("task_type") != "IGNORE") \
-        .join(extracted.select("file_id"), "file_id", "left_anti")
+        .join(extracted.where(F.col("text").isNotNull()).select("file_id"), "file_id", "left_anti")
 
 
 def assert_all_outputs(tasks: DataFrame, extracted: DataFrame) -> None:
@@ -51,7 +51,8 @@ def batch_contents(items: DataFrame, extracted: DataFrame, tasks: DataFrame) ->
     """Batch members with their text and task fields; order (batch_pos, item_pos)
     kept as columns, members without content dropped."""
     t = tasks.select("client", "file_id", "file_name", "file_path", "drive_link")
-    return items.join(extracted.select("file_id", "text"), "file_id").join(t, ["client", "file_id"], "left")
+    produced = extracted.where(F.col("text").isNotNull()).select("file_id", "text")
+    return items.join(produced, "file_id").join(t, ["client", "file_id"], "left")
 
 
 def framed_piece(name_col="file_name", text_col="text"):
@@ -69,8 +70,8 @@ def concat_texts(contents: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def batch_manifest(contents: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows of each ``pdf`` output: order and the header lines of every page."""
-    pdf = contents.where(F.col("fmt") == "pdf")
+    """Rows of each ``pdf`` and ``mp3`` output: order and the header lines of every member."""
+    pdf = contents.where(F.col("fmt").isin("pdf", "mp3"))
     return pdf.join(names.select("client", "fmt", "batch_id", "output_name"), ["client", "fmt", "batch_id"]) \
         .select("client", "output_name", "batch_id", "item_pos", "file_id",
                 F.concat(F.lit("Source Path: "), F.col("file_path")).alias("header_path"),
@@ -87,8 +88,9 @@ def join_fragments(fragments: DataFrame, mode: str = "paragraphs") -> DataFrame:
     if mode == "paragraphs":
         return fragments.groupBy("file_id").agg(
             F.expr("listagg(text, '\\n') within group (order by pos)").alias("text"))
-    return fragments.where(F.col("text") != "").groupBy("file_id").agg(
-        F.expr("listagg(text, '') within group (order by pos)").alias("text"))
+    # a file of empty pages only keeps its (empty) text
+    return fragments.groupBy("file_id").agg(
+        F.expr("coalesce(listagg(text, '') within group (order by pos), '')").alias("text"))
 
 
 @F.pandas_udf(T.StringType())
@@ -100,7 +102,9 @@ def decode_lenient(content_col="content"):
     """Bytes to text dropping malformed UTF-8 sequences: the JVM cast for
     valid input, an Arrow-batched decode only for the invalid rows."""
     as_str = F.col(content_col).cast("string")
-    return F.when(F.is_valid_utf8(as_str), as_str).otherwise(_decode_ignore(F.col(content_col)))
+    valid = F.is_valid_utf8(as_str)
+    # the function's input is null for valid rows, so their bytes stay in the JVM
+    return F.when(valid, as_str).otherwise(_decode_ignore(F.when(~valid, F.col(content_col))))
 
 
 def read_text_lenient(spark, path: str) -> DataFrame:

@@ -40,7 +40,7 @@ def flatten_changes(nested: DataFrame) -> DataFrame:
 def rescan_predicate():
     """Per change: does it force the whole batch to a full re-walk?"""
     removed = F.coalesce(F.col("removed"), F.lit(False))
-    return (F.col("change_type") == "drive") | (
+    return (F.coalesce("change_type", F.lit("")) == "drive") | (
         ~removed & (F.col("file_id").isNull() | F.col("parent_id").isNull()))
 
 
@@ -54,7 +54,8 @@ def latest_changes(changes: DataFrame) -> DataFrame:
     """Last change per file id (feed order = ``seq``); ``max_by`` aggregates on
     the map side, so a hot id never gathers its history in one task."""
     cols = [c for c in changes.columns if c != "file_id"]
-    last = changes.where(F.col("file_id").isNotNull() & (F.col("change_type") == "file")) \
+    # only changes of the drive itself carry no file; a missing or other type is a file change
+    last = changes.where(F.col("file_id").isNotNull() & (F.coalesce("change_type", F.lit("")) != "drive")) \
         .groupBy("file_id").agg(F.max_by(F.struct(*cols), F.col("seq")).alias("c"))
     return last.select("file_id", "c.*")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import first_parent, path_depth
-from foliant.session import DEFAULT_ROOT_NAME, FOLDER_MIME, ensure_checkpoint_dir, materialize
+from foliant.session import DEFAULT_ROOT_NAME, FOLDER_MIME, ensure_checkpoint_dir, materialize, release
 
 
 class TreeDepthError(RuntimeError):
@@ -36,23 +36,23 @@ def with_parent_id(items: DataFrame) -> DataFrame:
 
 def _broadcast_bound(spark) -> int:
     """Largest side (bytes) this module broadcasts: the session's threshold, at
-    least 10 MB, at most 256 MB."""
+    least 10 MB, at most 256 MB; none where the session has turned broadcasts off."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
         val = int(str(raw).lower().rstrip("b"))
     except ValueError:
         val = 10 * 1024 * 1024
-    return min(max(val, 10 * 1024 * 1024), 256 * 1024 * 1024)
+    return -1 if val < 0 else min(max(val, 10 * 1024 * 1024), 256 * 1024 * 1024)
 
 
 def _level_stats(df: DataFrame) -> tuple[int, int]:
     """Rows and approximate bytes (ids + paths) of a level: one small action."""
     r = df.agg(F.count(F.lit(1)).alias("n"),
-               F.coalesce(F.sum(F.length("path") + F.length("id") + F.lit(16)), F.lit(0)).alias("b")).collect()[0]
+               F.coalesce(F.sum(F.octet_length("path") + F.octet_length("id") + F.lit(16)), F.lit(0)).alias("b")).collect()[0]
     return int(r["n"]), int(r["b"])
 
 
-def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
+def tree_paths(nodes: DataFrame, root_id: str,
                checkpoint_every: int = 8, broadcast_bytes: int | None = None,
                store_result: bool = True) -> DataFrame:
     """Full path and indent of every node reachable from ``root_id``.
@@ -68,20 +68,22 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
     through a shuffle join. Every ``checkpoint_every`` levels the frontier is
     checkpointed to the shared folder so recovery never replays a long chain.
     With ``store_result`` (default) the result is written as a stage table and
-    the cached intermediates are released before returning.
+    the cached intermediates are released before returning. There is no bound
+    on the depth: a walk longer than the number of folders has met a cycle
+    (ids that repeat with several parents) and raises.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
     bound = broadcast_bytes if broadcast_bytes is not None else _broadcast_bound(spark)
     nodes = with_parent_id(nodes)
     root = nodes.where(F.col("id") == F.lit(root_id))
-    folders = nodes.where(F.col("mime_type") == FOLDER_MIME) \
+    folders = nodes.where((F.col("mime_type") == FOLDER_MIME) & (F.col("id") != F.lit(root_id))) \
         .select("id", "parent_id", "name").persist(StorageLevel.MEMORY_AND_DISK)
     frontier = root.select("id", F.coalesce("name", F.lit(DEFAULT_ROOT_NAME)).alias("path"),
                            F.lit(-1).alias("indent")).persist(StorageLevel.MEMORY_AND_DISK)
     count, size = _level_stats(frontier)
     levels, total = [frontier], size
-    depth = 0
+    depth, checked = 0, 64
     while count > 0:
         parent = frontier.select(F.col("id").alias("parent_id"), F.col("path").alias("_pp"),
                                  F.col("indent").alias("_pi"))
@@ -90,8 +92,10 @@ def tree_paths(nodes: DataFrame, root_id: str, max_depth: int = 100,
         step = folders.join(parent, "parent_id").select(
             "id", F.concat("_pp", F.lit("/"), "name").alias("path"), (F.col("_pi") + 1).alias("indent"))
         depth += 1
-        if depth > max_depth:
-            raise TreeDepthError(f"folder tree deeper than {max_depth} levels (cycle?)")
+        if depth > checked:
+            checked = folders.count()
+            if depth > checked:
+                raise TreeDepthError(f"a path longer than the {checked} folders: the tree has a cycle")
         if depth % checkpoint_every == 0:
             step = materialize(step)
         else:
@@ -144,7 +148,7 @@ def with_path_depth(inventory: DataFrame, col: str = "path", out: str = "depth")
 
 
 def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
-                          root_label: str | None = None, max_depth: int = 100) -> DataFrame:
+                          root_label: str | None = None) -> DataFrame:
     """Path of each changed id, resolved upward through the *latest* node table.
 
     ``changed``: ``id`` (distinct). ``nodes``: ``id, parent_id, name`` of the
@@ -153,7 +157,9 @@ def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
     ``<root>/<name or Unknown>``; otherwise ``<parent path>/<name or Unknown>``.
     Only the ancestors of changed ids are visited: each round joins the
     current ancestor pointer with the node table (pointer chasing), so the
-    work is (changed ids) x (depth), not the whole tree.
+    work is (changed ids) x (depth), not the whole tree. There is no bound on
+    the depth; a pointer that comes back to where it was (the mark is set
+    anew in rounds 1, 2, 4, 8, ...) is in a cycle and raises.
     """
     label = root_label or DEFAULT_ROOT_NAME
     nodes = nodes.select("id", "parent_id", "name")
@@ -164,11 +170,17 @@ def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
         F.when(F.col("parent_id").isNull() | (F.col("parent_id") == F.lit(root_id)), F.lit(None))
         .otherwise(F.col("parent_id")).alias("cur"),
         F.coalesce("name", F.lit("Unknown")).alias("acc"),
-    )
+    ).withColumn("mark", F.lit(None).cast(nodes.schema["id"].dataType))
     state = materialize(state)
-    for _ in range(max_depth + 1):
-        if state.where(F.col("cur").isNotNull()).isEmpty():
+    rounds = 0
+    while True:
+        left = state.agg(F.count("cur").alias("n"), F.count(F.when(F.col("cur") == F.col("mark"), 1)).alias("same")).first()
+        if left["same"]:
+            raise TreeDepthError("an ancestor chain comes back to where it was: the tree has a cycle")
+        if not left["n"]:
             break
+        rounds += 1
+        mark = F.col("cur") if rounds & (rounds - 1) == 0 else F.col("mark")
         step = state.join(nodes.select(F.col("id").alias("cur"), F.col("parent_id").alias("_pp"),
                                        F.col("name").alias("_pn")), "cur", "left")
         # A missing ancestor resolves to <root>/Unknown, like an upward lookup that
@@ -180,10 +192,11 @@ def resolve_changed_paths(changed: DataFrame, nodes: DataFrame, root_id: str,
             .otherwise(F.col("_pp")).alias("cur"),
             F.when(F.col("cur").isNull(), F.col("acc"))
             .otherwise(F.concat(F.coalesce("_pn", F.lit("Unknown")), F.lit("/"), "acc")).alias("acc"),
+            mark.alias("mark"),
         )
-        state = materialize(step)
-    else:
-        raise TreeDepthError(f"ancestor chain deeper than {max_depth} levels (cycle?)")
+        following = materialize(step)
+        release(state)
+        state = following
     return state.select("id", F.concat(F.lit(label), F.lit("/"), "acc").alias("path"))
 
 

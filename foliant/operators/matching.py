@@ -7,9 +7,10 @@ Two halves:
   answer, merge of per-batch answers (later wins), roll-up of GRUPO
   sub-folders and resolution of folder names to folder rows.
 * A deterministic, distributed matcher that replaces the model call:
-  normalised names, candidate pairs by exact prefix filtering on rare tokens,
-  a score ``greatest(edit similarity, token Jaccard)``, best folders per name
-  and name clusters by connected components.
+  normalised names, candidate pairs by prefix filtering on rare tokens and by
+  segments that small edits leave unchanged (together exact), a score
+  ``greatest(edit similarity, token Jaccard)``, best folders per name and name
+  clusters by connected components.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.functions import strip_all
+from foliant.operators.components import connected_components
 from foliant.operators.hierarchy import with_parent_id
 from foliant.operators.positional import with_global_index
-from foliant.session import REQUEST_BATCH_SIZE, ensure_checkpoint_dir, materialize
+from foliant.session import REQUEST_BATCH_SIZE
 
 # --- report names ----------------------------------------------------------
 
@@ -98,7 +100,9 @@ def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFra
     """``batch_no, ok, parsed``: the first fenced JSON block parsed; blocked,
     unfenced or invalid answers have ``ok = false`` (their names stay new)."""
     block = F.regexp_extract(F.col(text_col), FENCE_PATTERN, 1)
-    parsed = F.from_json(F.when(block != "", block), RESPONSE_SCHEMA, {"mode": "PERMISSIVE"})
+    # one JSON value and nothing behind it, and that an object
+    whole = F.startswith(F.trim(block), F.lit("{")) & (F.json_array_length(F.concat(F.lit("["), block, F.lit("]"))) == 1)
+    parsed = F.from_json(F.when(F.coalesce(whole, F.lit(False)), block), RESPONSE_SCHEMA, {"mode": "PERMISSIVE"})
     out = responses.select("batch_no", parsed.alias("parsed"))
     ok = F.col("parsed").isNotNull() & (F.col("parsed.consolidation_map").isNotNull()
                                         | F.col("parsed.match_map").isNotNull())
@@ -121,6 +125,18 @@ def match_entries(parsed: DataFrame) -> DataFrame:
     return m.select("batch_no", "master", F.posexplode("folders").alias("pos", "folder_name"))
 
 
+def match_masters(parsed: DataFrame) -> DataFrame:
+    """``batch_no, master``: every master of the answers, also those with an empty list."""
+    return parsed.where("ok").select("batch_no", F.explode(F.map_keys(F.coalesce(
+        "parsed.match_map", F.create_map().cast("map<string,array<string>>")))).alias("master"))
+
+
+def rejected_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
+    """The answers that gave no result, whole, to be looked at or asked again."""
+    bad = parse_responses(responses, text_col).where(~F.col("ok")).select("batch_no")
+    return responses.join(bad, "batch_no", "left_semi")
+
+
 def merge_last_wins(df: DataFrame, key: str, value: str, priority: str) -> DataFrame:
     """One value per key: the one with the highest priority (a later update wins)."""
     return df.groupBy(key).agg(F.max_by(F.col(value), F.col(priority)).alias(value))
@@ -182,12 +198,15 @@ THRESHOLD_PCT = 85
 
 def normalize_names(df: DataFrame, col: str, out: str = "norm") -> DataFrame:
     """Upper case, fold accents, punctuation to space, drop legal forms
-    (including the pair ``S A``) and ``GRUPO``, collapse spaces. Empty -> dropped."""
+    (including the pair ``S A``) and ``GRUPO``, collapse spaces. A name of which
+    nothing is left keeps its stripped raw text, so every name gets a master."""
     s = F.translate(F.upper(F.col(col)), ACCENTS_FROM, ACCENTS_TO)
     s = F.regexp_replace(s, r"[^A-Z0-9]+", " ")
     s = F.regexp_replace(F.concat(F.lit(" "), s, F.lit(" ")), r" S A ", " ")
     stop = F.array(*[F.lit(t) for t in STOP_TOKENS])
     toks = F.filter(F.split(F.trim(s), " +"), lambda t: (t != "") & ~F.array_contains(stop, t))
+    raw = F.array(strip_all(F.col(col)))
+    toks = F.when(F.size(toks) > 0, toks).otherwise(raw)
     return df.withColumn("tokens", F.array_sort(F.array_distinct(toks))) \
         .withColumn(out, F.array_join(toks, " ")).where(F.col(out) != "")
 
@@ -220,22 +239,70 @@ def token_frequencies(*sides: DataFrame) -> DataFrame:
     return toks.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
 
 
+def _edits(length):
+    """Edits that a pair may differ by whose longer name has this length."""
+    return F.floor(F.lit(100 - THRESHOLD_PCT) * length / 100).cast("int")
+
+
+def _cut(length, edits, k):
+    """Start (0-based) and length of segment ``k`` of ``edits + 1`` nearly even ones."""
+    parts = edits + 1
+    base, long_from = F.floor(length / parts).cast("int"), parts - length % parts
+    return k * base + F.greatest(F.lit(0), k - long_from), base + (k >= long_from).cast("int")
+
+
+def _edit_candidates(short: DataFrame, long: DataFrame) -> DataFrame:
+    """``a, b``: pairs with ``|a| <= |b|`` that may be within the edits of ``b``.
+
+    ``b`` is cut into one segment more than the edits allow, so one of them
+    stands unchanged in ``a``, at most that many places from its own. Exact
+    equi-joins on (length of b, segment number, segment text).
+    """
+    own = long.select(F.col("norm").alias("b"), F.length("norm").alias("n")).withColumn("t", _edits(F.col("n"))) \
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
+    start, size = _cut(F.col("n"), F.col("t"), F.col("k"))
+    index = own.select("b", "n", "k", start.alias("s"), size.alias("z")) \
+        .select("b", "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
+    probe = short.select(F.col("norm").alias("a"), F.length("norm").alias("m"))
+    reach = F.ceil(F.col("m") * 100 / F.lit(THRESHOLD_PCT)).cast("int")
+    probe = probe.withColumn("n", F.explode(F.sequence(F.col("m"), F.greatest(reach, F.col("m"))))).withColumn("t", _edits(F.col("n"))) \
+        .where(F.col("n") - F.col("t") <= F.col("m")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
+    start, size = _cut(F.col("n"), F.col("t"), F.col("k"))
+    probe = probe.withColumn("s", start).withColumn("z", size) \
+        .withColumn("lo", F.greatest(F.lit(0), F.col("s") - F.col("t"))) \
+        .withColumn("hi", F.least(F.col("m") - F.col("z"), F.col("s") + F.col("t"))).where("lo <= hi") \
+        .withColumn("p", F.explode(F.sequence("lo", "hi"))) \
+        .select("a", "n", "k", F.col("a").substr(F.col("p") + 1, F.col("z")).alias("seg")).distinct()
+    return probe.join(index, ["n", "k", "seg"]).select("a", "b").distinct()
+
+
+def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``norm, other``: every pair that can pass the threshold by tokens or by edits."""
+    freq = token_frequencies(left, right)
+    shared = _prefix_tokens(left, freq, "norm").join(
+        _prefix_tokens(right, freq, "norm").withColumnRenamed("norm", "other"), "token").select("norm", "other")
+    up = _edit_candidates(left, right).select(F.col("a").alias("norm"), F.col("b").alias("other"))
+    down = _edit_candidates(right, left).select(F.col("b").alias("norm"), F.col("a").alias("other"))
+    return shared.unionByName(up).unionByName(down).distinct()
+
+
+def _scored(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    pairs = candidates.join(left.select("norm", F.col("tokens").alias("_ta")), "norm") \
+        .join(right.select(F.col("norm").alias("other"), F.col("tokens").alias("_tb")), "other")
+    score = _score(F.col("norm"), F.col("other"), F.col("_ta"), F.col("_tb"))
+    return pairs.select("norm", "other", score.alias("score")).where(F.col("score") * 100 >= THRESHOLD_PCT - 1e-9)
+
+
 def match_pairs(names: DataFrame, folders: DataFrame) -> DataFrame:
-    """Scored (name, folder) pairs with score >= threshold.
+    """Scored (name, folder) pairs with score >= threshold, all of them.
 
     ``names``: ``name, norm, tokens``; ``folders``: ``folder_id, folder_name,
-    folder_path, norm, tokens``. Candidates share a prefix token.
+    folder_path, norm, tokens``. Distinct normal forms are scored once.
     """
-    freq = token_frequencies(names, folders)
-    n = names.select("name", "norm", "tokens")
-    f = folders.select("folder_id", "folder_name", "folder_path", F.col("norm").alias("fnorm"),
-                       F.col("tokens").alias("ftokens"))
-    np_ = _prefix_tokens(n, freq, "name")
-    fp = _prefix_tokens(folders.select("folder_id", "tokens"), freq, "folder_id")
-    cand = np_.join(fp, "token").select("name", "folder_id").distinct()
-    pairs = cand.join(n, "name").join(f, "folder_id")
-    scored = pairs.withColumn("score", _score(F.col("norm"), F.col("fnorm"), F.col("tokens"), F.col("ftokens")))
-    return scored.where(F.col("score") * 100 >= THRESHOLD_PCT - 1e-9) \
+    left, right = names.select("norm", "tokens").distinct(), folders.select("norm", "tokens").distinct()
+    scored = _scored(_candidates(left, right), left, right)
+    return scored.join(names.select("name", "norm"), "norm") \
+        .join(folders.select("folder_id", "folder_name", "folder_path", F.col("norm").alias("other")), "other") \
         .select("name", "folder_id", "folder_name", "folder_path", "score")
 
 
@@ -246,39 +313,16 @@ def match_best(pairs: DataFrame) -> DataFrame:
 
 
 def name_edges(names: DataFrame) -> DataFrame:
-    """Symmetric edges between distinct normalised names that match each other."""
-    freq = token_frequencies(names)
+    """Edges ``norm, other`` (norm the smaller) between normal forms that match each other."""
     u = names.select("norm", "tokens").distinct()
-    p = _prefix_tokens(u, freq, "norm")
-    cand = p.join(p.withColumnRenamed("norm", "other"), "token") \
-        .where(F.col("norm") < F.col("other")).select("norm", "other").distinct()
-    a = u.select("norm", F.col("tokens").alias("ta"))
-    b = u.select(F.col("norm").alias("other"), F.col("tokens").alias("tb"))
-    sc = cand.join(a, "norm").join(b, "other") \
-        .withColumn("score", _score(F.col("norm"), F.col("other"), F.col("ta"), F.col("tb")))
-    e = sc.where(F.col("score") * 100 >= THRESHOLD_PCT - 1e-9).select("norm", "other")
-    return e.unionByName(e.select(F.col("other").alias("norm"), F.col("norm").alias("other")))
-
-
-def connected_labels(nodes: DataFrame, edges: DataFrame, max_iter: int = 100) -> DataFrame:
-    """Min-label propagation: ``norm, label`` = smallest node of its component.
-
-    Each round joins labels along edges (partitioned by node, so one huge
-    component spreads over all tasks) and is checkpointed; it stops when no
-    label changes.
-    """
-    ensure_checkpoint_dir(nodes.sparkSession)
-    labels = materialize(nodes.select("norm").distinct().withColumn("label", F.col("norm")))
-    for _ in range(max_iter):
-        prop = edges.join(labels, "norm").select(F.col("other").alias("norm"), F.col("label").alias("_l"))
-        new = labels.join(prop.groupBy("norm").agg(F.min("_l").alias("_l")), "norm", "left") \
-            .select("norm", F.least("label", F.coalesce("_l", "label")).alias("label"),
-                    (F.coalesce("_l", "label") < F.col("label")).alias("_chg"))
-        new = materialize(new)
-        if new.where("_chg").isEmpty():
-            return new.drop("_chg")
-        labels = new.drop("_chg")
-    raise RuntimeError("label propagation did not converge")
+    return _scored(_candidates(u, u).where(F.col("norm") < F.col("other")), u, u).select("norm", "other")
+
+
+def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``norm, label`` = smallest node of its component."""
+    found = connected_components(edges, "norm", "other")
+    own = nodes.select("norm").distinct()
+    return own.join(found, own["norm"] == found["id"], "left").select("norm", F.coalesce("component", "norm").alias("label"))
 
 
 def consolidate_names(names: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliant.session import materialize
+
 
 def _local_numbering(batches):
     start = 0
@@ -36,7 +38,8 @@ def with_global_index(df: DataFrame, order_cols: list[str], out: str = "idx",
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     schema = T.StructType(ordered.schema.fields + [T.StructField("_part", T.IntegerType()),
                                                    T.StructField("_local", T.LongType())])
-    numbered = ordered.mapInPandas(_local_numbering, schema)
+    # stored once: counts and rows must come from one evaluation of the sampled ranges
+    numbered = materialize(ordered.mapInPandas(_local_numbering, schema))
     counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -34,14 +34,15 @@ def full_scan(spark: SparkSession, nodes: DataFrame, root_id: str, base: str) ->
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """One-row state; missing state = never scanned, no report seen."""
-    st = ST.optional_table(spark, path, LISTENER_STATE)
+    st = ST.read_generation(spark, path, LISTENER_STATE)
     if st.isEmpty():
         return spark.createDataFrame([(None, None, None)], LISTENER_STATE)
     return st
 
 
 def write_state(state: DataFrame, path: str) -> None:
-    state.coalesce(1).write.mode("overwrite").parquet(path)
+    """A new generation, so a state derived from the stored one can be written."""
+    ST.rotate_snapshot(state.coalesce(1), path)
 
 
 def poll_decision(state: DataFrame, latest_report_mtime, now: dt.datetime, full_run: bool = False,

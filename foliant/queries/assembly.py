@@ -145,7 +145,7 @@ SQL = {
     "concat_texts": _BASE + _CONCAT,
     "batch_manifest": _BASE + """select c.client, n.output_name, c.batch_id, c.item_pos, c.file_id,
         'Source Path: ' || c.file_path header_path, 'Source URL: ' || c.drive_link header_url
-        from contents c join names n using (client, fmt, batch_id) where c.fmt = 'pdf'""",
+        from contents c join names n using (client, fmt, batch_id) where c.fmt in ('pdf', 'mp3')""",
     "drop_empty_outputs": V("fx_content") + """select file_id, length(text)::int n_chars from fx_content
         where text is not null and length(text) > 0""",
     "join_fragments": V("fx_content") + """select file_id, string_agg(t, chr(10) order by pos) text from (
@@ -153,7 +153,7 @@ SQL = {
         from fx_content) group by file_id""",
     "join_fragments_pages": V("fx_content") + """select file_id, string_agg(t, '' order by pos) text from (
         select file_id, unnest(string_split(text, chr(10))) t, generate_subscripts(string_split(text, chr(10)), 1) pos
-        from fx_content) where t <> '' group by file_id""",
+        from fx_content) group by file_id""",
     "read_text_lenient": "select 'o' || doc_id file_id, text || ' tail' text from documents",
     "process_all": _BASE + f"select client, output_name, text from ({_CONCAT})",
     "plan_roundtrip": _BASE + """select i.client, i.fmt, i.batch_id, i.item_pos::int item_pos, i.file_id, t.file_name

@@ -216,9 +216,11 @@ SQL = {
         select *, row_number() over (partition by parent_id order by id) rn
         from fx_catalog where name = 'drive_scan.jsonl' and not coalesce(trashed, false)) where rn = 1""",
     "select_plans": V("fx_catalog") + """select id, name from fx_catalog where contains(name, '_plan.json')
-        and not contains(name, '_last_run') and not contains(name, '_last_processed')""",
+        and not contains(name, '_last_run') and not contains(name, '_last_processed')
+        and not coalesce(trashed, false)""",
     "select_plans_test": V("fx_catalog") + """select id, name from fx_catalog where contains(name, '_plan.json')
         and not contains(name, '_last_run') and not contains(name, '_last_processed')
+        and not coalesce(trashed, false)
         order by name, id limit 2""",
     "list_children": V("fx_client_folder", "fx_catalog") + """select k.parent_id, k.id, k.name from fx_catalog k
         where not coalesce(k.trashed, false) and k.parent_id in

@@ -24,8 +24,9 @@ def _base(spark, sf):
 
 
 def _patchable(changes):
-    return changes.where((F.col("change_type") == "file") & F.col("file_id").isNotNull()
-                         & (F.col("removed") | F.col("parent_id").isNotNull()))
+    """The polls, whole, that need no re-walk."""
+    polls = CH.needs_rescan(changes, ["batch_day"]).where(~F.col("needs_rescan")).select("batch_day")
+    return changes.join(polls, "batch_day", "left_semi")
 
 
 def q_latest_changes(spark, sf):
@@ -118,9 +119,11 @@ QUERIES = {
 }
 
 _LAST = ("last", """select * from (select *, row_number() over (partition by file_id order by seq desc) rn
-    from fx_change where change_type = 'file' and file_id is not null) where rn = 1""")
+    from fx_change where coalesce(change_type, '') <> 'drive' and file_id is not null) where rn = 1""")
 _PLAST = ("last", """select * from (select *, row_number() over (partition by file_id order by seq desc) rn
-    from fx_change where change_type = 'file' and file_id is not null and (removed or parent_id is not null))
+    from fx_change where coalesce(change_type, '') <> 'drive' and file_id is not null and batch_day not in (
+        select batch_day from fx_change group by batch_day having bool_or(coalesce(change_type, '') = 'drive'
+          or (not coalesce(removed, false) and (file_id is null or parent_id is null)))))
     where rn = 1""")
 _LIVE = [
     ("live", """select id, parent_id, name, mime_type, size from fx_node

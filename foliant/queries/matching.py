@@ -104,7 +104,7 @@ def q_incremental_match(spark, sf):
     new_e = ent.where(F.col("batch_no") >= SPLIT_BATCH).select("master", "folder_name")
     old = M.resolve_folders(M.rollup_to_group(old_e, folders), folders)
     new = M.resolve_folders(M.rollup_to_group(new_e, folders), folders)
-    new_keys = new_e.select(F.col("master").alias("client"))
+    new_keys = M.match_masters(parsed).where(F.col("batch_no") >= SPLIT_BATCH).select(F.col("master").alias("client"))
     return M.incremental_merge(old, new, "client", new_keys)
 
 
@@ -169,8 +169,10 @@ QUERIES = {
 
 # --------------------------------------------------------------------------- SQL
 
-_NAMES = ("names", r"""select regexp_replace(client, '^\s+|\s+$', '', 'g') name, min(cast(row_id as bigint)) ord
-    from fx_report where regexp_replace(client, '^\s+|\s+$', '', 'g') <> '' group by 1""")
+# The characters that ``str.strip`` takes off, in DuckDB's pattern syntax.
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NAMES = ("names", f"""select regexp_replace(client, '^{_WS}+|{_WS}+$', '', 'g') name, min(cast(row_id as bigint)) ord
+    from fx_report where regexp_replace(client, '^{_WS}+|{_WS}+$', '', 'g') <> '' group by 1""")
 _FOLDERS = [
     ("cand", """select * from fx_inventory where indent = 1
         and mime_type = 'application/vnd.google-apps.folder'
@@ -210,16 +212,11 @@ def _norm_sql(src: str, col: str, extra_cols: str) -> str:
     up = f"translate(upper({col}), '{M.ACCENTS_FROM}', '{M.ACCENTS_TO}')"
     spaced = f"regexp_replace(' ' || regexp_replace({up}, '[^A-Z0-9]+', ' ', 'g') || ' ', ' S A ', ' ', 'g')"
     stops = ", ".join(f"'{t}'" for t in M.STOP_TOKENS)
+    raw = f"regexp_replace({col}, '^{_WS}+|{_WS}+$', '', 'g')"
     toks = f"list_filter(string_split_regex(trim({spaced}), ' +'), lambda t: t <> '' and not list_contains([{stops}], t))"
     return f"""select {extra_cols}, list_sort(list_distinct(toks)) tokens, array_to_string(toks, ' ') norm
-        from (select *, {toks} toks from {src}) where array_to_string(toks, ' ') <> ''"""
-
-
-def _prefix_sql(name: str, src: str, key: str, freq: str) -> tuple[str, str]:
-    return (name, f"""select {key}, token from (
-        select {key}, token, n, row_number() over (partition by {key} order by df, token) r
-        from (select {key}, unnest(tokens) token, len(tokens) n from {src}) x join {freq} using (token))
-        where r <= n - (({M.THRESHOLD_PCT} * n + 99) // 100) + 1""")
+        from (select *, case when len({toks}) > 0 then {toks} else [{raw}] end toks from {src})
+        where array_to_string(toks, ' ') <> ''"""
 
 
 def _score_sql(a, b, ta, tb):
@@ -232,14 +229,10 @@ _MATCH = [
     ("nn", _norm_sql("names", "name", "name")),
     ("nf", _norm_sql("(select id folder_id, name folder_name, path folder_path from req_folders)",
                      "folder_name", "folder_id, folder_name, folder_path")),
-    ("freq", """select token, count(*) df from (select unnest(tokens) token from nn
-        union all select unnest(tokens) from nf) group by token"""),
-    _prefix_sql("pn", "nn", "name", "freq"),
-    _prefix_sql("pf", "nf", "folder_id", "freq"),
-    ("cpairs", "select distinct pn.name, pf.folder_id from pn join pf using (token)"),
-    ("pairs", f"""select * from (select c.name, f.folder_id, f.folder_name, f.folder_path,
+    # every name against every folder
+    ("pairs", f"""select * from (select n.name, f.folder_id, f.folder_name, f.folder_path,
           {_score_sql('n.norm', 'f.norm', 'n.tokens', 'f.tokens')} score
-        from cpairs c join nn n using (name) join nf f using (folder_id))
+        from nn n cross join nf f)
         where score * 100 >= {M.THRESHOLD_PCT} - 1e-9"""),
 ]
 
@@ -247,12 +240,9 @@ _CONS = [
     _NAMES,
     ("nn", _norm_sql("names", "name", "name")),
     ("u", "select distinct norm, tokens from nn"),
-    ("freq", "select token, count(*) df from (select unnest(tokens) token from nn) group by token"),
-    _prefix_sql("pu", "u", "norm", "freq"),
-    ("cpairs", "select distinct a.norm, b.norm other from pu a join pu b using (token) where a.norm < b.norm"),
-    ("e1", f"""select norm, other from (select c.norm, c.other,
-          {_score_sql('c.norm', 'c.other', 'a.tokens', 'b.tokens')} score
-        from cpairs c join u a on a.norm = c.norm join u b on b.norm = c.other)
+    ("e1", f"""select norm, other from (select a.norm, b.norm other,
+          {_score_sql('a.norm', 'b.norm', 'a.tokens', 'b.tokens')} score
+        from u a join u b on a.norm < b.norm)
         where score * 100 >= {M.THRESHOLD_PCT} - 1e-9"""),
     ("edges", "select norm, other from e1 union all select other, norm from e1"),
     ("reach", """select norm, norm label from u
@@ -291,6 +281,8 @@ SQL = {
         ("old_e", f"""select master, folder_name from ment where batch_no < {SPLIT_BATCH}
             union all select 'M_' || cast(c_nationkey as varchar), c_name from customer"""),
         ("new_e", f"select master, folder_name from ment where batch_no >= {SPLIT_BATCH}"),
+        ("new_m", f"""select k master from (select batch_no, unnest(json_keys(j, '$.match_map')) k from parsed)
+            where batch_no >= {SPLIT_BATCH}"""),
         *_ROLL[1:2], *_ROLL[3:4],
         ("res_old", """select r.master client, l.id folder_id, r.folder_name, l.path folder_path from
             (select distinct s.master, coalesce(c.group_name, s.folder_name) folder_name
@@ -300,7 +292,7 @@ SQL = {
             (select distinct s.master, coalesce(c.group_name, s.folder_name) folder_name
              from new_e s left join child_map c on c.folder_name = s.folder_name) r
             join lookup l on l.folder_name = r.folder_name""")]) + """
-        select * from res_old where client not in (select master from new_e)
+        select * from res_old where client not in (select master from new_m)
         union all select * from res_new""",
     "normalize_names": V("fx_report", extra=[_NAMES, ("nn", _norm_sql("names", "name", "name"))]) +
     "select name, norm from nn",

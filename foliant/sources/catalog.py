@@ -19,9 +19,15 @@ def name_matches(name_col, wanted: str):
     return F.col(name_col) == F.lit(wanted)
 
 
-def catalog_lookup(catalog: DataFrame, wanted: str, by: str = "parent_id") -> DataFrame:
-    """First non-trashed item per folder whose name matches (ties: smallest id)."""
+def catalog_lookup(catalog: DataFrame, wanted: str, by: str = "parent_id", mime_type: str | None = None,
+                   parent_id: str | None = None) -> DataFrame:
+    """First non-trashed item per folder whose name matches (ties: smallest id),
+    if asked for only of one mime type or in one folder."""
     hits = catalog.where(name_matches("name", wanted) & ~F.coalesce(F.col("trashed"), F.lit(False)))
+    if mime_type is not None:
+        hits = hits.where(F.col("mime_type") == mime_type)
+    if parent_id is not None:
+        hits = hits.where(F.col("parent_id") == parent_id)
     return hits.groupBy(by).agg(
         F.min_by(F.struct("id", "name", "mtime"), F.col("id")).alias("hit")).select(by, "hit.*")
 
@@ -41,7 +47,8 @@ def select_plans(catalog: DataFrame, limit_clients: int | None = None) -> DataFr
     """
     out = catalog.where(F.col("name").contains("_plan.json")
                         & ~F.col("name").contains("_last_run")
-                        & ~F.col("name").contains("_last_processed"))
+                        & ~F.col("name").contains("_last_processed")
+                        & ~F.coalesce(F.col("trashed"), F.lit(False)))
     if limit_clients is not None:
         out = out.orderBy("name", "id").limit(limit_clients)
     return out

@@ -89,11 +89,13 @@ def rotate_snapshot(df: DataFrame, base: str, keep: int = 2) -> int | None:
     Empty content is a no-op (returns None). Returns the generation written.
     """
     spark = df.sparkSession
-    if df.isEmpty():
-        return None
     gens = list_generations(spark, base)
     new_gen = (gens[-1] + 1) if gens else 1
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/gen={new_gen}")
+    path = f"{base.rstrip('/')}/gen={new_gen}"
+    df.write.mode("overwrite").parquet(path)
+    if spark.read.schema(df.schema).parquet(path).isEmpty():
+        _delete(spark, path)
+        return None
     for g in (gens + [new_gen])[:-keep]:
         _delete(spark, f"{base.rstrip('/')}/gen={g}")
     return new_gen
@@ -107,10 +109,21 @@ def read_generation(spark: SparkSession, base: str, schema: T.StructType,
     idx = {"current": -1, "last_run": -2}[which]
     if len(gens) < -idx:
         return spark.createDataFrame([], schema)
-    try:
-        return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/gen={gens[idx]}")
-    except Exception:  # noqa: BLE001 - unreadable prior snapshot counts as empty
+    path = f"{base.rstrip('/')}/gen={gens[idx]}"
+    if not _readable(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    """False only if a footer of the table is no Parquet; any other trouble raises."""
+    try:
+        spark.read.option("mergeSchema", "true").parquet(path)
+        return True
+    except Exception as e:  # the footers are read by a job, whose error type differs by version
+        if "CANNOT_READ_FILE_FOOTER" in str(e) or "is not a Parquet file" in str(e):
+            return False
+        raise
 
 
 def optional_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -127,8 +140,6 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> N
 
     An empty ``df`` touches nothing.
     """
-    if df.isEmpty():
-        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
@@ -149,8 +160,6 @@ def full_run_reset(prior: DataFrame, full_run: bool) -> DataFrame:
 
 def replace_partitions_text(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Text variant of ``replace_partitions`` (one ``value`` column)."""
-    if df.isEmpty():
-        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).text(path))
 

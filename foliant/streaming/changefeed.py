@@ -124,9 +124,14 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
     """
     def apply_batch(batch: DataFrame, epoch: int) -> None:
         state = store.state() or {}
-        if state.get("last_epoch", -1) >= epoch:
-            return  # replay of an epoch that is already applied
+        # Rows up to the stored sequence are applied already: a replayed batch, or the
+        # feed read again by a new checkpoint (whose epochs start at 0).
+        if state.get("last_seq") is not None:
+            batch = batch.where(F.col("seq").isNull() | (F.col("seq") > F.lit(state["last_seq"])))
         batch = batch.persist()
+        if batch.isEmpty():
+            batch.unpersist()
+            return
         inv = store.read("inventory")
         nodes = store.read("nodes")
         per_poll = needs_rescan(batch, [poll_col]).orderBy(poll_col).collect()
