@@ -18,7 +18,7 @@ suffix to sort:
    all but the earliest are repeats as a whole;
 3. the stretches that are left can still share some of their windows with one
    that differs at an end. Their windows are taken in blocks of neighbouring
-   offsets; blocks that share the 78 bytes common to all their windows meet, and
+   offsets; blocks that share the 66 bytes common to all their windows meet, and
    their windows are compared one by one (64-bit hashes at equal offsets).
 
 Defined results: a null text is empty; texts below LENGTH bytes lose nothing;
@@ -43,8 +43,8 @@ from foliant.session import materialize
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1  # grams of a window
 #: Window offsets that are compared under one name in step 3.
-BLOCK = 23
-#: Stretches of a run, and sampled documents that the range splitters come from, at most.
+BLOCK = 35
+#: Stretches of a run, at most, and about how many documents the range splitters come from.
 RUN, SAMPLE_DOCS = 150_000, 300
 _PAIR = "khash bigint, num bigint, at bigint"
 _FLOW = "part int, num bigint, first bigint, last bigint, khash bigint, at bigint, payload binary"
@@ -80,14 +80,27 @@ def _pack(anchor, first, last):
     return (first << 16) | ((anchor - first) << 8) | (last - first)
 
 
+_SURE = 1 << 62
+
+
 def _cut(batches):
+    """Candidate anchors by gram hash. Of a gram that a batch holds more than once
+    one row goes to the others of its hash, marked as surely repeated; the rest are
+    sure as well and are dealt out at random, so no frequent gram gathers its rows."""
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         anchor, first, last, h = anchors(data, offsets)
         row = np.searchsorted(offsets, first, "right") - 1
         base = offsets[row]
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("num").take(pa.array(row)),
-                                          pa.array(_pack(anchor - base, first - base, last - base))], ["khash", "num", "at"])
+        at = _pack(anchor - base, first - base, last - base)
+        _, one, count = np.unique(h, return_index=True, return_counts=True)
+        again = np.ones(len(h), bool)
+        again[one[count == 1]] = False
+        passing = again.copy()
+        passing[one] = False
+        key = np.where(passing, mix(h + np.arange(len(h), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), h)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("num").take(pa.array(row)),
+                                          pa.array(np.where(again, at | _SURE, at))], ["khash", "num", "at"])
 
 
 def _repeated(batches):
@@ -101,11 +114,13 @@ def _repeated(batches):
         keep = np.zeros(len(h), bool)
         keep[1:] |= same
         keep[:-1] |= same
+        at = batch.column("at").to_numpy()
+        keep |= at >= _SURE
         if last == h[0]:
             keep[0] = True
             if waiting is not None:
                 yield waiting
-        rows = batch.select(["num", "at"])
+        rows = pa.RecordBatch.from_arrays([batch.column("num"), pa.array(at & (_SURE - 1))], ["num", "at"])
         last, waiting = h[-1], None if keep[-1] else rows.slice(len(h) - 1, 1)
         if keep.any():
             yield rows.filter(pa.array(keep))
@@ -404,15 +419,16 @@ def _windows(batches):
 def _packed(batches):
     """Compress the texts, so that shuffles and their files stay small."""
     import zstandard
-    pack = zstandard.ZstdCompressor(level=1)
+    pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = pa.array([pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("num"), texts], ["num", "text"])
 
 
 def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
-    sample = docs.where(F.length("text") >= LENGTH).orderBy(F.xxhash64("num")).limit(SAMPLE_DOCS) \
-        .select(F.substring("text", 1, 20_000).alias("text")).collect()
+    step = max(1, docs.count() // SAMPLE_DOCS)
+    sample = docs.where((F.pmod(F.xxhash64("num"), F.lit(step)) == 0) & (F.length("text") >= LENGTH)) \
+        .select(F.substring("text", 1, 20_000).alias("text")).limit(4 * SAMPLE_DOCS).collect()
     strings = sorted(t[i: i + 24] for r in sample for t in [r["text"].encode()] for i in range(0, len(t) - LENGTH, 37))
     return sorted({strings[len(strings) * i // parts] for i in range(1, parts)}) if strings else []
 
