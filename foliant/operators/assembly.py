@@ -9,9 +9,10 @@ per-file converters (not part of this library). Per batch:
   the page merging itself is a per-file codec outside Spark.
 * members without content are skipped; a batch without any is not written.
 
-A batch is bounded by the planning limit, so one output row per batch stays
-bounded; ``write_batch_texts`` writes each batch's pieces range-sorted
-instead of building the string when outputs are very large.
+The planning limit bounds a batch's source bytes only: members without a stored
+size count as 0, so a batch can hold any number of them. The processor therefore
+writes ``batch_pieces`` (one row a member, in order); ``concat_texts`` builds whole
+texts for batches known to be small.
 """
 
 from __future__ import annotations
@@ -60,6 +61,13 @@ def framed_piece(name_col="file_name", text_col="text"):
                     F.lit(END_MARK), F.col(name_col), F.lit(MARK_TAIL), F.lit("\n"))
 
 
+def batch_pieces(contents: DataFrame, names: DataFrame) -> DataFrame:
+    """``client, output_name, item_pos, piece`` of every ``txt`` batch member."""
+    return contents.where(F.col("fmt") == "txt").withColumn("piece", framed_piece()) \
+        .join(names.select("client", "fmt", "batch_id", "output_name"), ["client", "fmt", "batch_id"]) \
+        .select("client", "output_name", "item_pos", "piece")
+
+
 def concat_texts(contents: DataFrame, names: DataFrame) -> DataFrame:
     """One text per ``txt`` batch, members in item order."""
     txt = contents.where(F.col("fmt") == "txt").withColumn("piece", framed_piece())

@@ -93,9 +93,9 @@ def tree_paths(nodes: DataFrame, root_id: str,
             "id", F.concat("_pp", F.lit("/"), "name").alias("path"), (F.col("_pi") + 1).alias("indent"))
         depth += 1
         if depth > checked:
-            checked = folders.count()
+            checked = folders.count() + 1  # the last step finds no folder
             if depth > checked:
-                raise TreeDepthError(f"a path longer than the {checked} folders: the tree has a cycle")
+                raise TreeDepthError(f"a path longer than the {checked - 1} folders: the tree has a cycle")
         if depth % checkpoint_every == 0:
             step = materialize(step)
         else:

@@ -158,10 +158,15 @@ def full_run_reset(prior: DataFrame, full_run: bool) -> DataFrame:
     return prior.limit(0) if full_run else prior
 
 
-def replace_partitions_text(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Text variant of ``replace_partitions`` (one ``value`` column)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).text(path))
+def replace_client_partitions(df: DataFrame, path: str, clients: DataFrame) -> None:
+    """Replace the partitions of all given clients; those without rows in ``df`` go."""
+    spark = df.sparkSession
+    replace_partitions(df, path, ["client"])
+    gone = clients.select("client").distinct().join(df.select("client").distinct(), "client", "left_anti")
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in gone.toLocalIterator():
+        if row["client"] is not None:
+            _delete(spark, f"{path.rstrip('/')}/client={escape(row['client'])}")
 
 
 def write_ordered_lines(lines: DataFrame, path: str, by: str, order_cols: list[str],
