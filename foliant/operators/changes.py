@@ -9,7 +9,7 @@ One micro-batch of changes is applied as a whole:
   upserted id is resolved upward through the *live* node table (names and
   parents after the batch), ``indent`` = slashes - 1. Descendants of a
   changed folder keep their paths until the next re-walk (patch semantics;
-  ``cascade=True`` re-walks under changed folders instead).
+  with ``cascade=True`` a changed or removed folder makes the tree be re-walked).
 
 Records are flat: ``seq, change_type, file_id, removed, parent_id, name,
 mime_type, size`` (``flatten_changes`` converts the nested API shape).
@@ -94,8 +94,10 @@ def apply_changes(inventory: DataFrame, nodes: DataFrame, changes: DataFrame, ro
         return tree_paths(live, root_id).select(*INVENTORY_COLS), live, True
     patched = patch_inventory(inventory, live, last, root_id, root_label)
     if cascade:
-        moved = last.where(~F.col("removed") & (F.col("mime_type") == FOLDER_MIME))
-        if not moved.isEmpty():
+        ids = last.select(F.col("file_id").alias("id"))
+        folders = nodes.where(F.col("mime_type") == FOLDER_MIME).join(ids, "id", "left_semi").select("id") \
+            .unionByName(last.where(F.col("mime_type") == FOLDER_MIME).select(F.col("file_id").alias("id")))
+        if not folders.isEmpty():
             return tree_paths(live, root_id).select(*INVENTORY_COLS), live, True
     return patched, live, False
 

@@ -74,16 +74,18 @@ def request_folders(inventory: DataFrame, candidates: DataFrame) -> DataFrame:
     return base.unionByName(kids)
 
 
-def match_requests(batches: DataFrame, folders: DataFrame) -> DataFrame:
-    """Payload per request batch: bulleted names and the bulleted folder list."""
-    names = batches.groupBy("batch_no").agg(
+def match_requests(batches: DataFrame) -> DataFrame:
+    """Payload per request batch: its bulleted names (a batch is bounded by its
+    size). Every request refers to the one folder list (``request_folder_lines``)."""
+    return batches.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n_names"),
         F.expr("listagg(concat('- ', name), '\\n') within group (order by idx)").alias("names_block"))
-    folder_block = folders.agg(F.expr(
-        "listagg(concat('- ', name), '\\n') within group (order by sort_key)").alias("folders_block"))
-    # One folder block row attached to every request row (a one-row side).
-    return names.withColumn("_one", F.lit(1)) \
-        .join(folder_block.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def request_folder_lines(folders: DataFrame) -> DataFrame:
+    """The bulleted folder list as lines in list order: ``pos, line``."""
+    rows = folders.select("sort_key", "id", F.concat(F.lit("- "), "name").alias("line"))
+    return with_global_index(rows, ["sort_key", "id"], "pos").select("pos", "line")
 
 
 # --- responses -------------------------------------------------------------

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.functions import mb_rounded
-from foliant.session import BATCH_LIMIT_BYTES
+from foliant.session import BATCH_LIMIT_BYTES, materialize
 
 PLACED_SCHEMA = T.StructType([
     T.StructField("client", T.StringType()),
@@ -184,7 +184,7 @@ def repack_batches(tasks: DataFrame, old_items: DataFrame, old_tasks: DataFrame
     which such a file is never placed (needs ``old_tasks``).
     """
     act = active_of(tasks)
-    members = retain_batches(old_items, tasks)
+    members = materialize(retain_batches(old_items, tasks))  # read by the loads, the kept items and the rest
     loads = batch_loads(members)
     kept = loads.where(F.col("load") <= limit)
     kept_members = members.join(kept.select("client", "batch_id"), ["client", "batch_id"], "left_semi")

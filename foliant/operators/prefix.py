@@ -109,11 +109,3 @@ def prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
     matched = materialize(matched)
     out = it.join(matched, ["_k", "_anc"])
     return out.drop("_k", "_anc")
-
-
-def naive_prefix_members(items: DataFrame, folders: DataFrame, folder_keys: list[str],
-                         folder_path: str = "folder_path", item_path: str = "path") -> DataFrame:
-    """Reference form (cartesian product + filter); only for tests on tiny input."""
-    fcols = list(dict.fromkeys(folder_keys + [folder_path]))
-    f = folders.select(*fcols).where(F.col(folder_path).isNotNull() & (F.col(folder_path) != ""))
-    return items.join(f, F.startswith(F.col(item_path), F.col(folder_path)))

@@ -17,9 +17,12 @@ def client_pairs(members: DataFrame) -> DataFrame:
 
 
 def client_signatures(members: DataFrame) -> DataFrame:
-    """Compact signature per client: size of the id set and its bounds."""
+    """Compact signature per client: size of the id set, its bounds, and a sum of
+    the ids' digests that does not depend on order. The set itself is the pairs."""
+    digest = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("bigint")
     return client_pairs(members).groupBy("client").agg(
-        F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+        F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+        F.sum(digest).alias("id_digest"))
 
 
 def changed_clients(curr_members: DataFrame, prev_members: DataFrame,

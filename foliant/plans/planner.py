@@ -51,7 +51,7 @@ def plan_clients(inv_now: DataFrame, inv_prev: DataFrame, client_folders: DataFr
     tasks = materialize(task_columns(members_now.join(replan, "client", "left_semi")))
     hist_items = last_items.limit(0) if full_run else _only(last_items, replan)
     hist_tasks = last_tasks.limit(0) if full_run else _only(last_tasks, replan)
-    items = repack_batches(tasks, hist_items, hist_tasks, limit=limit)
+    items = materialize(repack_batches(tasks, hist_items, hist_tasks, limit=limit))
     b_items = None if full_run else _only(base_items, replan)
     b_tasks = None if full_run else _only(base_tasks, replan)
     diff = plan_diff(b_items, b_tasks, items, tasks)

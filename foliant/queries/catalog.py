@@ -251,7 +251,8 @@ SQL = {
         select * from items_prev where client not in (select client from items_curr where starts_with(client, 'GRUPO'))
         union all select * from items_curr where starts_with(client, 'GRUPO')""",
     "full_run_reset": V("fx_client_folder_curr", extra=_CURR_PLAN) + "select * from items_curr",
-    "client_signatures": _SV + """select client, count(*) n_ids, min(id) first_id, max(id) last_id
+    "client_signatures": _SV + """select client, count(*) n_ids, min(id) first_id, max(id) last_id,
+          cast(sum(cast('0x' || substr(md5(id), 1, 8) as bigint)) as bigint) id_digest
         from pairs_curr group by client""",
     "changed_clients": _SV + "select client from changed where client in (select client from cf_curr)",
     "clients_to_replan": _SV + "select client from changed where client in (select client from cf_curr)",

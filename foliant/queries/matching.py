@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliant import fixtures as fx
 from foliant.operators import matching as M
 from foliant.operators.tasks import client_candidates
+from foliant.plans import matcher as MJ
 from foliant.plans.fixture_runs import inventory
 from foliant.session import scratch_dir
 
@@ -54,7 +55,32 @@ def q_name_batches(spark, sf):
 
 
 def q_match_requests(spark, sf):
-    return M.match_requests(M.name_batches(_names(spark, sf)), _folders(spark, sf))
+    return M.match_requests(M.name_batches(_names(spark, sf)))
+
+
+def q_request_folder_lines(spark, sf):
+    return M.request_folder_lines(_folders(spark, sf))
+
+
+def _name_maps(spark, sf):
+    entries = M.consolidation_entries(_parsed(spark, sf))
+    old, new = entries.where(F.col("batch_no") < SPLIT_BATCH), entries.where(F.col("batch_no") >= SPLIT_BATCH)
+    return tuple(M.merge_last_wins(e, "raw_name", "master", "batch_no") for e in (old, new))
+
+
+def q_merge_name_map(spark, sf):
+    old, new = _name_maps(spark, sf)
+    return M.incremental_merge(old, new, "raw_name")
+
+
+def q_matching_results(spark, sf):
+    """The saved result of a matching run, read back: both maps as rows."""
+    base = scratch_dir(spark, "matching-state")
+    old, new = _name_maps(spark, sf)
+    MJ.save_results(base, M.incremental_merge(old, new, "raw_name"), q_incremental_match(spark, sf))
+    names, matches = MJ.read_results(spark, base)
+    return names.select(F.lit("name").alias("kind"), F.col("raw_name").alias("key"), F.col("master").alias("value")).unionByName(
+        matches.select(F.lit("folder").alias("kind"), F.col("client").alias("key"), F.col("folder_id").alias("value")))
 
 
 def q_parse_responses(spark, sf):
@@ -154,6 +180,9 @@ QUERIES = {
     "new_client_names": q_new_client_names,
     "name_batches": q_name_batches,
     "match_requests": q_match_requests,
+    "request_folder_lines": q_request_folder_lines,
+    "merge_name_map": q_merge_name_map,
+    "matching_results": q_matching_results,
     "parse_responses": q_parse_responses,
     "merge_match_maps": q_merge_match_maps,
     "merge_last_wins": q_merge_last_wins,
@@ -258,10 +287,13 @@ SQL = {
     "name_batches": V("fx_report", extra=[_NAMES]) + """select name, ord,
         row_number() over (order by ord, name) - 1 idx,
         (row_number() over (order by ord, name) - 1) // 100 batch_no from names""",
-    "match_requests": V("fx_report", "fx_inventory", extra=[_NAMES, *_FOLDERS]) + """
+    "request_folder_lines": V("fx_inventory", extra=_FOLDERS) + """
+        select row_number() over (order by sa, sb, sc, id) - 1 pos, '- ' || name line from req_folders""",
+    "merge_name_map": V("fx_response", extra=_PARSE) + """select raw_name, arg_max(master, batch_no) master
+        from cons group by raw_name""",
+    "match_requests": V("fx_report", extra=[_NAMES]) + """
         select batch_no, count(*) n_names,
-          string_agg('- ' || name, chr(10) order by idx) names_block,
-          (select string_agg('- ' || name, chr(10) order by sa, sb, sc) from req_folders) folders_block
+          string_agg('- ' || name, chr(10) order by idx) names_block
         from (select name, row_number() over (order by ord, name) - 1 idx,
                 (row_number() over (order by ord, name) - 1) // 100 batch_no from names)
         group by batch_no""",
@@ -306,3 +338,8 @@ SQL = {
         select client, (row_number() over (partition by client order by folder_path, folder_id) - 1)::int pos,
           folder_id, folder_name, folder_path from resolved""",
 }
+
+_INCREMENTAL = SQL["incremental_match"]
+_HEAD, _TAIL = _INCREMENTAL[:_INCREMENTAL.rindex("select * from res_old")], _INCREMENTAL[_INCREMENTAL.rindex("select * from res_old"):]
+SQL["matching_results"] = _HEAD + f"""select 'name' kind, raw_name "key", arg_max(master, batch_no) "value" from cons group by raw_name
+    union all select 'folder', client, folder_id from ({_TAIL})"""

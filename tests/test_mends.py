@@ -48,11 +48,11 @@ def test_component_rounds_by_shuffle_equal_those_in_one_task(spark, monkeypatch)
 
 
 def test_deep_tree_and_cycles(spark):
-    nodes = spark.createDataFrame(chain(150), NODE)
-    deepest = tree_paths(nodes, "root").where("id = 'd149'").collect()[0]
-    assert deepest.indent == 149 and deepest.path.count("/") == 150
-    ids = spark.createDataFrame([("d40",)], "id string")
-    assert resolve_changed_paths(ids, nodes.where("id <> 'x'"), "root").collect()[0].path.count("/") == 41
+    nodes = spark.createDataFrame(chain(110), NODE).coalesce(1)
+    deepest = tree_paths(nodes, "root", checkpoint_every=20).where("id = 'd109'").collect()[0]
+    assert deepest.indent == 109 and deepest.path.count("/") == 110
+    ids = spark.createDataFrame([("d20",)], "id string").coalesce(1)
+    assert resolve_changed_paths(ids, nodes, "root").collect()[0].path.count("/") == 21
     loop = spark.createDataFrame([("a", "b", "a", FOLDER_MIME, None), ("b", "c", "b", FOLDER_MIME, None), ("c", "a", "c", FOLDER_MIME, None)], NODE)
     with pytest.raises(TreeDepthError):
         resolve_changed_paths(spark.createDataFrame([("a",)], "id string"), loop, "root")
@@ -77,7 +77,7 @@ def test_missing_change_types_and_replays(spark):
     assert CH.latest_changes(first).count() == 1
     nodes = spark.createDataFrame([("root", None, "ROOT", FOLDER_MIME, None)], NODE)
     store = CF.InventoryStore(spark, scratch_dir(spark, "store3"))
-    CF.init_store(store, tree_paths(nodes, "root").withColumn("size", nodes["size"]) if False else tree_paths(nodes, "root"), nodes)
+    CF.init_store(store, tree_paths(nodes, "root"), nodes)
     apply = CF.make_batch_writer(store, "root", "ROOT")
     apply(first, 5)
     apply(first, 5)
@@ -132,3 +132,30 @@ def test_stages_are_released_and_need_a_shared_folder(spark):
     session.release(df)
     assert session.open_stages() == before
     assert single_jvm("local[4]") and single_jvm("local") and not single_jvm("local-cluster[3,2,1024]") and not single_jvm("yarn")
+
+
+def test_matcher_job(spark):
+    from foliant.plans import matcher as MJ
+    report = spark.createDataFrame([(0, "a", "b", "ACME LTDA"), (1, "a", "b", "ACMEE"), (2, "a", "b", "Known"), (3, "a", "b", "Nobody at all")],
+                                   "ord int, x string, y string, client string")
+    folders = spark.createDataFrame([("f1", "ACME", "R/ACME", None), ("f2", "OTHER", "R/OTHER", None)],
+                                    "id string, name string, path string, group_name string") \
+        .selectExpr("*", "named_struct('a', path, 'b', 0, 'c', path) as sort_key")
+    old_names = spark.createDataFrame([("Known", "K")], MJ.NAME_MAP)
+    old = spark.createDataFrame([("K", "f2", "OTHER", "R/OTHER"), ("ACME", "f2", "OTHER", "R/OTHER")], MJ.MATCHES)
+    got = MJ.match_report(report, "ord", folders, old_names, old)
+    base = scratch_dir(spark, "match-results")
+    MJ.save_results(base, got.names, got.matches)
+    names, matches = MJ.read_results(spark, base)
+    assert {(r.raw_name, r.master) for r in names.collect()} == {("Known", "K"), ("ACME LTDA", "ACME"), ("ACMEE", "ACMEE"),
+                                                                 ("Nobody at all", "NOBODY AT ALL")}
+    assert {(r.client, r.folder_id) for r in matches.collect()} == {("K", "f2"), ("ACME", "f1")}
+
+
+def test_cascade_follows_changed_and_removed_folders(spark):
+    change = "seq long, change_type string, file_id string, removed boolean, parent_id string, name string, mime_type string, size long"
+    nodes = spark.createDataFrame([("root", None, "ROOT", FOLDER_MIME, None), ("f", "root", "F", FOLDER_MIME, None), ("x", "f", "x", "text/plain", 1),
+                                   ("g", "root", "G", FOLDER_MIME, None), ("y", "g", "y", "text/plain", 1)], NODE)
+    changes = spark.createDataFrame([(1, "file", "f", True, None, None, None, None), (2, "file", "g", False, "root", "H", FOLDER_MIME, None)], change)
+    got, _, _ = CH.apply_changes(tree_paths(nodes, "root"), nodes, changes, "root", "ROOT", cascade=True)
+    assert {r.path for r in got.collect()} == {"ROOT", "ROOT/H", "ROOT/H/y"}

@@ -5,7 +5,15 @@ import random
 from pyspark.sql import functions as F
 
 from foliant.operators import packing as P
-from foliant.operators.prefix import naive_prefix_members, prefix_members
+from foliant.operators.prefix import prefix_members
+
+
+def naive_prefix_members(items, folders, folder_keys,
+                         folder_path = "folder_path", item_path = "path"):
+    """Reference form (cartesian product + filter); only for tests on tiny input."""
+    fcols = list(dict.fromkeys(folder_keys + [folder_path]))
+    f = folders.select(*fcols).where(F.col(folder_path).isNotNull() & (F.col(folder_path) != ""))
+    return items.join(f, F.startswith(F.col(item_path), F.col(folder_path)))
 
 
 def _random_paths(rng, n):
