@@ -144,8 +144,10 @@ def _judged(docs: DataFrame, ratios: list[int], threshold: float, carry: list[st
                                   lines.alias("_lines")))
     total = F.aggregate(F.concat("_h", "_p"), F.lit(0).cast("long"),
                         lambda acc, g: acc + F.get(table, F.pmod(g, F.lit(buckets)).cast("int")))
+    # the row number keeps a filter on the verdict above this step: pushed below it, the
+    # filter would repeat the cutting and hashing for every use of a column
     rows = rows.select(
-        *carry, "doc_id", F.size("_words").cast("long").alias("n_words"),
+        *carry, "doc_id", F.monotonically_increasing_id().alias("_rid"), F.size("_words").cast("long").alias("n_words"),
         (F.char_length("_text") - F.regexp_count("_text", F.lit(r"[ \t-\r]"))).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
