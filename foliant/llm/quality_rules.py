@@ -133,7 +133,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     rows = options.pop("target_rows", TARGET_ROWS)
     ratios = log_ratios(docs, target_sample(labels, rows), **options)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
-    return _judged(row, ratios, threshold, ["_row"]).where("kept").select("_row.*")
+    # a plain filter on the verdict would be pushed below the steps that it rests on, and
+    # repeat their cutting and hashing for every use of a column; a generator stops that
+    kept = _judged(row, ratios, threshold, ["_row"]).select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    return kept.where("_row is not null").select("_row.*")
 
 
 def _judged(docs: DataFrame, ratios: list[int], threshold: float, carry: list[str]) -> DataFrame:
@@ -144,10 +147,8 @@ def _judged(docs: DataFrame, ratios: list[int], threshold: float, carry: list[st
                                   lines.alias("_lines")))
     total = F.aggregate(F.concat("_h", "_p"), F.lit(0).cast("long"),
                         lambda acc, g: acc + F.get(table, F.pmod(g, F.lit(buckets)).cast("int")))
-    # the row number keeps a filter on the verdict above this step: pushed below it, the
-    # filter would repeat the cutting and hashing for every use of a column
     rows = rows.select(
-        *carry, "doc_id", F.monotonically_increasing_id().alias("_rid"), F.size("_words").cast("long").alias("n_words"),
+        *carry, "doc_id", F.size("_words").cast("long").alias("n_words"),
         (F.char_length("_text") - F.regexp_count("_text", F.lit(r"[ \t-\r]"))).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
