@@ -17,6 +17,10 @@ CONTENT = ("client string, fmt string, batch_pos long, batch_id string, item_pos
            "file_name string, text string")
 
 
+def local(uri):
+    return uri.removeprefix("file:")
+
+
 def test_write_batch_texts_matches_concat(spark):
     rows = [("X", "txt", 0, "txt_batch_1", i, f"f{i}", f"n{i}.txt", f"line {i}\nmore {i}") for i in range(30)]
     contents = spark.createDataFrame(rows, CONTENT)
@@ -25,7 +29,7 @@ def test_write_batch_texts_matches_concat(spark):
     expected = A.concat_texts(contents, names).collect()[0].text
     path = scratch_dir(spark, "batch-texts")
     A.write_batch_texts(contents, names, path)
-    parts = sorted(glob.glob(f"{path}/client=X/output_name=X_batch_1.txt/part-*"))
+    parts = sorted(glob.glob(f"{local(path)}/client=X/output_name=X_batch_1.txt/part-*"))
     written = "".join(open(p, encoding="utf-8").read() for p in parts)
     assert written == expected
 
@@ -89,7 +93,7 @@ def test_tree_lines_written_in_order(spark):
     expected = render_tree_text(lines).collect()[0].tree_text
     path = scratch_dir(spark, "trees")
     write_ordered_lines(lines, path, "client", ["section", "pos", "ord", "path", "id"])
-    parts = sorted(glob.glob(f"{path}/client=ACME/part-*"))
+    parts = sorted(glob.glob(f"{local(path)}/client=ACME/part-*"))
     assert "".join(open(p, encoding="utf-8").read() for p in parts) == expected
 
 
