@@ -159,7 +159,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, with all their columns."""
     hit = decontaminate(docs, benchmark).where("contaminated") \
         .select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["_hash"]), "left_anti")
+    # the hint keeps the plan the same at every size
+    return docs.join(hit.hint("merge"), docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["_hash"]), "left_anti")
 
 
 def digest(result: DataFrame) -> DataFrame:

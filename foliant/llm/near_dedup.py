@@ -287,7 +287,25 @@ def keep_one(docs: DataFrame) -> DataFrame:
     (of rows that repeat it, one). Rows without doc_id stay."""
     kept = near_dedup(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     kept = materialize(kept.select(F.col("doc_id").alias("_id"), "_n"))
-    rows = docs.join(kept.select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+    rows = docs.join(kept.select("_id").hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
     if not kept.where("_n > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id"])
     return rows.unionByName(docs.where("doc_id is null"))
+
+
+SQL = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM n UNION SELECT reach.id, edges.y FROM reach JOIN edges ON edges.x = reach.r),
+comp AS (SELECT id, min(r) AS c FROM reach GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(comp.c, d.doc_id) AS component_id,
+       d.doc_id = coalesce(comp.c, d.doc_id) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.id = d.doc_id
+"""

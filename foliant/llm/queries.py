@@ -74,5 +74,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
+    "op4_near_dedup": near_dedup.SQL,
     "op7_warc": warc.SQL,
 }
