@@ -34,7 +34,7 @@ from foliant.session import materialize, scratch_dir
 
 #: Payloads of fewer bytes are always archived as responses.
 MIN_REVISIT_BYTES = 0
-#: The dictionary: its size, and the records and bytes of each that it is built from, at most.
+#: The dictionary: its size, about how many records it is built from (at most twice as many), and bytes of each.
 DICT_BYTES, DICT_RECORDS, DICT_RECORD_BYTES = 64 << 10, 400, 32 << 10
 #: An archive is closed after so many compressed bytes.
 ARCHIVE_BYTES = 64 << 20
@@ -107,8 +107,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Archive all pages below ``folder``; the stored index ``page_id, archive, offset, length``."""
     small_batches(pages, 200)
     rows = classified(pages)
-    sample = rows.where("refers_to is null").orderBy(F.xxhash64("page_id", "url"), "page_id") \
-        .select("page_id", "url", F.substring("payload", 1, DICT_RECORD_BYTES).alias("payload")).limit(DICT_RECORDS).collect()
+    step = max(1, pages.count() // DICT_RECORDS)
+    sample = pages.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(step)) == 0).select(
+        "page_id", "url", F.substring(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), 1, DICT_RECORD_BYTES).alias("payload")) \
+        .limit(2 * DICT_RECORDS).collect()
     dictionary = build_dictionary([record(r["page_id"], r["url"], bytes(r["payload"]), None, False) for r in sample])
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
 
