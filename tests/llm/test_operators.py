@@ -107,6 +107,40 @@ def test_shared_vocabulary_is_the_most_frequent_words(spark):
     assert sorted(known.tolist()) == sorted(int(x) for x in want)
 
 
+def brute_losses(rows, good):
+    """Mean losses of each row under models with a count for every word and pair."""
+    import math
+    texts = [(i, WHITE.findall(lower_az(t or ""))) for i, t in rows]
+    word, pair, history = ([Counter(), Counter()] for _ in range(3))
+    for i, w in texts:
+        for m in (0, 1) if i in good else (0,):
+            for v, x in zip([None, *w], w):
+                word[m][x] += 1
+                pair[m][v, x] += 1
+                history[m][v] += 1
+    size, total = len(word[0]), [sum(c.values()) for c in word]
+
+    def loss(m, v, x):
+        p = (word[m][x] + size * (word[0][x] + 1) / (total[0] + size)) / (total[m] + size)
+        return -math.log((pair[m][v, x] + 20 * p) / (history[m][v] + 20))
+
+    return sorted(((i, len(w), *[sum(loss(m, v, x) for v, x in zip([None, *w], w)) / len(w) if w else None for m in (0, 1)])
+                   for i, w in texts), key=lambda r: (repr(r[:2]), r[2] or 0))
+
+
+@pytest.mark.parametrize("words, bits, chunk", [(3, 2, 50), (30_000, 20, 500_000)])
+def test_lm_losses_equal_brute_force(spark, odd_docs, odd_labels, monkeypatch, words, bits, chunk):
+    """Every word and pair has its own counts, whatever is broadcast."""
+    monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+    good = {i for i in range(1, 21) if i not in (13, 15, 20)} | {99}
+    got = lm_scoring.cross_entropy_difference(odd_docs, odd_labels, words, bits).collect()
+    got = sorted(((r.doc_id, r.n_words, r.background_loss, r.target_loss) for r in got), key=lambda r: (repr(r[:2]), r[2] or 0))
+    want = brute_losses(odd_rows(), good)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    for g, x in zip(got, want):
+        assert g[2:] == x[2:] == (None, None) or g[2:] == pytest.approx(x[2:], abs=1e-8)
+
+
 # -- 4 ------------------------------------------------------------------------
 
 def shingle_set(t):
