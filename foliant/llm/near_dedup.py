@@ -141,7 +141,8 @@ def _leaf_pairs(batches):
         labels = np.array([r[1] for r in rows], np.int64)
         m = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, COORDS)
         names, own, sizes = np.unique(labels, return_inverse=True, return_counts=True)
-        order = np.argsort(-sizes[own], kind="stable")  # the largest component first: it is never the outer side
+        # one largest component first and in one piece, also among equals: it is never the outer side
+        order = np.lexsort((labels, -sizes[own]))
         reps, labels, m = reps[order], labels[order], m[order]
         a, b = [], []
         for i in range(sizes.max(), len(rows)):

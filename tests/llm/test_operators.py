@@ -187,6 +187,17 @@ def test_near_dedup_in_large_nodes(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_leaves_compare_components_of_equal_size():
+    """Interleaved components that tie for the largest: every cross pair is compared."""
+    import numpy as np
+    import pyarrow as pa
+    sketches = [np.full(near_dedup.COORDS, k, np.uint32).tobytes() for k in (7, 7, 8, 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 2, 1, 2]), pa.array(sketches)],
+                                       ["node", "rep", "label", "sketch"])
+    got = [r for out in near_dedup._leaf_pairs([batch]) for r in out.to_pylist()]
+    assert got == [{"a": 1, "b": 2}]
+
+
 # -- 5 ------------------------------------------------------------------------
 
 def test_license_scan_finds_families(spark, odd_docs, no_docs):
