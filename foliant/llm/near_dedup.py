@@ -16,11 +16,13 @@ goes to the child of each chosen coordinate's minwise token.
    a one); larger nodes branch again. After ``LEVELS`` levels, what is left in
    large nodes is compared by a join of the classes outside the node's largest
    component with the node, so no pair is dropped for its node's size.
-3. All pairs that the sketches allow are confirmed on the full sets.
+3. Deeper paths lose more pairs: classes whose nodes branched below the root go
+   through more trees, as many as the deepest of these levels asks for
+   (``trees_for``), with steps 2 of their own.
+4. All pairs that the sketches allow are confirmed on the full sets.
 
-A pair of similarity 0.75 misses one tree with a probability below 0.2 per level;
-over all trees the chance to miss it is below 1e-5 at two levels. The sketch
-filter lets a true pair fail with a probability below 1e-4.
+A pair of similarity 0.75 misses all its trees with a probability below ``MISS`` at
+every depth. The sketch filter lets a true pair fail with a probability below 1e-4.
 
 Defined results: null and empty texts have empty sets and link with nothing; a
 null doc_id links with nothing (``component_id`` null, kept); rows that repeat a
@@ -31,6 +33,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ WORDS = 5
 #: Documents link with 100 * intersection >= PERCENT * union.
 PERCENT = 75
 COORDS, TREES, LEVELS = 128, 10, 6
+#: Chance at most that the trees miss a pair at the threshold.
+MISS = 1e-5
 #: Nodes are compared exhaustively up to so many pairs between components, and so many classes.
 LEAF_PAIRS, LEAF_ROWS = 100_000, 20_000
 #: Equal sketch coordinates that a pair needs to be confirmed: 0.75 less 3.9 standard deviations.
@@ -104,13 +109,38 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDS)
 
 
+def trees_miss(levels: int, trees: int) -> float:
+    """Chance that a pair at the threshold, past the sketch filter, meets in none of the
+    trees, where nodes branch on so many levels below the root."""
+    at = PERCENT / 100
+    total = passed = 0.0
+    for equal in range(MIN_EQUAL, COORDS + 1):
+        chance = math.comb(COORDS, equal) * at**equal * (1 - at) ** (COORDS - equal)
+        miss = 0.0
+        for _ in range(levels + 1):
+            one = 1 - equal / COORDS * (1 - miss)
+            miss = (2 * one + one * one) / 3  # one coordinate or two
+        passed += chance
+        total += chance * miss**trees
+    return total / passed
+
+
+def trees_for(levels: int) -> int:
+    """Trees for classes whose nodes branch on so many levels below the root."""
+    trees = TREES
+    while trees_miss(levels, trees) > MISS:
+        trees += 1
+    return trees
+
+
 def _roots(batches):
-    trees = mix(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """Classes -> their root children in the trees above ``low`` up to ``high``."""
     for batch in batches:
-        n = batch.num_rows
-        if n:
-            child, at = _branch(np.tile(trees, n), np.repeat(_matrix(batch.column("sketch")), TREES, axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("rep").take(pa.array(at // TREES))], ["node", "rep"])
+        if batch.num_rows:
+            low, high = (batch.column(c).to_numpy().astype(np.int64) for c in ("low", "high"))
+            tree, own = runs(low + 1, high - low).astype(np.uint64), np.repeat(np.arange(batch.num_rows), high - low)
+            child, at = _branch(mix(tree * np.uint64(0xD6E8FEB86659FD93)), _matrix(batch.column("sketch"))[own])
+            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("rep").take(pa.array(own[at]))], ["node", "rep"])
 
 
 def _children(batches):
@@ -208,11 +238,34 @@ def _open_nodes(rows: DataFrame) -> DataFrame:
     return sizes.where("labels > 1").select("node", leaf.alias("leaf"))
 
 
+def _descend(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs between components below root children (``node, rep, label``), and ``rep, levels``
+    of the classes whose nodes branched (None: none did)."""
+    rows = materialize(rows)
+    pairs = deep = None
+    for level in range(LEVELS + 1):
+        rows = materialize(rows.join(_open_nodes(rows), "node").select("node", "rep", "label", "leaf"))
+        leaves = rows.where("leaf").join(classes, "rep").select("node", "rep", "label", "sketch")
+        found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, "a bigint, b bigint")
+        large = rows.where("not leaf")
+        last = level == LEVELS or large.isEmpty()
+        if level == LEVELS:
+            found = found.unionByName(_rest(large, classes))
+        found = materialize(found.distinct())
+        pairs = found if pairs is None else pairs.unionByName(found)
+        if last:
+            return pairs, deep
+        branched = large.select("rep", F.lit(level + 1).alias("levels")).distinct()
+        deep = branched if deep is None else deep.unionByName(branched)
+        rows = materialize(large.join(classes, "rep").select("node", "rep", "label", "sketch")
+                           .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct())
+
+
 def near_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """``id, component`` of the class representatives that link with another class."""
     classes = materialize(sketched.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles")
                           .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")).select("rep", "sketch"))
-    roots = classes.mapInArrow(_roots, "node bigint, rep bigint")
+    roots = classes.withColumns({"low": F.lit(0), "high": F.lit(TREES)}).mapInArrow(_roots, "node bigint, rep bigint")
     heads = roots.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("_b")).where("a < _b").select("node", "a")
     shared = materialize(roots.join(heads.hint("merge"), "node"))  # root children of several classes
     # their texts, once; the hint keeps the plan the same at every size
@@ -224,23 +277,21 @@ def near_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     first = confirmed(nearest, texts)
     labels = materialize(connected_components(first, "a", "b"))
     # 2. the trees below, between components only
-    rows = materialize(_labelled(shared, labels))
-    pairs = None
-    for level in range(LEVELS + 1):
-        rows = materialize(rows.join(_open_nodes(rows), "node").select("node", "rep", "label", "leaf"))
-        leaves = rows.where("leaf").join(classes, "rep").select("node", "rep", "label", "sketch")
-        found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, "a bigint, b bigint")
-        large = rows.where("not leaf")
-        last = level == LEVELS or large.isEmpty()
-        if level == LEVELS:
-            found = found.unionByName(_rest(large, classes))
-        found = materialize(found.distinct())
-        pairs = found if pairs is None else pairs.unionByName(found)
-        if last:
+    pairs, depths = _descend(_labelled(shared, labels), classes)
+    # 3. more trees for classes whose nodes branched
+    need = F.lit([trees_for(levels) for levels in range(LEVELS + 1)])
+    ran = None
+    while depths is not None:
+        wanted = depths.groupBy("rep").agg(F.get(need, F.max("levels")).alias("high"))
+        wanted = wanted.withColumn("low", F.lit(TREES)) if ran is None else \
+            wanted.join(ran.select("rep", F.col("high").alias("low")), "rep")
+        ran = materialize(wanted.where("high > low"))
+        if ran.isEmpty():
             break
-        rows = materialize(large.join(classes, "rep").select("node", "rep", "label", "sketch")
-                           .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct())
-    # 3. confirm
+        more = classes.join(ran, "rep").select("rep", "sketch", "low", "high").mapInArrow(_roots, "node bigint, rep bigint")
+        found, depths = _descend(_labelled(more, labels), classes)
+        pairs = pairs.unionByName(found)
+    # 4. confirm
     second = confirmed(pairs.distinct(), texts)
     linked = materialize(connected_components(first.unionByName(second), "a", "b"))
     release(classes, shared, texts)

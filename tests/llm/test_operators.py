@@ -198,6 +198,52 @@ def test_leaves_compare_components_of_equal_size():
     assert got == [{"a": 1, "b": 2}]
 
 
+def test_trees_follow_the_depth():
+    """At six levels, by simulation: the trees of the root lose pairs, those for the depth don't."""
+    import numpy as np
+    from foliant.llm.text import mix
+    draw = np.random.default_rng(3)
+    pairs, c = 2000, near_dedup.COORDS
+    left = draw.integers(0, 2**32, (8 * pairs, c), np.uint32)
+    same = draw.random((8 * pairs, c)) < 0.75
+    at = np.flatnonzero(same.sum(axis=1) >= near_dedup.MIN_EQUAL)[:pairs]
+    left, same = left[at], same[at]
+    right = np.where(same, left, left ^ np.uint32(1))
+
+    def lost(trees):
+        met = np.zeros(pairs, bool)
+        for tree in range(1, trees + 1):
+            node = np.repeat(mix(np.array([tree], np.uint64) * np.uint64(0xD6E8FEB86659FD93)), pairs)
+            own = np.arange(pairs)
+            for _ in range(7):
+                a, i = near_dedup._branch(node, left[own])
+                b, _ = near_dedup._branch(node, right[own])
+                node, own = a[a == b].view(np.uint64), own[i[a == b]]
+            met[own] = True
+        return int((~met).sum())
+
+    assert lost(near_dedup.TREES) >= 5
+    assert lost(near_dedup.trees_for(6)) == 0
+    assert near_dedup.trees_for(0) == near_dedup.TREES
+
+
+def test_deep_nodes_get_more_trees(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF_PAIRS", 0)
+    monkeypatch.setattr(near_dedup, "LEVELS", 2)
+    rounds, descend = [], near_dedup._descend
+
+    def spy(rows, classes):
+        rounds.append(rows.select("rep").distinct().count())
+        return descend(rows, classes)
+
+    monkeypatch.setattr(near_dedup, "_descend", spy)
+    base = english(100, 1).split()
+    rows = [(i, " ".join(base[:60] + [f"n{i // 2}x{k}" for k in range(40 - i % 2)])) for i in range(24)]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    assert len(rounds) > 1 and rounds[1] > 1
+
+
 # -- 5 ------------------------------------------------------------------------
 
 def test_license_scan_finds_families(spark, odd_docs, no_docs):
