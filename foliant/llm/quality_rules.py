@@ -23,8 +23,8 @@ from foliant.llm.text import WHITE
 
 #: Buckets of the two multinomials; bounds the ratio table in the plan.
 BUCKETS = 10_000
-#: Labelled rows of good quality that the target is counted from, at most (chosen by hash).
-TARGET_ROWS = 20_000
+#: The target's ids are broadcast up to so many; more are joined by exchange.
+BROADCAST_IDS = 2_000_000
 #: Keep documents whose mean log ratio (natural logarithm) is at least this.
 THRESHOLD = -0.12
 MIN_WORDS, REPEAT_PCT, WINDOW = 10, 20, 5
@@ -87,13 +87,12 @@ def repeat_words(hashes: Column, pairs: Column, k: int = WINDOW) -> Column:
 def log_ratios(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """For each bucket millionths of ln(p_target / p_raw), both with add-one smoothing.
 
-    ``target_ids`` (``doc_id``) names the trusted rows of ``docs``; it is
-    broadcast and must be bounded by its maker.
+    ``target_ids`` (``doc_id``) names the trusted rows of ``docs``, however many.
     """
     trusted = target_ids.select(F.col("doc_id").alias("_tid")).where("_tid is not null").distinct()
-    words = docs.select("doc_id", split_words(F.col("text")).alias("_words")) \
-        .join(F.broadcast(trusted), F.col("doc_id") == F.col("_tid"), "left") \
-        .select(F.col("_tid").isNotNull().cast("long").alias("_t"), "_words")
+    trusted = trusted.hint("broadcast" if trusted.count() <= BROADCAST_IDS else "merge")
+    words = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("_tid"), "left") \
+        .select(F.col("_tid").isNotNull().cast("long").alias("_t"), split_words(F.col("text")).alias("_words"))
     # explode_outer: the plain form would cut and hash every text twice, once to drop empty arrays
     grams = with_grams(words).select("_t", F.explode_outer(F.concat("_h", "_p")).alias("_g"))
     counts = grams.groupBy(F.pmod("_g", F.lit(buckets)).cast("int").alias("bucket")) \
@@ -106,21 +105,19 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS) -
             for n, t in (seen.get(b, (0, 0)) for b in range(buckets))]
 
 
-def target_sample(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
-    """Ids of at most ``rows`` documents labelled as good, the smallest by hash."""
-    good = labels.where(F.col("quality") == 1).select("doc_id").where("doc_id is not null").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def good_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled as good."""
+    return labels.where(F.col("quality") == 1).select("doc_id").where("doc_id is not null").distinct()
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
-                  target_rows: int = TARGET_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """Figures and verdict of every row of ``docs`` (``doc_id, text``).
 
     ``labels`` (``doc_id, quality``) names the trusted target. Rows out:
     ``doc_id``, the base figures, ``llr`` (mean log ratio), ``base_failed``
     and ``kept``, in the order of ``docs`` and with its other columns left out.
     """
-    ratios = log_ratios(docs, target_sample(labels, target_rows), buckets)
+    ratios = log_ratios(docs, good_ids(labels), buckets)
     return _judged(docs, ratios, threshold, []).select(*RESULT)
 
 
@@ -130,8 +127,7 @@ RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repe
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     threshold = options.pop("threshold", THRESHOLD)
-    rows = options.pop("target_rows", TARGET_ROWS)
-    ratios = log_ratios(docs, target_sample(labels, rows), **options)
+    ratios = log_ratios(docs, good_ids(labels), **options)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
     # a plain filter on the verdict would be pushed below the steps that it rests on, and
     # repeat their cutting and hashing for every use of a column; a generator stops that

@@ -392,6 +392,17 @@ def test_quality_rules_equal_brute_force(spark, odd_docs, odd_labels, no_docs):
     assert quality_rules.quality_rules(odd_docs, odd_labels.limit(0)).count() == len(odd_rows())
 
 
+def test_target_is_counted_over_all_good_ids(spark, monkeypatch):
+    """All rows are good ones, so both multinomials are equal."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('w', id % 50, ' x') as text")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    ids = quality_rules.good_ids(labels)
+    assert set(quality_rules.log_ratios(docs, ids, 64)) == {0}
+    few = quality_rules.log_ratios(docs, ids.where("doc_id < 700"), 64)
+    monkeypatch.setattr(quality_rules, "BROADCAST_IDS", 5)
+    assert quality_rules.log_ratios(docs, ids.where("doc_id < 700"), 64) == few
+
+
 # -- 9 ------------------------------------------------------------------------
 
 def brute_repeats(rows):
