@@ -19,13 +19,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, of: int, held_out: in
 
     The rows are those with the smallest hash of the id, so the sample depends
     on no order of the tables. Rows without id or label are not used. The list
-    of ids is bounded by ``rows`` and broadcast.
+    of ids is bounded by ``rows`` and broadcast; equal rows of an id count once, and
+    of rows that repeat an id those with the smallest hash are used, within ``rows``.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null")
     chosen = known.where(remainder(F.col("doc_id"), of) != held_out).distinct() \
         .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
-        .select(F.xxhash64("doc_id", "text").alias("_at"), "text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
+        .select("doc_id", F.xxhash64("doc_id", "text").alias("_at"), "text", "y")
+    return found.dropDuplicates(["doc_id", "_at", "y"]).orderBy("_at", "y").limit(rows).select("_at", "text", "y")
 
 
 def train_in_task(rows: DataFrame, fit: Callable[[list[str], list[int]], bytes]) -> bytes:

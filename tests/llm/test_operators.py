@@ -298,6 +298,15 @@ def test_quality_classifier(spark, odd_docs, odd_labels, no_docs):
     assert quality_classifier.quality(no_docs, odd_labels).collect() == []
 
 
+def test_training_sample_is_bounded_by_rows(spark):
+    """A labelled doc_id that many rows repeat doesn't pass the bound."""
+    from foliant.llm.labelled import sample
+    docs = spark.createDataFrame([(1, f"t{i % 30}") for i in range(60)] + [(2, "u")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, y int")
+    assert sample(docs, labels, "y", 5, -1, 8).count() == 8
+    assert sample(docs, labels, "y", 5, -1, 100).count() == 31
+
+
 # -- 7 ------------------------------------------------------------------------
 
 def test_warc_round_trip(spark):
