@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import (decontaminate, license_scan, lm_scoring, near_dedup, quality_classifier, quality_rules,
-                         sentencepiece_codec, suffix_dedup, toxicity, warc)
+from foliant.llm import (decontaminate, license_scan, lm_scoring, near_dedup, periodic_runs, quality_classifier,
+                         quality_rules, sentencepiece_codec, suffix_dedup, toxicity, url_filter, warc, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,19 @@ def op10_quality_classifier(spark, sf_dir):
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), periodic_runs.planted))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.url_filter(pages, url_filter.broken_pages(pages))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
@@ -70,10 +83,14 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_url_filter": op13_url_filter,
 }
 
 SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
     "op4_near_dedup": near_dedup.SQL,
     "op7_warc": warc.SQL,
+    "op13_url_filter": url_filter.SQL,
 }
