@@ -2,13 +2,14 @@
 
 Every round is joins and aggregations on edges, so one huge component spreads
 over all tasks, and the number of rounds grows with the logarithm of the largest
-component, not with its diameter. There is no bound on the rounds. Up to ``SMALL``
-edges the rounds run in one task each, without a shuffle, since the time would
-otherwise go into starting tasks.
+component, not with its diameter. There is no bound on the rounds. Once ``SMALL``
+edges or fewer are left (a few megabytes, counted), one task finishes them by
+union-find, since the time would otherwise go into starting tasks.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,22 +18,49 @@ from foliant.session import materialize, release
 SMALL = 200_000
 
 
+def _finish(batches):
+    """Edges ``u, v`` in one task -> ``u, v``: each node but the smallest of a component, and that one."""
+    parent: dict = {}
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field("u").type
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    if kind is not None:
+        rows = [(x, r) for x in parent if (r := root(x)) != x]
+        for at in range(0, len(rows), 50_000):
+            us, vs = zip(*rows[at: at + 50_000])
+            yield pa.RecordBatch.from_arrays([pa.array(us, kind), pa.array(vs, kind)], ["u", "v"])
+
+
 def _star(directed: DataFrame) -> DataFrame:
     """``u, v, m``: m is the smallest of u and all its v."""
     least = directed.groupBy("u").agg(F.min("v").alias("m"))
     return directed.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
+def _both(first, second):
+    """Two rows for each one; unlike a union this keeps the number of partitions."""
+    return F.inline(F.array(F.struct(F.col(first[0]).alias("u"), F.col(first[1]).alias("v")),
+                            F.struct(F.col(second[0]).alias("u"), F.col(second[1]).alias("v"))))
+
+
 def _large(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(_both(("u", "v"), ("v", "u")))
     return _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     # edges point from the larger to the smaller node
-    stars = _star(edges)
-    return stars.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-        .unionByName(stars.select("u", F.col("m").alias("v"))).distinct()
+    return _star(edges).select(_both(("v", "m"), ("u", "m"))).where("u > v").distinct()
 
 
 def _mark(edges: DataFrame):
@@ -47,12 +75,16 @@ def connected_components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFr
         .select(F.greatest("_a", "_b").alias("u"), F.least("_a", "_b").alias("v")).distinct()
     current = materialize(pairs)
     mark = _mark(current)
-    while True:
-        rounds = current.coalesce(1) if mark[0] <= SMALL else current
-        following = materialize(_small(_large(rounds)))
+    while mark[0] > SMALL:
+        following = materialize(_small(_large(current)))
         release(current)
         current, before, mark = following, mark, _mark(following)
         if mark == before:
             break
+    else:
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in current.schema.fields)
+        following = materialize(current.coalesce(1).mapInArrow(_finish, kinds))
+        release(current)
+        current = following
     out = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return out.unionByName(out.select(F.col("component").alias("id"), "component").distinct())
