@@ -7,22 +7,29 @@ tokens. ``TREES`` independent trees branch the classes: a node chooses one or tw
 sketch coordinates (4/3 on average, the inverse of the threshold), and a class
 goes to the child of each chosen coordinate's minwise token.
 
-1. In every root child each class is paired with the child's smallest class
-   (linear in the child's size, however many copies it holds). The pairs that
-   the sketches allow are confirmed on the full sets and joined to components.
-2. The trees go on below the root children that still hold several components.
-   Nodes with up to ``LEAF_PAIRS`` pairs between components are compared
-   exhaustively (a node of one large component and a few other classes is such
-   a one); larger nodes branch again. After ``LEVELS`` levels, what is left in
-   large nodes is compared by a join of the classes outside the node's largest
-   component with the node, so no pair is dropped for its node's size.
-3. Deeper paths lose more pairs: classes whose nodes branched below the root go
+1. The root children of all trees that hold several classes. In small ones (up to
+   ``LEAF_PAIRS`` pairs) every class names the child's smallest class if the sketches
+   are alike enough, else its best partner; in large ones each class is tested against
+   the smallest one, whose sketch comes with the child. Every class keeps one
+   partner, so this is linear however many copies there are.
+2. These pairs are confirmed on the full sets and contracted to components.
+3. The trees go on below the root children that still hold several components.
+   Small nodes are compared exhaustively between components (a node of one large
+   component and a few other classes is such a one); larger nodes branch again.
+   After ``LEVELS`` levels, what is left in large nodes is compared by a join of
+   the classes outside the node's largest component with the node, so no pair is
+   dropped for its node's size.
+4. Deeper paths lose more pairs: classes whose nodes branched below the root go
    through more trees, as many as the deepest of these levels asks for
-   (``trees_for``), with steps 2 of their own.
-4. All pairs that the sketches allow are confirmed on the full sets.
+   (``trees_for``), with steps 3 of their own.
+5. All pairs of steps 3 and 4 that the sketches allow are confirmed on the full sets.
+
+Partners are found on the low bytes of the minwise tokens. A leaf tests its pairs on a
+second sketch, the smallest hashes of ``BINS`` bins, which with the sizes is near exact
+for short texts. Bytes that are equal by chance only add pairs to confirm.
 
 A pair of similarity 0.75 misses all its trees with a probability below ``MISS`` at
-every depth. The sketch filter lets a true pair fail with a probability below 1e-4.
+every depth. Each sketch filter lets a true pair fail with a probability below 1e-4.
 
 Defined results: null and empty texts have empty sets and link with nothing; a
 null doc_id links with nothing (``component_id`` null, kept); rows that repeat a
@@ -47,13 +54,17 @@ from foliant.session import materialize, release
 WORDS = 5
 #: Documents link with 100 * intersection >= PERCENT * union.
 PERCENT = 75
-COORDS, TREES, LEVELS = 128, 10, 6
+COORDS, TREES, LEVELS = 128, 11, 6
 #: Chance at most that the trees miss a pair at the threshold.
 MISS = 1e-5
 #: Nodes are compared exhaustively up to so many pairs between components, and so many classes.
-LEAF_PAIRS, LEAF_ROWS = 100_000, 20_000
+LEAF_PAIRS, LEAF_ROWS = 2_000_000, 20_000
 #: Equal sketch coordinates that a pair needs to be confirmed: 0.75 less 3.9 standard deviations.
 MIN_EQUAL = 77
+#: Equal coordinates from which a child's smallest class is taken without looking for a better partner.
+STAR_EQUAL = 102
+#: Bins of the second sketch, which leaves compare before a pair leaves them.
+BINS = 512
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -73,18 +84,44 @@ def minwise(own: np.ndarray) -> np.ndarray:
     return low.astype(np.uint32)
 
 
+def binned(own: np.ndarray) -> np.ndarray:
+    """One permutation sketch of a sorted set: a byte (1 to 255) of the smallest hash of each bin, 0 where it is empty."""
+    out = np.zeros(BINS, np.uint8)
+    place = (own >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    out[place[first]] = 1 + own[first] % np.uint64(255)
+    return out
+
+
+def bins_allow(bins: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int) -> np.ndarray:
+    """Whether sets may be similar enough to one set, by their second sketches and sizes.
+
+    The smallest elements of the bins that are not empty in both are a random sample,
+    without replacement, of the union, whose size at the threshold follows from the
+    two sizes. Its part in common may fall short by 3.9 standard deviations.
+    """
+    equal = ((bins == one) & (one > 0)).sum(axis=1)
+    drawn = ((bins > 0) | (one > 0)).sum(axis=1)
+    at = PERCENT / 100
+    union = np.maximum((sizes + size) / (1 + at), 2.0)
+    left = np.clip((union - drawn) / (union - 1), 0.0, 1.0)
+    enough = equal >= at * drawn - 3.9 * np.sqrt(drawn * at * (1 - at) * left) - 1
+    return enough & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+
+
 def _sketch(batches):
     for batch in batches:
         hashes, offsets = sets(batch.column("text"))
-        sizes, digests, sketches = [], [], []
+        sizes, digests, sketches, bins = [], [], [], []
         for a, b in zip(offsets[:-1], offsets[1:]):
             own = np.unique(hashes[a:b])
             sizes.append(len(own))
             digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
             sketches.append(minwise(own).tobytes() if len(own) else None)
+            bins.append(binned(own).tobytes() if len(own) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())],
-            ["doc_id", "n_shingles", "digest", "sketch"])
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()),
+             pa.array(bins, pa.binary())], ["doc_id", "n_shingles", "digest", "sketch", "bins"])
 
 
 def _chosen(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +146,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDS)
 
 
+def _bytes(values: list) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint8).reshape(-1, COORDS)
+
+
+def _low_bytes(sketches: np.ndarray) -> pa.Array:
+    low = sketches.astype(np.uint8)
+    return pa.array([row.tobytes() for row in low], pa.binary())
+
+
+def _short(batches):
+    """Classes -> the low bytes of their sketches."""
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), _low_bytes(_matrix(batch.column("sketch")))], ["rep", "short"])
+
+
 def trees_miss(levels: int, trees: int) -> float:
     """Chance that a pair at the threshold, past the sketch filter, meets in none of the
     trees, where nodes branch on so many levels below the root."""
@@ -153,44 +206,71 @@ def _children(batches):
 
 
 def _allowed(batches):
-    """Keep pairs with enough equal coordinates."""
+    """Keep pairs with enough equal coordinates, and count these."""
     for batch in batches:
         if batch.num_rows:
-            equal = (_matrix(batch.column("sketch_a")) == _matrix(batch.column("sketch_b"))).sum(axis=1) >= MIN_EQUAL
-            keep = pa.array(equal)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+            equal = (_bytes(batch.column("short_a").to_pylist()) == _bytes(batch.column("short_b").to_pylist())).sum(axis=1)
+            keep = pa.array(equal >= MIN_EQUAL)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep),
+                                              pa.array(equal, pa.int64()).filter(keep)], ["a", "b", "equal"])
 
 
-def _leaf_pairs(batches):
-    """Rows sorted by node -> pairs of different components that the sketches allow."""
+def _by_node(batches, columns):
+    """Rows sorted by node -> the lists of ``columns`` of each node of several rows."""
     held: list = []
     node = None
-
-    def compare(rows):
-        reps = np.array([r[0] for r in rows], np.int64)
-        labels = np.array([r[1] for r in rows], np.int64)
-        m = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, COORDS)
-        names, own, sizes = np.unique(labels, return_inverse=True, return_counts=True)
-        # one largest component first and in one piece, also among equals: it is never the outer side
-        order = np.lexsort((labels, -sizes[own]))
-        reps, labels, m = reps[order], labels[order], m[order]
-        a, b = [], []
-        for i in range(sizes.max(), len(rows)):
-            hit = np.flatnonzero(((m[:i] == m[i]).sum(axis=1) >= MIN_EQUAL) & (labels[:i] != labels[i]))
-            a.append(reps[hit])
-            b.append(np.full(len(hit), reps[i]))
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
     for batch in batches:
-        for n, *row in zip(*[batch.column(c).to_pylist() for c in ("node", "rep", "label", "sketch")]):
+        for n, *row in zip(*[batch.column(c).to_pylist() for c in ("node", *columns)]):
             if n != node:
                 if len(held) > 1:
-                    yield compare(held)
+                    yield tuple(map(list, zip(*held)))
                 node, held = n, []
             held.append(row)
     if len(held) > 1:
-        yield compare(held)
+        yield tuple(map(list, zip(*held)))
+
+
+def _leaf_pairs(batches):
+    """Rows sorted by node -> pairs of different components that the second sketches allow."""
+    for reps, labels, sizes, bins in _by_node(batches, ("rep", "label", "n_shingles", "bins")):
+        reps, labels, sizes = (np.array(x, np.int64) for x in (reps, labels, sizes))
+        m = np.frombuffer(b"".join(bins), np.uint8).reshape(-1, BINS)
+        names, own, counts = np.unique(labels, return_inverse=True, return_counts=True)
+        # one largest component first and in one piece, also among equals: it is never the outer side
+        order = np.lexsort((labels, -counts[own]))
+        reps, labels, sizes, m = reps[order], labels[order], sizes[order], m[order]
+        a, b = [], []
+        for i in range(int(counts.max()), len(reps)):
+            hit = np.flatnonzero(bins_allow(m[:i], sizes[:i], m[i], int(sizes[i])) & (labels[:i] != labels[i]))
+            a.append(reps[hit])
+            b.append(np.full(len(hit), reps[i]))
+        if a:
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _leaf_partners(batches):
+    """Rows sorted by node -> a partner ``a`` of each class ``b``, if the sketches allow one:
+    the node's smallest class where it is alike enough, else the most alike one."""
+    for reps, shorts in _by_node(batches, ("rep", "short")):
+        reps, m = np.array(reps, np.int64), _bytes(shorts)
+        a, b, counts = [], [], []
+        head = int(reps.argmin())
+        star = (m == m[head]).sum(axis=1)
+        for i in range(len(reps)):
+            if i == head:
+                continue
+            best, equal = head, int(star[i])
+            if equal < STAR_EQUAL:
+                every = (m == m[i]).sum(axis=1)
+                every[i] = 0
+                best = int(every.argmax())
+                equal = int(every[best])
+            if equal >= MIN_EQUAL:
+                a.append(reps[best])
+                b.append(reps[i])
+                counts.append(equal)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(counts, pa.int64())], ["a", "b", "equal"])
 
 
 def _confirm(batches):
@@ -212,17 +292,35 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    one = pairs.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-    return one.join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b") \
-        .mapInArrow(_allowed, "a bigint, b bigint")
+_ROOTS = "node bigint, rep bigint"
+_PAIRS, _COUNTED = "a bigint, b bigint", "a bigint, b bigint, equal bigint"
+
+
+def _side(classes: DataFrame, name: str) -> DataFrame:
+    return classes.select(F.col("rep").alias(name), F.col("short").alias(f"short_{name}"))
+
+
+def _best(candidates: DataFrame) -> DataFrame:
+    """One partner ``a`` of each ``b``: the one of most equal coordinates (ties: the smallest)."""
+    best = candidates.groupBy("b").agg(F.max(F.struct("equal", (-F.col("a")).alias("_a"))).alias("_top"))
+    return best.select((-F.col("_top._a")).alias("a"), "b")
+
+
+def _partners(shared: DataFrame) -> DataFrame:
+    """Allowed pairs in the root children ``node, rep, short, leaf, head``: a partner for each class."""
+    small = shared.where("leaf").select("node", "rep", "short") \
+        .repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_partners, _COUNTED)
+    large = shared.where("not leaf")
+    heads = large.where("rep = head").select("node", F.col("rep").alias("a"), F.col("short").alias("short_a"))
+    stars = large.where("rep <> head").select("node", F.col("rep").alias("b"), F.col("short").alias("short_b")).join(heads, "node")
+    return small.unionByName(stars.select("a", "b", "short_a", "short_b").mapInArrow(_allowed, _COUNTED))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of doc_ids whose texts' full sets are similar enough."""
     one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return materialize(both.mapInArrow(_confirm, "a bigint, b bigint").distinct())
+    return materialize(both.mapInArrow(_confirm, _PAIRS))
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -231,22 +329,28 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open_nodes(rows: DataFrame) -> DataFrame:
-    """Nodes that hold several components, and whether they are small enough to compare."""
+    """Nodes that hold several components, whether they are small enough to compare, and
+    their largest component ``top``."""
     sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
-        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
-    leaf = (F.col("n") * F.col("n") - F.col("sq") <= 2 * LEAF_PAIRS) & (F.col("n") <= LEAF_ROWS)
-    return sizes.where("labels > 1").select("node", leaf.alias("leaf"))
+        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"),
+        F.max(F.struct("n", "label")).alias("_top"))
+    return sizes.where("labels > 1").select("node", _is_leaf(F.col("n"), F.col("sq")).alias("leaf"), F.col("_top.label").alias("top"))
+
+
+def _is_leaf(rows, squares):
+    return (rows * rows - squares <= 2 * LEAF_PAIRS) & (rows <= LEAF_ROWS)
 
 
 def _descend(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Pairs between components below root children (``node, rep, label``), and ``rep, levels``
     of the classes whose nodes branched (None: none did)."""
-    rows = materialize(rows)
-    pairs = deep = None
+    pairs = deep = above = None
     for level in range(LEVELS + 1):
-        rows = materialize(rows.join(_open_nodes(rows), "node").select("node", "rep", "label", "leaf"))
-        leaves = rows.where("leaf").join(classes, "rep").select("node", "rep", "label", "sketch")
-        found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, "a bigint, b bigint")
+        rows = materialize(rows.join(_open_nodes(rows).select("node", "leaf"), "node").select("node", "rep", "label", "leaf"))
+        if above is not None:
+            release(above)
+        leaves = rows.where("leaf").join(classes.select("rep", "n_shingles", "bins"), "rep").select("node", "rep", "label", "n_shingles", "bins")
+        found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, _PAIRS)
         large = rows.where("not leaf")
         last = level == LEVELS or large.isEmpty()
         if level == LEVELS:
@@ -254,31 +358,40 @@ def _descend(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame
         found = materialize(found.distinct())
         pairs = found if pairs is None else pairs.unionByName(found)
         if last:
+            release(rows)
             return pairs, deep
-        branched = large.select("rep", F.lit(level + 1).alias("levels")).distinct()
+        branched = materialize(large.select("rep", F.lit(level + 1).alias("levels")).distinct())
         deep = branched if deep is None else deep.unionByName(branched)
-        rows = materialize(large.join(classes, "rep").select("node", "rep", "label", "sketch")
-                           .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct())
+        below = large.select("node", "rep", "label").join(classes.select("rep", "sketch"), "rep").select("node", "rep", "label", "sketch") \
+            .mapInArrow(_children, "node bigint, rep bigint, label bigint").distinct()
+        above, rows = rows, materialize(below)
+        release(above)
+        above = rows
 
 
 def near_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """``id, component`` of the class representatives that link with another class."""
     classes = materialize(sketched.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles")
-                          .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")).select("rep", "sketch"))
-    roots = classes.withColumns({"low": F.lit(0), "high": F.lit(TREES)}).mapInArrow(_roots, "node bigint, rep bigint")
-    heads = roots.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("_b")).where("a < _b").select("node", "a")
-    shared = materialize(roots.join(heads.hint("merge"), "node"))  # root children of several classes
-    # their texts, once; the hint keeps the plan the same at every size
+                          .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch"), F.min("bins").alias("bins"))
+                          .select("rep", "n_shingles", "sketch", "bins"))
+    trees = classes.select("rep", "sketch", F.lit(0).alias("low"), F.lit(TREES).alias("high"))
+    roots = trees.mapInArrow(_roots, _ROOTS)
+    # root children of several classes; the hints keep the plan the same at every size
+    several = roots.groupBy("node").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("_n")).where("_n > 1") \
+        .select("node", "head", _is_leaf(F.col("_n"), F.col("_n")).alias("leaf"))
+    shorts = classes.select("rep", "sketch").mapInArrow(_short, "rep bigint, short binary")
+    shared = materialize(roots.join(several.hint("merge"), "node").join(shorts.hint("merge"), "rep")
+                         .select("node", "rep", "short", "leaf", "head"))
+    # their texts, once
     ids = shared.select(F.col("rep").alias("doc_id")).distinct()
     texts = materialize(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"))
-    # 1. stars of the root children
-    stars = shared.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    nearest = _with_sketches(stars, classes).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = confirmed(nearest, texts)
+    # 1. and 2. one partner for each class
+    first = confirmed(_best(_partners(shared)), texts)
     labels = materialize(connected_components(first, "a", "b"))
-    # 2. the trees below, between components only
+    # 3. the trees below, between components only
     pairs, depths = _descend(_labelled(shared, labels), classes)
-    # 3. more trees for classes whose nodes branched
+    release(shared)
+    # 4. more trees for classes whose nodes branched
     need = F.lit([trees_for(levels) for levels in range(LEVELS + 1)])
     ran = None
     while depths is not None:
@@ -288,26 +401,25 @@ def near_links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         ran = materialize(wanted.where("high > low"))
         if ran.isEmpty():
             break
-        more = classes.join(ran, "rep").select("rep", "sketch", "low", "high").mapInArrow(_roots, "node bigint, rep bigint")
-        found, depths = _descend(_labelled(more, labels), classes)
-        pairs = pairs.unionByName(found)
-    # 4. confirm
+        more = classes.join(ran, "rep").select("rep", "sketch", "low", "high").mapInArrow(_roots, _ROOTS)
+        more, depths = _descend(_labelled(more, labels), classes)
+        pairs = pairs.unionByName(more)
+    # 5. confirm
     second = confirmed(pairs.distinct(), texts)
     linked = materialize(connected_components(first.unionByName(second), "a", "b"))
-    release(classes, shared, texts)
+    release(classes, texts, labels, first, second)
     return linked
 
 
 def _rest(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs in large nodes: classes outside the node's largest component with the node."""
-    sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("node").agg(F.max(F.struct("n", "label")).alias("top")) \
-        .select("node", F.col("top.label").alias("top"))
-    outside = rows.join(largest, "node").where(F.col("label") != F.col("top")) \
+    outside = rows.join(_open_nodes(rows).select("node", "top"), "node").where(F.col("label") != F.col("top")) \
         .select("node", F.col("rep").alias("x"), F.col("label").alias("lx"))
     pairs = rows.select("node", "rep", "label").join(outside, "node").where(F.col("label") != F.col("lx")) \
         .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-    return _with_sketches(pairs, classes)
+    shorts = classes.select("rep", "sketch").mapInArrow(_short, "rep bigint, short binary")
+    return pairs.join(_side(shorts, "a"), "a").join(_side(shorts, "b"), "b") \
+        .select("a", "b", "short_a", "short_b").mapInArrow(_allowed, _COUNTED).select("a", "b")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -315,7 +427,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     small_batches(docs, 250)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sketched = materialize(docs.mapInArrow(
-        _sketch, "doc_id bigint, n_shingles bigint, digest binary, sketch binary"))
+        _sketch, "doc_id bigint, n_shingles bigint, digest binary, sketch binary, bins binary"))
     linked = near_links(docs, sketched)
     members = sketched.select("doc_id", "n_shingles", "digest")
     reps = members.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles") \

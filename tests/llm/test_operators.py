@@ -82,6 +82,22 @@ def test_decontamination_equals_brute_force(spark, odd_docs, no_docs):
 
 # -- 3 ------------------------------------------------------------------------
 
+def test_decontamination_with_exchanged_tokens(spark):
+    """Beyond the broadcast bound no row carries a whole text, and the result is the same."""
+    long = english(20_000, 11).split()
+    items = [(1, " ".join(long[700:715])), (2, " ".join(long[19_990:])), (3, "short one"), (4, english(30, 12))]
+    rows = [(1, " ".join(long)), (2, english(300, 13)), (3, "x short one y"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    toks = decontaminate.tokens(decontaminate.windows(bench))
+    plan = decontaminate.places(docs, toks, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    both = [sorted(decontaminate.digest(decontaminate.decontaminate(docs, bench, n)).collect(), key=repr) for n in (0, 1_000_000)]
+    assert both[0] == both[1]
+    by_id = {r.doc_id: r for r in both[0]}
+    assert (by_id[1].n_hit, by_id[1].n_items, by_id[3].n_hit, by_id[2].contaminated) == (25, 2, 2, False)
+
+
 def test_cross_entropy_difference(spark, no_docs, odd_docs, odd_labels):
     good = [(i, english(60, i % 3)) for i in range(40)]
     bad = [(100 + i, " ".join(f"q{(i * 31 + k) % 97}" for k in range(60))) for i in range(40)]
@@ -191,13 +207,36 @@ def test_leaves_compare_components_of_equal_size():
     """Interleaved components that tie for the largest: every cross pair is compared."""
     import numpy as np
     import pyarrow as pa
-    sketches = [np.full(near_dedup.COORDS, k, np.uint32).tobytes() for k in (7, 7, 8, 9)]
-    batch = pa.RecordBatch.from_arrays([pa.array([5] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 2, 1, 2]), pa.array(sketches)],
-                                       ["node", "rep", "label", "sketch"])
+    bins = [np.full(near_dedup.BINS, k, np.uint8).tobytes() for k in (7, 7, 8, 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 2, 1, 2]), pa.array([90] * 4), pa.array(bins)],
+                                       ["node", "rep", "label", "n_shingles", "bins"])
     got = [r for out in near_dedup._leaf_pairs([batch]) for r in out.to_pylist()]
     assert got == [{"a": 1, "b": 2}]
 
 
+def test_second_sketch_keeps_all_similar_sets():
+    """Pairs at the threshold pass, at every size; most pairs well below it don't."""
+    import numpy as np
+    draw = np.random.default_rng(8)
+
+    def passed(size, common, times):
+        out = 0
+        for _ in range(times):
+            values = np.unique(draw.integers(0, 2**64, 2 * size - common + 8, np.uint64))
+            draw.shuffle(values)
+            a, b = np.sort(values[:size]), np.sort(values[size - common: 2 * size - common])
+            out += int(near_dedup.bins_allow(near_dedup.binned(a)[None, :], np.array([size]), near_dedup.binned(b), size)[0])
+        return out
+
+    for size in (4, 7, 35, 140, 700, 7000):
+        common = -(-150 * size // 175)  # similarity 0.75 or just above
+        assert passed(size, common, 300) == 300
+    for size in (140, 700, 7000):
+        common = 124 * size // 162  # similarity 0.62
+        assert passed(size, common, 200) < 20
+    assert not near_dedup.bins_allow(near_dedup.binned(np.arange(9, dtype=np.uint64))[None, :], np.array([9]), near_dedup.binned(np.arange(13, dtype=np.uint64)), 13)[0]
+
+
 def test_trees_follow_the_depth():
     """At six levels, by simulation: the trees of the root lose pairs, those for the depth don't."""
     import numpy as np
@@ -325,6 +364,15 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).collect() == []
 
 
+def test_archives_are_read_by_several_tasks(spark, tmp_path):
+    names = spark.createDataFrame([(f"a{i}",) for i in range(40)], "archive string")
+    frame = warc.read_archives(spark, str(tmp_path), names)
+    assert frame.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    from pyspark.sql import functions as F
+    dealt = names.distinct().repartition(4, F.xxhash64("archive", F.lit("deal"))).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) > 1
+
+
 def test_warc_records_stand_alone(spark, tmp_path):
     """Any record can be read by the dictionary and its offset."""
     import struct
