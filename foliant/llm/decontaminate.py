@@ -81,8 +81,7 @@ def places(docs: DataFrame, toks: DataFrame, broadcast_tokens: int = BROADCAST_T
     sizes = sorted(r["k"] for r in toks.select("k").distinct().collect())  # at most TOKEN rows
     # the hash alone, so that the lookup has one long key; the words are compared later
     known = toks.select(F.col("g").alias("_g")).distinct()
-    if known.count() <= broadcast_tokens:
-        known = F.broadcast(known)
+    small = known.count() <= broadcast_tokens
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("hash"),
                        item_words(F.col("text")).alias("w")) \
         .withColumn("h", _word_hashes(F.col("w")))
@@ -95,11 +94,15 @@ def places(docs: DataFrame, toks: DataFrame, broadcast_tokens: int = BROADCAST_T
     # outer: the plain form would compute the array twice, once to drop empty ones
     each = rows.select("rid", "doc_id", "hash", "w", F.posexplode_outer(F.concat(*lists)).alias("i", "g")) \
         .select("rid", "doc_id", "hash", "w", k_of.alias("k"), pos_of.alias("pos"), "g")
-    found = each.join(known, F.col("g") == F.col("_g"), "left") \
-        .where(F.col("_g").isNotNull() | F.col("pos").isNull())
-    return found.select("rid", "doc_id", "hash", F.size("w").alias("n_words"), "k", "pos", "g",
-                        F.when(F.col("pos").isNotNull(),
-                               F.array_join(F.slice("w", F.col("pos") + 1, F.col("k")), " ")).alias("gw"))
+    gw = F.when(F.col("pos").isNotNull(), F.array_join(F.slice("w", F.col("pos") + 1, F.col("k")), " ")).alias("gw")
+    narrow = ["rid", "doc_id", "hash", F.size("w").alias("n_words"), "k", "pos", "g", gw]
+    if small:
+        found = each.join(F.broadcast(known), F.col("g") == F.col("_g"), "left").where(F.col("_g").isNotNull() | F.col("pos").isNull())
+        return found.select(*narrow)
+    # beyond the bound the rows are exchanged, with their own words only; header rows stay apart
+    rows = each.select(*narrow)
+    return rows.where("pos is null").unionByName(
+        rows.where("pos is not null").join(known, F.col("g") == F.col("_g"), "left_semi"))
 
 
 def hits(found: DataFrame, toks: DataFrame) -> DataFrame:
@@ -125,14 +128,14 @@ def hits(found: DataFrame, toks: DataFrame) -> DataFrame:
         .where(F.col("n") == F.col("n_tokens")).select("rid", "start", "len", "wid")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
     """``doc_id, hash, n_words, n_hit, n_items, items, contaminated`` of every row of ``docs``.
 
     ``items`` is the sorted array of the ids of the items with occurring windows.
     """
     wins = materialize(windows(benchmark))
     toks = materialize(tokens(wins))
-    found = materialize(places(docs.select("doc_id", "text"), toks))
+    found = materialize(places(docs.select("doc_id", "text"), toks, broadcast_tokens))
     occurring = materialize(hits(found, toks))
     names = wins.select("item", F.array_join("win", " ").alias("wid"))
 
