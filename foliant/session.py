@@ -93,18 +93,30 @@ def materialize(df):
     what a returned DataFrame still reads goes when the driver ends.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, "stage")
+    path = stage_folder(spark, "stage").path
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
+    return out
+
+
+class StageFolder:
+    """A folder for stage tables that are written piece by piece; ``release`` removes it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.sparkSession, self.path, self._stage_path = spark, path, path
+
+
+def stage_folder(spark: SparkSession, name: str) -> StageFolder:
+    folder = StageFolder(spark, scratch_dir(spark, name))
     if not _STAGES:
         atexit.register(release_all)
-    _STAGES[path] = spark
-    return out
+    _STAGES[folder.path] = spark
+    return folder
 
 
 def release(*frames) -> None:
-    """Remove the tables behind materialized frames that nothing reads any more."""
+    """Remove the tables behind materialized frames (or stage folders) that nothing reads any more."""
     for df in frames:
         path = getattr(df, "_stage_path", None)
         if path and _STAGES.pop(path, None) is not None:
