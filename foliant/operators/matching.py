@@ -8,7 +8,8 @@ Two halves:
   sub-folders and resolution of folder names to folder rows.
 * A deterministic, distributed matcher that replaces the model call:
   normalised names, candidate pairs by prefix filtering on rare tokens and by
-  segments that small edits leave unchanged (together exact), a score
+  segments, cut where names differ, that small edits leave unchanged (together
+  exact), a score
   ``greatest(edit similarity, token Jaccard)``, best folders per name and name
   clusters by connected components.
 """
@@ -100,15 +101,20 @@ FENCE_PATTERN = r"```json\s*([\s\S]+?)\s*```"
 
 def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
     """``batch_no, ok, parsed``: the first fenced JSON block parsed; blocked,
-    unfenced or invalid answers have ``ok = false`` (their names stay new)."""
+    unfenced or invalid answers have ``ok = false`` (their names stay new). The block
+    must be one strict JSON object (no single quotes), whose two maps, where present,
+    are objects of the expected shape."""
     block = F.regexp_extract(F.col(text_col), FENCE_PATTERN, 1)
     # one JSON value and nothing behind it, and that an object
     whole = F.startswith(F.trim(block), F.lit("{")) & (F.json_array_length(F.concat(F.lit("["), block, F.lit("]"))) == 1)
-    parsed = F.from_json(F.when(F.coalesce(whole, F.lit(False)), block), RESPONSE_SCHEMA, {"mode": "PERMISSIVE"})
-    out = responses.select("batch_no", parsed.alias("parsed"))
-    ok = F.col("parsed").isNotNull() & (F.col("parsed.consolidation_map").isNotNull()
-                                        | F.col("parsed.match_map").isNotNull())
-    return out.withColumn("ok", ok)
+    block = F.when(F.coalesce(whole, F.lit(False)), block)
+    parsed = F.from_json(block, RESPONSE_SCHEMA, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    out = responses.select("batch_no", parsed.alias("parsed"), block.alias("_block"))
+    maps = ("consolidation_map", "match_map")
+    some = F.col("parsed.consolidation_map").isNotNull() | F.col("parsed.match_map").isNotNull()
+    shaped = [F.get_json_object("_block", f"$.{m}").isNull() | F.col(f"parsed.{m}").isNotNull() for m in maps]
+    ok = F.col("parsed").isNotNull() & some & shaped[0] & shaped[1]
+    return out.withColumn("ok", ok).drop("_block")
 
 
 def consolidation_entries(parsed: DataFrame) -> DataFrame:
@@ -179,10 +185,15 @@ def client_folder_table(resolved: DataFrame) -> DataFrame:
 
 
 def incremental_merge(old_map: DataFrame, new_map: DataFrame, key: str,
-                      new_keys: DataFrame | None = None) -> DataFrame:
+                      new_keys: DataFrame | None = None, on_conflict: str = "replace") -> DataFrame:
     """``{**old, **new}``: a key present in the new map replaces all old rows
     of that key, even when its new list is empty (``new_keys`` lists the keys
-    of the new map; default: the keys that have rows)."""
+    of the new map; default: the keys that have rows). With ``on_conflict='union'``
+    a key keeps its old rows and takes the new ones that it does not have yet."""
+    if on_conflict == "union":
+        return old_map.unionByName(new_map).distinct()
+    if on_conflict != "replace":
+        raise ValueError("on_conflict must be 'replace' or 'union'")
     keys = (new_keys if new_keys is not None else new_map).select(key).distinct()
     keep_old = old_map.join(keys, key, "left_anti")
     return keep_old.unionByName(new_map)
@@ -228,8 +239,10 @@ def _score(a_norm, b_norm, a_tok, b_tok):
     inter = F.size(F.array_intersect(a_tok, b_tok))
     union = F.size(F.array_union(a_tok, b_tok))
     jac = inter.cast("double") / union.cast("double")
-    lev = F.lit(1.0) - F.levenshtein(a_norm, b_norm).cast("double") / \
-        F.greatest(F.length(a_norm), F.length(b_norm)).cast("double")
+    longest = F.greatest(F.length(a_norm), F.length(b_norm))
+    # stops at the allowed edits (-1 beyond them)
+    edits = F.call_function("levenshtein", a_norm, b_norm, _edits(longest))
+    lev = F.when(edits >= 0, F.lit(1.0) - edits.cast("double") / longest.cast("double")).otherwise(F.lit(0.0))
     return F.greatest(lev, jac)
 
 
@@ -246,46 +259,88 @@ def _edits(length):
     return F.floor(F.lit(100 - THRESHOLD_PCT) * length / 100).cast("int")
 
 
-def _cut(length, edits, k):
-    """Start (0-based) and length of segment ``k`` of ``edits + 1`` nearly even ones."""
-    parts = edits + 1
-    base, long_from = F.floor(length / parts).cast("int"), parts - length % parts
-    return k * base + F.greatest(F.lit(0), k - long_from), base + (k >= long_from).cast("int")
+def cut_table(names: DataFrame) -> DataFrame:
+    """``n, t, k, s, z``: start and length of the ``t + 1`` segments of names of length ``n``.
 
-
-def _edit_candidates(short: DataFrame, long: DataFrame) -> DataFrame:
+    The cuts follow what the places of a name tell apart: a place weighs as much as its
+    letter says beyond the two letters before it, over all names of that length (the
+    logarithm of the ratio of collision rates of letter pairs and letter triples there).
+    So a long ending that many names share lies in one segment together with letters
+    that differ, and no segment is common to them all. The segments in the middle, which
+    may have moved farther, get more weight than those at the ends. Any cut into
+    ``t + 1`` non-empty pieces is complete; the weights only choose between them.
+    """
+    from pyspark.sql import Window
+    sized = names.select("norm", F.length("norm").alias("n")).withColumn("t", _edits(F.col("n"))).where("t > 0")
+    places = sized.select("n", "t", "norm", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("p"))
+
+    def collisions(width, out):
+        gram = F.col("norm").substr(F.greatest(F.lit(1), F.col("p") + (2 - width)), F.least(F.lit(width), F.col("p") + 1))
+        counts = places.groupBy("n", "t", "p", gram.alias("g")).agg(F.count(F.lit(1)).cast("double").alias("c"))
+        # pairs of different names; half a pair more, so that the rate is never zero
+        return counts.groupBy("n", "t", "p").agg(((F.sum(F.col("c") * (F.col("c") - 1)) + 0.5) / (F.sum("c") * (F.sum("c") - 1) + 1)).alias(out))
+
+    before = collisions(2, "c2").select("n", (F.col("p") + 1).alias("p"), "c2")
+    weight = F.greatest(F.log(F.coalesce("c2", F.lit(1.0)) / F.col("c3")), F.lit(0.0)) + F.lit(0.02)
+    rows = collisions(3, "c3").join(before, ["n", "p"], "left").select("n", "t", "p", weight.alias("w"))
+    by_place, whole = Window.partitionBy("n").orderBy("p"), Window.partitionBy("n")
+    # segment i may stand at 2 min(i, t - i) + 1 places of the other name, so it needs that much more weight
+    places_of = lambda i: F.log(2 * F.least(i, F.col("t") - i) + 1)
+    spent = lambda last: F.aggregate(F.sequence(F.lit(0), last), F.lit(0.0), lambda acc, i: acc + places_of(i))
+    each = F.greatest((F.sum("w").over(whole) - spent(F.col("t"))) / (F.col("t") + 1), F.lit(0.01))
+    rows = rows.withColumn("_each", each).withColumn("_mid", F.sum("w").over(by_place) - F.col("w") / 2)
+    ends = F.transform(F.sequence(F.lit(1), F.col("t")), lambda j: j * F.col("_each") + spent(j - 1))
+    rows = rows.withColumn("j", F.size(F.filter(ends, lambda x: x <= F.col("_mid"))))
+    rows = rows.withColumn("_j", F.coalesce(F.lag("j").over(by_place), F.lit(-1))).where("j > _j")
+    reached = rows.select("n", F.explode(F.sequence(F.col("_j") + 1, F.col("j"))).alias("k"), "p")
+    wanted = sized.select("n", "t").distinct().select("n", "t", F.explode(F.sequence(F.lit(0), F.col("t"))).alias("k"))
+    starts = wanted.join(reached, ["n", "k"], "left").withColumn("p", F.coalesce("p", "n"))
+    by_cut = Window.partitionBy("n").orderBy("k")
+    start = F.least(F.max(F.col("p") - F.col("k")).over(by_cut) + F.col("k"), F.col("n") - (F.col("t") + 1 - F.col("k")))
+    starts = starts.withColumn("s", start)
+    return starts.select("n", "t", "k", "s", (F.coalesce(F.lead("s").over(by_cut), F.col("n")) - F.col("s")).alias("z"))
+
+
+def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame) -> DataFrame:
     """``a, b``: pairs with ``|a| <= |b|`` that may be within the edits of ``b``.
 
-    ``b`` is cut into one segment more than the edits allow, so one of them
-    stands unchanged in ``a``, at most that many places from its own. Exact
-    equi-joins on (length of b, segment number, segment text).
+    ``b`` is cut into one segment more than the edits allow (``cut_table``), so one of
+    them stands unchanged in ``a``. Counting the edits from both ends, for the first
+    segment ``k`` with at most ``k`` edits up to its end there are ``k`` edits before it and
+    at most ``t - k`` behind, which bounds its place in ``a`` from the left and from the
+    right. Exact equi-joins on (length of b, segment number, segment text).
     """
-    own = long.select(F.col("norm").alias("b"), F.length("norm").alias("n")).withColumn("t", _edits(F.col("n"))) \
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
-    start, size = _cut(F.col("n"), F.col("t"), F.col("k"))
-    index = own.select("b", "n", "k", start.alias("s"), size.alias("z")) \
-        .select("b", "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
+    own = long.select(F.col("norm").alias("b"), F.length("norm").alias("n")).join(cuts, "n")
+    index = own.select("b", "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
     probe = short.select(F.col("norm").alias("a"), F.length("norm").alias("m"))
     reach = F.ceil(F.col("m") * 100 / F.lit(THRESHOLD_PCT)).cast("int")
-    probe = probe.withColumn("n", F.explode(F.sequence(F.col("m"), F.greatest(reach, F.col("m"))))).withColumn("t", _edits(F.col("n"))) \
-        .where(F.col("n") - F.col("t") <= F.col("m")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
-    start, size = _cut(F.col("n"), F.col("t"), F.col("k"))
-    probe = probe.withColumn("s", start).withColumn("z", size) \
-        .withColumn("lo", F.greatest(F.lit(0), F.col("s") - F.col("t"))) \
-        .withColumn("hi", F.least(F.col("m") - F.col("z"), F.col("s") + F.col("t"))).where("lo <= hi") \
+    probe = probe.withColumn("n", F.explode(F.sequence(F.col("m"), F.greatest(reach, F.col("m"))))) \
+        .where(F.col("n") - _edits(F.col("n")) <= F.col("m")).join(cuts, "n")
+    right = F.col("s") + F.col("m") - F.col("n")
+    probe = probe.withColumn("lo", F.greatest(F.lit(0), F.col("s") - F.col("k"), right - (F.col("t") - F.col("k")))) \
+        .withColumn("hi", F.least(F.col("m") - F.col("z"), F.col("s") + F.col("k"), right + (F.col("t") - F.col("k")))).where("lo <= hi") \
         .withColumn("p", F.explode(F.sequence("lo", "hi"))) \
         .select("a", "n", "k", F.col("a").substr(F.col("p") + 1, F.col("z")).alias("seg")).distinct()
     return probe.join(index, ["n", "k", "seg"]).select("a", "b").distinct()
 
 
-def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``norm, other``: every pair that can pass the threshold by tokens or by edits."""
+def _shared_tokens(left: DataFrame, right: DataFrame) -> DataFrame:
     freq = token_frequencies(left, right)
-    shared = _prefix_tokens(left, freq, "norm").join(
+    return _prefix_tokens(left, freq, "norm").join(
         _prefix_tokens(right, freq, "norm").withColumnRenamed("norm", "other"), "token").select("norm", "other")
-    up = _edit_candidates(left, right).select(F.col("a").alias("norm"), F.col("b").alias("other"))
-    down = _edit_candidates(right, left).select(F.col("b").alias("norm"), F.col("a").alias("other"))
-    return shared.unionByName(up).unionByName(down).distinct()
+
+
+def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``norm, other``: every pair that can pass the threshold by tokens or by edits."""
+    up = _edit_candidates(left, right, cut_table(right)).select(F.col("a").alias("norm"), F.col("b").alias("other"))
+    down = _edit_candidates(right, left, cut_table(left)).select(F.col("b").alias("norm"), F.col("a").alias("other"))
+    return _shared_tokens(left, right).unionByName(up).unionByName(down).distinct()
+
+
+def _self_candidates(u: DataFrame) -> DataFrame:
+    """The same within one list, each pair once (``norm < other``)."""
+    edits = _edit_candidates(u, u, cut_table(u)).select(F.least("a", "b").alias("norm"), F.greatest("a", "b").alias("other"))
+    return _shared_tokens(u, u).unionByName(edits).where("norm < other").distinct()
 
 
 def _scored(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -317,7 +372,7 @@ def match_best(pairs: DataFrame) -> DataFrame:
 def name_edges(names: DataFrame) -> DataFrame:
     """Edges ``norm, other`` (norm the smaller) between normal forms that match each other."""
     u = names.select("norm", "tokens").distinct()
-    return _scored(_candidates(u, u).where(F.col("norm") < F.col("other")), u, u).select("norm", "other")
+    return _scored(_self_candidates(u), u, u).select("norm", "other")
 
 
 def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
