@@ -150,6 +150,46 @@ def fx_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("name"), F.col("o_orderdate").alias("mtime"), (k % 11 == 0).alias("trashed"))
 
 
+_LETTERS = ("0123456789abcdef", "ABCDEFGHIJKLMNOP")
+
+
+def fx_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company names that grow with the customers, most with a long common ending; every
+    fourth is the name of the customer before it with typing mistakes."""
+    k = F.col("c_custkey")
+    base = F.when(k % 4 == 3, k - 1).otherwise(k)
+    letters = F.translate(F.substring(F.md5(base.cast("string")), 1, 8), *_LETTERS)
+    ending = F.when(base % 3 == 0, " COMERCIO DE ALIMENTOS LTDA").when(base % 3 == 1, " INDUSTRIA E COMERCIO S/A").otherwise(" SERVICOS")
+    name = F.concat(letters, ending)
+    typo = F.when(k % 12 == 3, F.concat(F.substring(name, 1, 3), F.substring(name, 5, 100))) \
+        .when(k % 12 == 7, F.concat(F.substring(name, 1, 5), F.lit("Z"), F.substring(name, 6, 100))) \
+        .otherwise(F.concat(F.lower(F.substring(name, 1, 1)), F.lit("X"), F.substring(name, 3, 100)))
+    return table(spark, sf_dir, "customer").select(k.alias("ord"), F.when(k % 4 == 3, typo).otherwise(name).alias("name"))
+
+
+def fx_folder_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of folders (customers move, are renamed or removed, now and then a nation)
+    among changes of files, none of which asks for a re-walk."""
+    e, u = F.col("event_id"), F.col("user_id")
+    folder = F.lit(FOLDER_MIME)
+    events = table(spark, sf_dir, "events")
+    null_s = F.lit(None).cast("string")
+    customers = events.where(e % 23 == 3).select(
+        e.alias("seq"), F.concat(F.lit("c"), u).alias("file_id"), (e % 5 == 0).alias("removed"),
+        F.concat(F.lit("n"), e % 25).alias("parent_id"), F.concat(F.lit("moved_"), e).alias("name"), folder.alias("mime_type"),
+        F.lit(None).cast("bigint").alias("size"))
+    nations = events.where(e % 1511 == 11).select(
+        e.alias("seq"), F.concat(F.lit("n"), e % 25).alias("file_id"), F.lit(False).alias("removed"),
+        F.concat(F.lit("r"), e % 5).alias("parent_id"), F.concat(F.lit("nation_"), e).alias("name"), folder.alias("mime_type"),
+        F.lit(None).cast("bigint").alias("size"))
+    files = events.where((e % 23 != 3) & (e % 1511 != 11)).select(
+        e.alias("seq"), F.concat(F.lit("o"), u).alias("file_id"), (F.col("event_type") == "error").alias("removed"),
+        F.concat(F.lit("c"), u).alias("parent_id"), F.concat(F.lit("order_"), u, F.lit("_v"), e).alias("name"),
+        F.lit("application/pdf").alias("mime_type"), (F.floor("value") * 100000).alias("size"))
+    return customers.unionByName(nations).unionByName(files).withColumn("change_type", F.lit("file")) \
+        .withColumn("parent_id", F.when(F.col("removed"), null_s).otherwise(F.col("parent_id")))
+
+
 # ---------------------------------------------------------------------------
 # DuckDB text of the same views, for oracle_sql().
 # ---------------------------------------------------------------------------
@@ -203,6 +243,22 @@ SQL_VIEWS = {
                   n_regionkey, '"}, "match_map": {"M_', n_regionkey, '": ["', n_name,
                   '", "missing"]}}', chr(10), '``` done') end response
   from nation""",
+    "fx_company": """
+  select c_custkey ord, case when c_custkey % 4 <> 3 then name when c_custkey % 12 = 3 then substr(name, 1, 3) || substr(name, 5, 100)
+         when c_custkey % 12 = 7 then substr(name, 1, 5) || 'Z' || substr(name, 6, 100)
+         else lower(substr(name, 1, 1)) || 'X' || substr(name, 3, 100) end name
+  from (select c_custkey, translate(substr(md5(cast(b as varchar)), 1, 8), '0123456789abcdef', 'ABCDEFGHIJKLMNOP')
+           || case b % 3 when 0 then ' COMERCIO DE ALIMENTOS LTDA' when 1 then ' INDUSTRIA E COMERCIO S/A' else ' SERVICOS' end name
+        from (select c_custkey, case when c_custkey % 4 = 3 then c_custkey - 1 else c_custkey end b from customer))""",
+    "fx_folder_change": """
+  select event_id seq, concat('c', user_id) file_id, event_id % 5 = 0 removed,
+         case when event_id % 5 = 0 then null else concat('n', event_id % 25) end parent_id, concat('moved_', event_id) name,
+         'application/vnd.google-apps.folder' mime_type, null::bigint size from events where event_id % 23 = 3
+  union all select event_id, concat('n', event_id % 25), false, concat('r', event_id % 5), concat('nation_', event_id),
+         'application/vnd.google-apps.folder', null from events where event_id % 1511 = 11
+  union all select event_id, concat('o', user_id), event_type = 'error', case when event_type = 'error' then null else concat('c', user_id) end,
+         concat('order_', user_id, '_v', event_id), 'application/pdf', cast(floor(value) as bigint) * 100000
+  from events where event_id % 23 <> 3 and event_id % 1511 <> 11""",
     "fx_content": "select concat('o', doc_id) file_id, doc_id pos, text from documents",
     "fx_catalog": """
   select concat('f', o_orderkey) id, concat('c', o_custkey) parent_id,

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliant.sources.files import write_named_files
+
 # The frame lines around each member text.
 START_MARK = "\n--- START OF "
 END_MARK = "\n--- END OF "
@@ -121,6 +123,20 @@ def read_text_lenient(spark, path: str) -> DataFrame:
     return raw.select("path", decode_lenient("content").alias("text"))
 
 
+def write_named_outputs(pieces: DataFrame, path: str) -> None:
+    """One file ``<client>/<output_name>`` per batch (the client's name URL-encoded), its pieces
+    in item order; no row or buffer holds a whole batch."""
+    named = pieces.withColumn("target", F.concat(F.url_encode("client"), F.lit("/"), "output_name"))
+    write_named_files(named, path, "target", ["item_pos"])
+
+
+def read_named_outputs(spark, path: str) -> DataFrame:
+    """``client, output_name, content`` of the named files (small cases)."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    parts = F.split("path", "/")
+    return raw.select(F.url_decode(F.element_at(parts, -2)).alias("client"), F.element_at(parts, -1).alias("output_name"), "content")
+
+
 def write_batch_texts(contents: DataFrame, names: DataFrame, path: str) -> None:
     """Write each txt batch as its own file set, pieces in item order, without
     building the batch string (for outputs too large for one row)."""

@@ -8,9 +8,10 @@ from foliant import fixtures as fx
 from foliant.operators import assembly as A
 from foliant.operators import packing as P
 from foliant.operators import plandiff as D
-from foliant.plans.fixture_runs import tasks_for
+from foliant.operators import plandoc as PD
+from foliant.plans.fixture_runs import client_folders, inventory, tasks_for
 from foliant.plans.processor import process_all, read_outputs
-from foliant.queries.planning import PACK_ALL
+from foliant.queries.planning import GENERATED_AT, PACK_ALL
 from foliant.schemas import BATCH_ITEM
 from foliant.session import materialize, scratch_dir
 from foliant.sources import store as ST
@@ -105,6 +106,34 @@ def q_plan_roundtrip(spark, sf):
                        F.col("task.file_name").alias("file_name"))
 
 
+def q_named_outputs(spark, sf):
+    """The batch texts as named files, read back: name, size and digest of each."""
+    tasks, items, ext = _plan(spark, sf)
+    pieces = A.batch_pieces(A.batch_contents(items, ext, tasks), D.output_names(items))
+    path = scratch_dir(spark, "named")
+    A.write_named_outputs(pieces, path)
+    return A.read_named_outputs(spark, path).select("client", "output_name", F.length("content").cast("long").alias("n_bytes"),
+                                                    F.sha2("content", 256).alias("digest"))
+
+
+def _document(spark, sf):
+    tasks, items, _ = _plan(spark, sf)
+    folders = client_folders(inventory(spark, sf))
+    rows = PD.plan_fragments(folders, tasks, items, GENERATED_AT)
+    path = scratch_dir(spark, "plan-document")
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def q_plan_document(spark, sf):
+    """The batch members of the plan documents, read back record by record."""
+    return PD.read_batches(_document(spark, sf)).drop("client_master_name")
+
+
+def q_plan_document_tasks(spark, sf):
+    return PD.read_tasks(_document(spark, sf))
+
+
 QUERIES = {
     "resolve_contents": q_resolve_contents,
     "missing_outputs": q_missing_outputs,
@@ -117,6 +146,9 @@ QUERIES = {
     "read_text_lenient": q_read_text_lenient,
     "process_all": q_process_all,
     "plan_roundtrip": q_plan_roundtrip,
+    "named_outputs": q_named_outputs,
+    "plan_document": q_plan_document,
+    "plan_document_tasks": q_plan_document_tasks,
 }
 
 _NAMES = ("names", """select client, fmt, batch_id,
@@ -159,3 +191,9 @@ SQL = {
     "plan_roundtrip": _BASE + """select i.client, i.fmt, i.batch_id, i.item_pos::int item_pos, i.file_id, t.file_name
         from items_all i left join tasks_all t on t.client = i.client and t.file_id = i.file_id""",
 }
+SQL["named_outputs"] = _BASE + f"""select client, output_name, octet_length(encode(text))::bigint n_bytes, sha256(text) digest from ({_CONCAT})"""
+_TASK_SQL = """t.file_id source_file_id, t.file_name source_file_name, t.file_path source_file_path, t.drive_link,
+    t.mime_type input_mime_type, t.size estimated_size_bytes, t.task_type, t.output_format"""
+SQL["plan_document"] = _BASE + f"""select i.client, i.fmt, i.batch_pos, i.item_pos, {_TASK_SQL}
+    from items_all i left join tasks_all t on t.client = i.client and t.file_id = i.file_id"""
+SQL["plan_document_tasks"] = _BASE + f"select t.client client_master_name, {_TASK_SQL} from tasks_all t"

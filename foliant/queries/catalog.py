@@ -145,6 +145,12 @@ def q_changed_clients(spark, sf):
     return SN.changed_clients(cur, old, cf)
 
 
+def q_changed_clients_by_digest(spark, sf):
+    cur, cf = _members(spark, sf, "curr")
+    old, _ = _members(spark, sf, "prev")
+    return SN.changed_clients_by_digest(cur, old, cf)
+
+
 def q_clients_to_replan(spark, sf):
     cur, cf = _members(spark, sf, "curr")
     old, _ = _members(spark, sf, "prev")
@@ -182,6 +188,7 @@ QUERIES = {
     "full_run_reset": q_full_run_reset,
     "client_signatures": q_client_signatures,
     "changed_clients": q_changed_clients,
+    "changed_clients_by_digest": q_changed_clients_by_digest,
     "clients_to_replan": q_clients_to_replan,
     "clients_to_replan_full": q_clients_to_replan_full,
     "optional_snapshot": q_optional_snapshot,
@@ -259,3 +266,4 @@ SQL = {
     "clients_to_replan_full": _SV + "select distinct client from cf_curr",
     "optional_snapshot": _SV + "select distinct client from pairs_curr",
 }
+SQL["changed_clients_by_digest"] = SQL["changed_clients"]

@@ -174,6 +174,18 @@ def q_matching_roundtrip(spark, sf):
         .select("client", "f.pos", "f.folder_id", "f.folder_name", "f.folder_path")
 
 
+def _companies(spark, sf):
+    return M.normalize_names(fx.fx_company(spark, sf), "name")
+
+
+def q_company_edges(spark, sf):
+    return M.name_edges(_companies(spark, sf))
+
+
+def q_consolidate_companies(spark, sf):
+    return M.consolidate_names(_companies(spark, sf)).distinct()
+
+
 QUERIES = {
     "scan_report": q_scan_report,
     "report_clients": q_report_clients,
@@ -194,6 +206,8 @@ QUERIES = {
     "match_best": q_match_best,
     "consolidate_names": q_consolidate_names,
     "matching_roundtrip": q_matching_roundtrip,
+    "company_edges": q_company_edges,
+    "consolidate_companies": q_consolidate_companies,
 }
 
 # --------------------------------------------------------------------------- SQL
@@ -279,6 +293,8 @@ _CONS = [
     ("labels", "select norm, min(label) label from reach group by norm"),
 ]
 
+_COMPANIES = [("nn", _norm_sql("fx_company", "name", "name")), *_CONS[2:]]
+
 SQL = {
     "scan_report": V("fx_report") + "select * from fx_report",
     "report_clients": V("fx_report", extra=[_NAMES]) + "select * from names",
@@ -339,6 +355,9 @@ SQL = {
           folder_id, folder_name, folder_path from resolved""",
 }
 
+SQL["company_edges"] = V("fx_company", extra=_COMPANIES[:3]) + "select * from e1"
+SQL["consolidate_companies"] = V("fx_company", extra=_COMPANIES) + "select distinct n.name, l.label master from nn n join labels l using (norm)"
+
 _INCREMENTAL = SQL["incremental_match"]
 _HEAD, _TAIL = _INCREMENTAL[:_INCREMENTAL.rindex("select * from res_old")], _INCREMENTAL[_INCREMENTAL.rindex("select * from res_old"):]
 SQL["matching_results"] = _HEAD + f"""select 'name' kind, raw_name "key", arg_max(master, batch_no) "value" from cons group by raw_name

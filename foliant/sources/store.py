@@ -159,14 +159,34 @@ def full_run_reset(prior: DataFrame, full_run: bool) -> DataFrame:
 
 
 def replace_client_partitions(df: DataFrame, path: str, clients: DataFrame) -> None:
-    """Replace the partitions of all given clients; those without rows in ``df`` go."""
+    """Replace the partitions of all given clients; those without rows in ``df`` go.
+
+    ``df`` is evaluated once, by the write. A client that has no rows in it is one whose
+    folder the write has not replaced: its files are older than the write.
+    """
     spark = df.sparkSession
+    before = _client_folders(spark, path)
+    marks = {name: _files(spark, f"{path.rstrip('/')}/{name}") for name in before}
     replace_partitions(df, path, ["client"])
-    gone = clients.select("client").distinct().join(df.select("client").distinct(), "client", "left_anti")
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in gone.toLocalIterator():
-        if row["client"] is not None:
-            _delete(spark, f"{path.rstrip('/')}/client={escape(row['client'])}")
+    for row in clients.select("client").distinct().where("client is not null").toLocalIterator():
+        name = f"client={escape(row['client'])}"
+        if name in marks and _files(spark, f"{path.rstrip('/')}/{name}") == marks[name]:
+            _delete(spark, f"{path.rstrip('/')}/{name}")
+
+
+def _client_folders(spark: SparkSession, path: str) -> list[str]:
+    if not _exists(spark, path):
+        return []
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith("client=")]
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    if not _exists(spark, path):
+        return set()
+    fs, p = _fs(spark, path)
+    return {st.getPath().getName() for st in fs.listStatus(p)}
 
 
 def write_ordered_lines(lines: DataFrame, path: str, by: str, order_cols: list[str],

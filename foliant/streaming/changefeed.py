@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from foliant.operators.changes import (INVENTORY_COLS, NODE_COLS, apply_to_nodes, latest_changes,
                                        needs_rescan, patch_inventory)
 from foliant.operators.hierarchy import tree_paths
-from foliant.session import ensure_checkpoint_dir, materialize
+from foliant.session import ensure_checkpoint_dir, materialize, release
 from foliant.sources import store as ST
+from foliant.sources.files import read_pages
 
 CHANGE_FLAT = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -42,15 +43,19 @@ STATE = T.StructType([
     T.StructField("n_polls", T.LongType()),
     T.StructField("last_rescan_day", T.DateType()),
     T.StructField("last_poll_day", T.DateType()),
+    # of the listener: the page token recorded before the last full scan, its time, the last report's time
+    T.StructField("start_token", T.LongType()),
+    T.StructField("last_full_scan_ts", T.TimestampType()),
+    T.StructField("last_report_mtime", T.TimestampType()),
 ])
 
 
-def land_changes(changes: DataFrame, landing: str, poll_col: str = "batch_day") -> int:
+def land_changes(changes: DataFrame, landing: str, poll_col: str = "batch_day", mode: str = "overwrite") -> int:
     """Write one folder of JSON lines per poll and stamp the files in poll order
-    (the file source picks up new files by modification time)."""
+    (the file source picks up new files by modification time). ``mode='append'`` lands later polls."""
     spark = changes.sparkSession
     cols = [f.name for f in CHANGE_FLAT.fields if f.name != poll_col]
-    changes.select(*cols, poll_col).repartition(poll_col).write.mode("overwrite") \
+    changes.select(*cols, poll_col).repartition(poll_col).write.mode(mode) \
         .partitionBy(poll_col).json(landing)
     fs, base = ST._fs(spark, landing)
     dirs = [st.getPath() for st in fs.listStatus(base) if st.isDirectory()]
@@ -86,6 +91,7 @@ class InventoryStore:
 
     def write(self, inventory: DataFrame, nodes: DataFrame, state: dict) -> int:
         gen = (self.current_gen() or 0) + 1
+        state = {f.name: state.get(f.name) for f in STATE.fields}
         inventory.write.mode("overwrite").parquet(self._gen_path(gen, "inventory"))
         nodes.write.mode("overwrite").parquet(self._gen_path(gen, "nodes"))
         # The state file is written last: a generation counts once its state exists.
@@ -97,10 +103,11 @@ class InventoryStore:
         return gen
 
 
-def init_store(store: InventoryStore, inventory: DataFrame, nodes: DataFrame) -> None:
+def init_store(store: InventoryStore, inventory: DataFrame, nodes: DataFrame, start_token: int | None = None,
+               scan_time=None) -> None:
+    """The first generation. ``start_token``: the page token recorded before the nodes were scanned."""
     store.write(inventory.select(*INVENTORY_COLS), nodes.select(*NODE_COLS),
-                {"last_epoch": -1, "last_seq": None, "n_polls": 0, "last_rescan_day": None,
-                 "last_poll_day": None})
+                {"last_epoch": -1, "n_polls": 0, "start_token": start_token, "last_full_scan_ts": scan_time})
 
 
 def _span_is_mergeable(nodes: DataFrame, changes: DataFrame) -> bool:
@@ -134,6 +141,12 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
             return
         inv = store.read("inventory")
         nodes = store.read("nodes")
+        stages = []
+
+        def stage(df):
+            stages.append(materialize(df))
+            return stages[-1]
+
         per_poll = needs_rescan(batch, [poll_col]).orderBy(poll_col).collect()
         polls = [r[poll_col] for r in per_poll]
         rescans = [r[poll_col] for r in per_poll if r["needs_rescan"]]
@@ -143,27 +156,29 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
         if rescans:
             rescan_day = rescans[-1]
             upto = batch.where(F.col(poll_col) <= F.lit(rescan_day))
-            nodes = materialize(apply_to_nodes(nodes, latest_changes(upto)))
-            inv = tree_paths(nodes, root_id).select(*INVENTORY_COLS)
+            nodes = stage(apply_to_nodes(nodes, latest_changes(upto)))
+            stages.append(tree_paths(nodes, root_id))
+            inv = stages[-1].select(*INVENTORY_COLS)
             todo = [d for d in polls if d > rescan_day]
         if todo and _span_is_mergeable(nodes, batch.where(F.col(poll_col).isin(todo))):
             # No id changed in these polls is anyone's parent, so no ancestor
             # changes between them: one patch against the final live nodes
             # equals patching poll by poll.
             last = latest_changes(batch.where(F.col(poll_col).isin(todo)))
-            nodes = materialize(apply_to_nodes(nodes, last))
-            inv = materialize(patch_inventory(inv, nodes, last, root_id, root_label))
+            nodes = stage(apply_to_nodes(nodes, last))
+            inv = stage(patch_inventory(inv, nodes, last, root_id, root_label))
             todo = []
         for day in todo:
             day_changes = batch.where(F.col(poll_col) == F.lit(day))
             last = latest_changes(day_changes)
-            nodes = materialize(apply_to_nodes(nodes, last))
-            inv = materialize(patch_inventory(inv, nodes, last, root_id, root_label))
+            nodes = stage(apply_to_nodes(nodes, last))
+            inv = stage(patch_inventory(inv, nodes, last, root_id, root_label))
         n_polls += len(polls)
         m = batch.agg(F.max("seq")).collect()[0][0]
         last_seq = m if last_seq is None or (m is not None and m > last_seq) else last_seq
-        store.write(inv, nodes, {"last_epoch": epoch, "last_seq": last_seq, "n_polls": n_polls,
+        store.write(inv, nodes, {**state, "last_epoch": epoch, "last_seq": last_seq, "n_polls": n_polls,
                                  "last_rescan_day": rescan_day, "last_poll_day": polls[-1] if polls else None})
+        release(*stages)
         batch.unpersist()
 
     return apply_batch
@@ -185,6 +200,21 @@ def run_change_stream(spark: SparkSession, landing: str, store: InventoryStore,
     return q
 
 
+def run_page_stream(spark: SparkSession, pages: str, store: InventoryStore, checkpoint: str, root_id: str, root_label: str,
+                    available_now: bool = True, poll_interval: str = "10 minutes"):
+    """The same stream over change pages (``sources.files``), from the token that the store
+    recorded before its scan; the page token is the poll."""
+    ensure_checkpoint_dir(spark)
+    token = (store.state() or {}).get("start_token") or 0
+    stream = read_pages(spark, pages, token).withColumn("batch_day", F.date_add(F.lit("1970-01-01").cast("date"), F.col("token").cast("int"))).drop("token")
+    writer = stream.writeStream.foreachBatch(make_batch_writer(store, root_id, root_label)).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll_interval)
+    query = writer.start()
+    if available_now:
+        query.awaitTermination()
+    return query
+
+
 def stream_to_table(spark: SparkSession, landing: str, out: str, checkpoint: str) -> None:
     """Plain ingestion of the landed feed into a table (the token-driven poll)."""
     q = (spark.readStream.schema(CHANGE_FLAT).json(landing).writeStream.format("parquet")
