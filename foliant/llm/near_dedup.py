@@ -105,7 +105,7 @@ def bins_allow(bins: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int)
     at = PERCENT / 100
     union = np.maximum((sizes + size) / (1 + at), 2.0)
     left = np.clip((union - drawn) / (union - 1), 0.0, 1.0)
-    enough = equal >= at * drawn - 3.9 * np.sqrt(drawn * at * (1 - at) * left) - 1
+    enough = equal >= at * drawn - 3.9 * np.sqrt(drawn * at * (1 - at) * left) - 0.5
     return enough & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
 
 
@@ -230,18 +230,33 @@ def _by_node(batches, columns):
         yield tuple(map(list, zip(*held)))
 
 
+def _first_common(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Least common node of one row's nodes and of each other row's (padded with ``_NO_NODE``)."""
+    common = (others[:, :, None] == own[own != _NO_NODE][None, None, :]).any(axis=2)
+    return np.where(common, others, np.iinfo(np.int64).max).min(axis=1)
+
+
+_NO_NODE = np.iinfo(np.int64).min
+
+
 def _leaf_pairs(batches):
-    """Rows sorted by node -> pairs of different components that the second sketches allow."""
-    for reps, labels, sizes, bins in _by_node(batches, ("rep", "label", "n_shingles", "bins")):
+    """Rows sorted by node -> pairs of different components that the second sketches allow.
+    Rows that share several leaves (``nodes``) are compared in each, but give their pair in one."""
+    for node, reps, labels, sizes, bins, nodes in _by_node(batches, ("node", "rep", "label", "n_shingles", "bins", "nodes")):
         reps, labels, sizes = (np.array(x, np.int64) for x in (reps, labels, sizes))
         m = np.frombuffer(b"".join(bins), np.uint8).reshape(-1, BINS)
+        every = np.full((len(nodes), max(map(len, nodes))), _NO_NODE, np.int64)
+        for i, own in enumerate(nodes):
+            every[i, : len(own)] = own
         names, own, counts = np.unique(labels, return_inverse=True, return_counts=True)
         # one largest component first and in one piece, also among equals: it is never the outer side
         order = np.lexsort((labels, -counts[own]))
-        reps, labels, sizes, m = reps[order], labels[order], sizes[order], m[order]
+        reps, labels, sizes, m, every = reps[order], labels[order], sizes[order], m[order], every[order]
         a, b = [], []
         for i in range(int(counts.max()), len(reps)):
             hit = np.flatnonzero(bins_allow(m[:i], sizes[:i], m[i], int(sizes[i])) & (labels[:i] != labels[i]))
+            if len(hit):
+                hit = hit[_first_common(every[i], every[hit]) == node[0]]
             a.append(reps[hit])
             b.append(np.full(len(hit), reps[i]))
         if a:
@@ -349,7 +364,9 @@ def _descend(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame
         rows = materialize(rows.join(_open_nodes(rows).select("node", "leaf"), "node").select("node", "rep", "label", "leaf"))
         if above is not None:
             release(above)
-        leaves = rows.where("leaf").join(classes.select("rep", "n_shingles", "bins"), "rep").select("node", "rep", "label", "n_shingles", "bins")
+        leaves = rows.where("leaf").groupBy("rep").agg(F.min("label").alias("label"), F.collect_set("node").alias("nodes"))
+        leaves = leaves.join(classes.select("rep", "n_shingles", "bins"), "rep") \
+            .select(F.explode("nodes").alias("node"), "rep", "label", "n_shingles", "bins", "nodes")
         found = leaves.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, _PAIRS)
         large = rows.where("not leaf")
         last = level == LEVELS or large.isEmpty()

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -94,8 +95,8 @@ def test_decontamination_with_exchanged_tokens(spark):
     assert "LeftSemi" in plan
     both = [sorted(decontaminate.digest(decontaminate.decontaminate(docs, bench, n)).collect(), key=repr) for n in (0, 1_000_000)]
     assert both[0] == both[1]
-    by_id = {r.doc_id: r for r in both[0]}
-    assert (by_id[1].n_hit, by_id[1].n_items, by_id[3].n_hit, by_id[2].contaminated) == (25, 2, 2, False)
+    got = sorted((tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in both[0]), key=repr)
+    assert got == sorted(((i, *brute_hits(t, items)) for i, t in rows), key=repr)
 
 
 def test_cross_entropy_difference(spark, no_docs, odd_docs, odd_labels):
@@ -208,12 +209,25 @@ def test_leaves_compare_components_of_equal_size():
     import numpy as np
     import pyarrow as pa
     bins = [np.full(near_dedup.BINS, k, np.uint8).tobytes() for k in (7, 7, 8, 9)]
-    batch = pa.RecordBatch.from_arrays([pa.array([5] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 2, 1, 2]), pa.array([90] * 4), pa.array(bins)],
-                                       ["node", "rep", "label", "n_shingles", "bins"])
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 2, 1, 2]), pa.array([90] * 4), pa.array(bins),
+                                        pa.array([[5, 9], [9, 5], [5], [5]])], ["node", "rep", "label", "n_shingles", "bins", "nodes"])
     got = [r for out in near_dedup._leaf_pairs([batch]) for r in out.to_pylist()]
     assert got == [{"a": 1, "b": 2}]
 
 
+def test_leaves_give_a_pair_once():
+    import numpy as np
+    import pyarrow as pa
+    nodes = {1: [4, 7, 9], 2: [9, 7], 3: [4, 9], 4: [7]}
+    rows = sorted((n, r, ns) for r, ns in nodes.items() for n in ns)
+    one = np.full(near_dedup.BINS, 3, np.uint8).tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([n for n, _, _ in rows]), pa.array([r for _, r, _ in rows]), pa.array([r for _, r, _ in rows]),
+                                        pa.array([90] * len(rows)), pa.array([one] * len(rows)), pa.array([ns for _, _, ns in rows])],
+                                       ["node", "rep", "label", "n_shingles", "bins", "nodes"])
+    got = [(r["a"], r["b"]) for out in near_dedup._leaf_pairs([batch]) for r in out.to_pylist()]
+    assert sorted(got) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4)]  # 3 and 4 share no leaf
+
+
 def test_second_sketch_keeps_all_similar_sets():
     """Pairs at the threshold pass, at every size; most pairs well below it don't."""
     import numpy as np
@@ -301,6 +315,49 @@ def test_license_scan_finds_families(spark, odd_docs, no_docs):
     assert license_scan.license_scan(no_docs).collect() == []
 
 
+def test_license_scan_of_real_notices(spark):
+    """Notices as they stand in files, most of them wrapped over lines."""
+    notices = {
+        "mit": "The above copyright notice and this permission notice shall be included in\nall copies or substantial portions of the Software.\n"
+               "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\n"
+               "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "bsd": "3. Neither the name of the project nor the names of its contributors may be used\nto endorse or promote products derived from this software without specific\nprior written permission.",
+        "isc": "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "agpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published\nby the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 2 of the License, or\n(at your option) any later version.",
+        "apache-2.0": "// SPDX-License-Identifier: Apache-2.0", "zlib": "This notice may not be removed or altered from any source distribution.",
+        "epl-2.0": "# SPDX-License-Identifier: EPL-2.0", "mpl-2.0": "If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    }
+    rows = [(i, english(60, i) + "\n" + english(20, i + 50)) for i in range(120)]
+    rows += [(1000 + k, english(30, k) + "\n\n" + t + "\n\n" + english(10, k)) for k, t in enumerate(notices.values())]
+    rows += [(1100, "// SPDX-License-Identifier: MIT"), (1101, "see the terms"), (1102, "of the software")]
+    got = {r.doc_id: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {f: got[1000 + k].families for k, f in enumerate(notices)} == {f: f for f in notices}
+    assert got[1100].families == "mit" and got[1101].families == got[1102].families == ""
+    assert all(got[i].n_licensed == 0 for i in range(120))
+
+
+def test_license_probabilities_equal_plain_python(spark):
+    """The joined scoring against the softmax of summed weights."""
+    import math
+    from pyspark.sql import functions as F
+    rnd = random.Random(6)
+    n = len(license_scan.FAMILIES)
+    lines = [[f"w{rnd.randrange(30)}" for _ in range(rnd.randrange(1, 12))] for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(lines)), "key long, w array<string>")
+    buckets = {r.key: set(r.b) for r in df.select("key", license_scan._buckets(F.col("w")).alias("b")).collect()}
+    used = sorted({b for bs in buckets.values() for b in bs})
+    table = {b: [rnd.gauss(0, 1) for _ in range(n)] for b in used[::2]}
+    bias = [rnd.gauss(0, 1) for _ in range(n)]
+    weights = spark.createDataFrame(list(table.items()), "bucket int, weights array<double>")
+    for r in license_scan.probabilities(df, weights, bias).collect():
+        z = [bias[i] + sum(table[b][i] for b in buckets[r.key] if b in table) for i in range(n)]
+        e = [math.exp(x - max(z)) for x in z]
+        best = max(range(1, n), key=lambda i: e[i])
+        assert r.family == license_scan.FAMILIES[best] and abs(r.probability - e[best] / sum(e)) < 1e-8
+
+
 # -- 6 and 10 -------------------------------------------------------------------
 
 def check_folds(got, of, held):
