@@ -14,6 +14,7 @@ from foliant.plans.processor import process_all, read_outputs
 from foliant.queries.planning import GENERATED_AT, PACK_ALL
 from foliant.schemas import BATCH_ITEM
 from foliant.session import materialize, scratch_dir
+from foliant.sources import files as FL
 from foliant.sources import store as ST
 
 V = fx.with_views
@@ -80,6 +81,14 @@ def q_read_text_lenient(spark, sf):
     return raw.select("file_id", A.decode_lenient("content").alias("text"))
 
 
+def q_read_text_files(spark, sf):
+    """Texts written as files and read back whole (``binaryFile``)."""
+    path = scratch_dir(spark, "text-files")
+    docs = fx.fx_content(spark, sf).select(F.concat("file_id", F.lit(".txt")).alias("target"), F.lit(0).alias("n"), "text")
+    FL.write_named_files(docs, path, "target", ["n"], "text")
+    return A.read_text_lenient(spark, path).select(F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("file_id"), "text")
+
+
 def q_process_all(spark, sf):
     tasks, items, ext = _plan(spark, sf)
     out = scratch_dir(spark, "outputs")
@@ -144,6 +153,7 @@ QUERIES = {
     "join_fragments": q_join_fragments,
     "join_fragments_pages": q_join_fragments_pages,
     "read_text_lenient": q_read_text_lenient,
+    "read_text_files": q_read_text_files,
     "process_all": q_process_all,
     "plan_roundtrip": q_plan_roundtrip,
     "named_outputs": q_named_outputs,
@@ -197,3 +207,4 @@ _TASK_SQL = """t.file_id source_file_id, t.file_name source_file_name, t.file_pa
 SQL["plan_document"] = _BASE + f"""select i.client, i.fmt, i.batch_pos, i.item_pos, {_TASK_SQL}
     from items_all i left join tasks_all t on t.client = i.client and t.file_id = i.file_id"""
 SQL["plan_document_tasks"] = _BASE + f"select t.client client_master_name, {_TASK_SQL} from tasks_all t"
+SQL["read_text_files"] = V("fx_content") + "select file_id, coalesce(text, '') as text from fx_content"

@@ -42,6 +42,20 @@ def q_catalog_lookup(spark, sf):
     return C.catalog_lookup(fx.fx_catalog(spark, sf), "drive_scan.jsonl")
 
 
+def q_catalog_lookup_ordered(spark, sf):
+    """The plan file of the last name per folder, by mime type."""
+    files = fx.fx_catalog(spark, sf)
+    mime = F.when(F.endswith("name", F.lit("n.json")), F.lit("application/json")).otherwise(F.lit("text/plain"))
+    return C.catalog_lookup(files.withColumn("mime_type", mime), ".json", mime_type="application/json", order_by="name", descending=True)
+
+
+def q_catalog_lookup_in_folder(spark, sf):
+    """One folder only: the parent of the file with the smallest id."""
+    files = fx.fx_catalog(spark, sf)
+    folder = files.where("name = 'drive_scan.jsonl' and not trashed").agg(F.min_by("parent_id", "id")).first()[0]
+    return C.catalog_lookup(files, "drive_scan.jsonl", parent_id=folder)
+
+
 def q_select_plans(spark, sf):
     return C.select_plans(fx.fx_catalog(spark, sf)).select("id", "name")
 
@@ -176,6 +190,8 @@ QUERIES = {
     "write_inventory_sorted": q_write_inventory_sorted,
     "latest_report": q_latest_report,
     "catalog_lookup": q_catalog_lookup,
+    "catalog_lookup_ordered": q_catalog_lookup_ordered,
+    "catalog_lookup_in_folder": q_catalog_lookup_in_folder,
     "select_plans": q_select_plans,
     "select_plans_test": q_select_plans_test,
     "list_children": q_list_children,
@@ -267,3 +283,8 @@ SQL = {
     "optional_snapshot": _SV + "select distinct client from pairs_curr",
 }
 SQL["changed_clients_by_digest"] = SQL["changed_clients"]
+SQL["catalog_lookup_ordered"] = V("fx_catalog") + """select parent_id, id, name, mtime from (
+    select *, row_number() over (partition by parent_id order by name desc, id) rn
+    from fx_catalog where contains(name, '.json') and ends_with(name, 'n.json') and not trashed) where rn = 1"""
+SQL["catalog_lookup_in_folder"] = V("fx_catalog") + """select parent_id, id, name, mtime from fx_catalog where name = 'drive_scan.jsonl' and not trashed
+    and parent_id = (select arg_min(parent_id, id) from fx_catalog where name = 'drive_scan.jsonl' and not trashed) order by id limit 1"""

@@ -20,14 +20,17 @@ def name_matches(name_col, wanted: str):
 
 
 def catalog_lookup(catalog: DataFrame, wanted: str, by: str = "parent_id", mime_type: str | None = None,
-                   parent_id: str | None = None) -> DataFrame:
-    """First non-trashed item per folder whose name matches (ties: smallest id),
-    if asked for only of one mime type or in one folder."""
+                   parent_id: str | None = None, order_by: str | None = None, descending: bool = False) -> DataFrame:
+    """First non-trashed item per folder whose name matches, in the order of ``order_by``
+    (none: of the ids; ties: smallest id), if asked for only of one mime type or in one folder."""
     hits = catalog.where(name_matches("name", wanted) & ~F.coalesce(F.col("trashed"), F.lit(False)))
     if mime_type is not None:
         hits = hits.where(F.col("mime_type") == mime_type)
     if parent_id is not None:
         hits = hits.where(F.col("parent_id") == parent_id)
+    if order_by is not None:
+        first = (F.max if descending else F.min)(order_by)
+        hits = hits.join(hits.groupBy(by).agg(first.alias("_first")), by).where(F.col(order_by).eqNullSafe(F.col("_first")))
     return hits.groupBy(by).agg(
         F.min_by(F.struct("id", "name", "mtime"), F.col("id")).alias("hit")).select(by, "hit.*")
 
