@@ -316,8 +316,11 @@ def _side(classes: DataFrame, name: str) -> DataFrame:
 
 
 def _best(candidates: DataFrame) -> DataFrame:
-    """One partner ``a`` of each ``b``: the one of most equal coordinates (ties: the smallest)."""
-    best = candidates.groupBy("b").agg(F.max(F.struct("equal", (-F.col("a")).alias("_a"))).alias("_top"))
+    """One partner ``a`` of each ``b``: the smallest of those that are alike enough to be the head of a
+    star, so that copies meet in one; else the one of most equal coordinates."""
+    star = F.col("equal") >= STAR_EQUAL
+    order = F.struct(star.cast("int").alias("_s"), F.when(star, -F.col("a")).otherwise(F.col("equal")).alias("_e"), (-F.col("a")).alias("_a"))
+    best = candidates.groupBy("b").agg(F.max(order).alias("_top"))
     return best.select((-F.col("_top._a")).alias("a"), "b")
 
 
