@@ -147,3 +147,38 @@ def test_deltas_carry_memberships(spark):
     assert sorted(map(tuple, deltas.collect())) == [("A", "1", -1), ("A", "3", 1), ("B", "1", 1), ("B", "4", -1), ("B", "5", 1)]
     counts = spark.createDataFrame([("A", "1", 1), ("A", "2", 1), ("B", "4", 1)], "client string, id string, n long")
     assert sorted(map(tuple, SN.apply_member_deltas(counts, deltas).collect())) == [("A", "2", 1), ("A", "3", 1), ("B", "1", 1), ("B", "5", 1)]
+
+
+def test_changes_during_a_scan_are_applied_once(spark):
+    import datetime as dt
+
+    from foliant.plans import listener as LS
+    from foliant.session import FOLDER_MIME
+    from foliant.streaming import changefeed as CF
+    pages, base = scratch_dir(spark, "pages"), scratch_dir(spark, "store")
+    change = "token long, seq long, change_type string, file_id string, removed boolean, parent_id string, name string, mime_type string, size long"
+
+    def land(token, *rows, mode="append"):
+        FL.land_pages(spark.createDataFrame([(token, 10 * token + k, "file", *r) for k, r in enumerate(rows)], change), pages, mode=mode)
+
+    land(1, ("a", False, "root", "a", "text/plain", 1), mode="overwrite")
+
+    def listing():  # page 2 lands while the scan runs, and the scan sees it
+        land(2, ("b", False, "root", "b", "text/plain", 2), ("gone", True, None, None, None, None))
+        return spark.createDataFrame([("root", None, "ROOT", FOLDER_MIME, None), ("a", "root", "a", "text/plain", 1), ("b", "root", "b", "text/plain", 2)],
+                                     "id string, parent_id string, name string, mime_type string, size long")
+
+    now = dt.datetime(2024, 5, 1, 12)
+    store = CF.InventoryStore(spark, base)
+    assert LS.scan_to_store(spark, listing, pages, store, "root", now) == 1 and store.state()["start_token"] == 1
+    land(3, ("b", False, "root", "b2", "text/plain", 3), ("c", False, "root", "c", "text/plain", 4))
+    ckpt = scratch_dir(spark, "ckpt")
+    CF.run_page_stream(spark, pages, store, ckpt, "root", "ROOT")
+    assert sorted(r.path for r in store.read("inventory").collect()) == ["ROOT", "ROOT/a", "ROOT/b2", "ROOT/c"]
+    polls = store.state()["n_polls"]
+    CF.run_page_stream(spark, pages, store, ckpt, "root", "ROOT")  # nothing new
+    assert (polls, store.state()["n_polls"]) == (2, 2)
+    LS.record_report(store, now)
+    decided = LS.poll_decision(store.read("state"), now, now + dt.timedelta(hours=7)).first()
+    assert (decided.report_changed, decided.rescan_due) == (False, True)
+    assert not LS.poll_decision(store.read("state"), now, now + dt.timedelta(hours=5)).first().rescan_due
