@@ -25,7 +25,8 @@ external sorter, and ``mapInPandas`` walks them once keeping only the heap
 of batch loads of the current group. Memory is bounded by the number of
 batches of the largest group (every two batches together hold more than the
 limit, so that is below 2 x bytes / limit + 1), never by its number of files;
-other groups run in parallel on other partitions.
+other groups run in parallel on other partitions. The number of a new batch is
+looked for from the last new one on, so a group's numbers are tried once each.
 """
 
 from __future__ import annotations
@@ -64,13 +65,14 @@ def _placer(limit: int):
         used: set = set()
         n_batches = 0
         max_pos = -1
+        counter = 0  # number of the group's last new batch
         for pdf in batches:
             out = {c: [] for c in PLACED_SCHEMA.fieldNames()}
             arrays = [pdf[c].tolist() for c in cols]
             for kind, client, fmt, bpos, bid, load, nxt, fid, size in zip(*arrays):
                 k = (client, fmt)
                 if k != key:
-                    key, heap, info, used, n_batches, max_pos = k, [], {}, set(), 0, -1
+                    key, heap, info, used, n_batches, max_pos, counter = k, [], {}, set(), 0, -1, 0
                 if kind == 0:
                     heapq.heappush(heap, (load, bpos))
                     info[bpos] = [bid, nxt]
@@ -85,7 +87,8 @@ def _placer(limit: int):
                     target_id, item = slot[0], slot[1]
                     slot[1] += 1
                 else:
-                    counter = n_batches + 1
+                    # the numbers from the list length up to the last new one are taken, so none is tried twice
+                    counter = max(n_batches, counter) + 1
                     target_id = f"{fmt}_batch_{counter}"
                     while target_id in used:
                         counter += 1

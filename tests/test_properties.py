@@ -70,3 +70,24 @@ def test_packing_invariants(spark):
     b = {key(r) for r in rows}
     oversize = {(r.client, r.file_id) for r in rows if r.size > 100}
     assert {k for k in a if k[:2] not in oversize} == {k for k in b if k[:2] not in oversize}
+
+
+def test_new_batch_numbers_are_tried_once():
+    import pandas as pd
+
+    tries = []
+
+    class Fmt(str):
+        def __format__(self, spec):
+            tries.append(1)
+            return str(self)
+
+    fmt = Fmt("pdf")
+    kept = [(0, "X", fmt, i, f"pdf_batch_{i + 1001 + (i >= 500)}", 100, 1, "", 0) for i in range(1000)]
+    new = [(1, "X", fmt, 0, "", 0, 0, f"f{i:04}", 100) for i in range(500)]
+    cols = ["kind", "client", "fmt", "batch_pos", "batch_id", "load", "next_item", "file_id", "size"]
+    out = pd.concat(P._placer(100)(iter([pd.DataFrame(kept + new, columns=cols)])))
+    # first free number at or above list length + 1: 1501 is free, then all from 2002 on
+    assert out["batch_id"].tolist() == ["pdf_batch_1501"] + [f"pdf_batch_{n}" for n in range(2002, 2501)]
+    assert out["batch_pos"].tolist() == list(range(1000, 1500))
+    assert len(tries) <= len(kept) + len(new) + 1
