@@ -24,7 +24,7 @@ from foliant.functions import strip_all
 from foliant.operators.components import connected_components
 from foliant.operators.hierarchy import with_parent_id
 from foliant.operators.positional import with_global_index
-from foliant.session import REQUEST_BATCH_SIZE
+from foliant.session import REQUEST_BATCH_SIZE, materialize
 
 # --- report names ----------------------------------------------------------
 
@@ -227,7 +227,7 @@ def normalize_names(df: DataFrame, col: str, out: str = "norm") -> DataFrame:
 def _prefix_tokens(sets: DataFrame, token_rank: DataFrame, key: str) -> DataFrame:
     """Rarest ``|x| - ceil(t|x|) + 1`` tokens of each set (exact Jaccard filter)."""
     ex = sets.select(key, F.size("tokens").alias("_n"), F.explode("tokens").alias("token")) \
-        .join(token_rank, "token")
+        .join(token_rank.hint("merge"), "token")
     ex = ex.withColumn("_keep", F.col("_n") - F.expr(f"({THRESHOLD_PCT} * _n + 99) div 100") + 1)
     from pyspark.sql import Window
     w = Window.partitionBy(key).orderBy("_df", "token")
@@ -235,6 +235,11 @@ def _prefix_tokens(sets: DataFrame, token_rank: DataFrame, key: str) -> DataFram
         .select(key, "token")
 
 
+def _within_edits(a_norm, b_norm):
+    """Do two names differ by no more edits than the longer one allows?"""
+    return F.call_function("levenshtein", a_norm, b_norm, _edits(F.greatest(F.length(a_norm), F.length(b_norm)))) >= 0
+
+
 def _score(a_norm, b_norm, a_tok, b_tok):
     inter = F.size(F.array_intersect(a_tok, b_tok))
     union = F.size(F.array_union(a_tok, b_tok))
@@ -301,15 +306,19 @@ def cut_table(names: DataFrame) -> DataFrame:
     return starts.select("n", "t", "k", "s", (F.coalesce(F.lead("s").over(by_cut), F.col("n")) - F.col("s")).alias("z"))
 
 
-def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``a, b``: pairs with ``|a| <= |b|`` that may be within the edits of ``b``.
+def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame, own_list: bool = False) -> DataFrame:
+    """``a, b``: pairs with ``|a| <= |b|`` that are within the edits of ``b``; within one list
+    (``own_list``) no pair of equal names, and a pair of one length once.
 
     ``b`` is cut into one segment more than the edits allow (``cut_table``), so one of
     them stands unchanged in ``a``. Counting the edits from both ends, for the first
     segment ``k`` with at most ``k`` edits up to its end there are ``k`` edits before it and
     at most ``t - k`` behind, which bounds its place in ``a`` from the left and from the
-    right. Exact equi-joins on (length of b, segment number, segment text).
+    right. Exact equi-joins on (length of b, segment number, segment text). The edits are
+    counted where the join meets the pair, so only pairs that pass are exchanged to be
+    made distinct. Only the cuts are broadcast: a row for each length and segment.
     """
+    cuts = F.broadcast(materialize(cuts))
     own = long.select(F.col("norm").alias("b"), F.length("norm").alias("n")).join(cuts, "n")
     index = own.select("b", "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
     probe = short.select(F.col("norm").alias("a"), F.length("norm").alias("m"))
@@ -319,15 +328,18 @@ def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame) -> Data
     right = F.col("s") + F.col("m") - F.col("n")
     probe = probe.withColumn("lo", F.greatest(F.lit(0), F.col("s") - F.col("k"), right - (F.col("t") - F.col("k")))) \
         .withColumn("hi", F.least(F.col("m") - F.col("z"), F.col("s") + F.col("k"), right + (F.col("t") - F.col("k")))).where("lo <= hi") \
-        .withColumn("p", F.explode(F.sequence("lo", "hi"))) \
-        .select("a", "n", "k", F.col("a").substr(F.col("p") + 1, F.col("z")).alias("seg")).distinct()
-    return probe.join(index, ["n", "k", "seg"]).select("a", "b").distinct()
+        .withColumn("seg", F.explode(F.array_distinct(F.transform(F.sequence("lo", "hi"), lambda p: F.col("a").substr(p + 1, F.col("z")))))) \
+        .select("a", "n", "k", "seg")
+    met = probe.join(index.hint("merge"), ["n", "k", "seg"])
+    if own_list:
+        met = met.where((F.length("a") < F.col("n")) | (F.col("a") < F.col("b")))
+    return met.where(_within_edits(F.col("a"), F.col("b"))).select("a", "b").distinct()
 
 
 def _shared_tokens(left: DataFrame, right: DataFrame) -> DataFrame:
     freq = token_frequencies(left, right)
     return _prefix_tokens(left, freq, "norm").join(
-        _prefix_tokens(right, freq, "norm").withColumnRenamed("norm", "other"), "token").select("norm", "other")
+        _prefix_tokens(right, freq, "norm").withColumnRenamed("norm", "other").hint("merge"), "token").select("norm", "other")
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -339,27 +351,34 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _self_candidates(u: DataFrame) -> DataFrame:
     """The same within one list, each pair once (``norm < other``)."""
-    edits = _edit_candidates(u, u, cut_table(u)).select(F.least("a", "b").alias("norm"), F.greatest("a", "b").alias("other"))
+    edits = _edit_candidates(u, u, cut_table(u), own_list=True).select(F.least("a", "b").alias("norm"), F.greatest("a", "b").alias("other"))
     return _shared_tokens(u, u).unionByName(edits).where("norm < other").distinct()
 
 
 def _scored(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    pairs = candidates.join(left.select("norm", F.col("tokens").alias("_ta")), "norm") \
-        .join(right.select(F.col("norm").alias("other"), F.col("tokens").alias("_tb")), "other")
+    pairs = candidates.join(left.select("norm", F.col("tokens").alias("_ta")).hint("merge"), "norm") \
+        .join(right.select(F.col("norm").alias("other"), F.col("tokens").alias("_tb")).hint("merge"), "other")
     score = _score(F.col("norm"), F.col("other"), F.col("_ta"), F.col("_tb"))
     return pairs.select("norm", "other", score.alias("score")).where(F.col("score") * 100 >= THRESHOLD_PCT - 1e-9)
 
 
+def _distinct_forms(names: DataFrame) -> DataFrame:
+    """``norm, tokens`` of the distinct normal forms, stored once and dealt over all tasks. Joins with
+    them are merge joins: by the size of the files that they come from they could pass for small tables."""
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(names.select("norm", "tokens").distinct().repartition(n, "norm"))
+
+
 def match_pairs(names: DataFrame, folders: DataFrame) -> DataFrame:
     """Scored (name, folder) pairs with score >= threshold, all of them.
 
     ``names``: ``name, norm, tokens``; ``folders``: ``folder_id, folder_name,
     folder_path, norm, tokens``. Distinct normal forms are scored once.
     """
-    left, right = names.select("norm", "tokens").distinct(), folders.select("norm", "tokens").distinct()
+    left, right = _distinct_forms(names), _distinct_forms(folders)
     scored = _scored(_candidates(left, right), left, right)
-    return scored.join(names.select("name", "norm"), "norm") \
-        .join(folders.select("folder_id", "folder_name", "folder_path", F.col("norm").alias("other")), "other") \
+    return scored.join(names.select("name", "norm").hint("merge"), "norm") \
+        .join(folders.select("folder_id", "folder_name", "folder_path", F.col("norm").alias("other")).hint("merge"), "other") \
         .select("name", "folder_id", "folder_name", "folder_path", "score")
 
 
@@ -371,7 +390,7 @@ def match_best(pairs: DataFrame) -> DataFrame:
 
 def name_edges(names: DataFrame) -> DataFrame:
     """Edges ``norm, other`` (norm the smaller) between normal forms that match each other."""
-    u = names.select("norm", "tokens").distinct()
+    u = _distinct_forms(names)
     return _scored(_self_candidates(u), u, u).select("norm", "other")
 
 
@@ -379,10 +398,10 @@ def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``norm, label`` = smallest node of its component."""
     found = connected_components(edges, "norm", "other")
     own = nodes.select("norm").distinct()
-    return own.join(found, own["norm"] == found["id"], "left").select("norm", F.coalesce("component", "norm").alias("label"))
+    return own.join(found.hint("merge"), own["norm"] == found["id"], "left").select("norm", F.coalesce("component", "norm").alias("label"))
 
 
 def consolidate_names(names: DataFrame) -> DataFrame:
     """``name -> master``: master = smallest normalised name of the cluster."""
     labels = connected_labels(names, name_edges(names))
-    return names.select("name", "norm").join(labels, "norm").select("name", F.col("label").alias("master"))
+    return names.select("name", "norm").join(labels.hint("merge"), "norm").select("name", F.col("label").alias("master"))

@@ -175,7 +175,9 @@ def q_matching_roundtrip(spark, sf):
 
 
 def _companies(spark, sf):
-    return M.normalize_names(fx.fx_company(spark, sf), "name")
+    # the names come from a small file: dealt out before they are cut and compared
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return M.normalize_names(fx.fx_company(spark, sf).repartition(n), "name")
 
 
 def q_company_edges(spark, sf):

@@ -76,3 +76,15 @@ def test_cuts_cover_every_name(spark):
         assert [p[0] for p in parts] == list(range(15 * n // 100 + 1))
         assert all(z >= 1 for _, _, z, _ in parts)
         assert [p[1] for p in parts] == [sum(q[2] for q in parts[:i]) for i in range(len(parts))] and sum(p[2] for p in parts) == n
+
+
+def test_only_the_cuts_are_broadcast(spark):
+    """By the size of its file a list of names can pass for a small table; the joins must not send it to the driver."""
+    rows = [(f"{i:05d}", f"N{i:05d} SERVICOS", ["SERVICOS", f"N{i:05d}"]) for i in range(50)]
+    names = spark.createDataFrame(rows, "name string, norm string, tokens array<string>")
+    folders = names.select(F.col("name").alias("folder_id"), F.col("name").alias("folder_name"), F.col("name").alias("folder_path"), "norm", "tokens")
+    for df in (M.name_edges(names), M.consolidate_names(names), M.match_pairs(names, folders)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        cuts = plan.count("strategy=broadcast")
+        physical = df._jdf.queryExecution().executedPlan().toString()
+        assert physical.count("BroadcastHashJoin") <= cuts, physical
