@@ -117,7 +117,7 @@ def q_stream_state_changes(spark, sf):
     CF.land_changes(feed, landing)
     out = scratch_dir(spark, "state-changes")
     SF.run_state_stream(spark, landing, out, scratch_dir(spark, "state-ckpt"), files_per_trigger=FILES_PER_TRIGGER)
-    return spark.read.parquet(out).where(F.col("seq") > SF.SNAPSHOT_SEQ)
+    return spark.read.parquet(out).drop("epoch").where(F.col("seq") > SF.SNAPSHOT_SEQ)
 
 
 def q_apply_changes_buckets(spark, sf):

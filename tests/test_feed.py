@@ -210,3 +210,17 @@ def test_state_stream_goes_on_after_a_restart(spark):
         ("f1", 5, "insert", "d2", "b", None, None, None), ("f9", 6, "insert", "d2", "new", 7, None, None), ("f9", 7, "update", "d3", "new2", 8, "new", 7)]
     live = SF.live_nodes(whole)
     assert as_rows(live, "id", "name") == [("f1", "b"), ("f2", "two"), ("f9", "new2")]
+
+
+def test_an_epoch_that_is_run_again_gives_the_same_rows(spark):
+    out, ckpt = scratch_dir(spark, "out"), scratch_dir(spark, "ckpt")
+    write = SF.make_state_writer(out, ckpt)
+    write(feed(spark, None, DAYS[:1]), 0)
+    before = []
+    for _ in range(2):  # the second time its state has been written already
+        write(feed(spark, None, DAYS[1:]), 1)
+        before.append(as_rows(spark.read.parquet(out), "epoch", "file_id", "seq", "kind", "name", "old_name"))
+    assert before[0] == before[1] == [(0, "f1", 1, "insert", "a", None), (0, "f1", 2, "delete", None, "a"), (1, "f1", 3, "none", None, None),
+                                      (1, "f1", 5, "insert", "b", None), (1, "f9", 6, "insert", "new", None), (1, "f9", 7, "update", "new2", "new")]
+    write(feed(spark, None, DAYS), 2)  # all applied already
+    assert spark.read.parquet(out).count() == 6
