@@ -4,9 +4,10 @@ A paragraph is a line of a text; neighbouring lines that look like parts of a no
 are also taken together, as one wrapped paragraph. Its features are hashed words and
 pairs of neighbouring words (letters and digits, A-Z lower-cased). A multinomial
 logistic regression with an elastic net is trained on variants of the paragraphs of each
-family's licence texts, notices and SPDX tag, and on a bounded sample of the corpus's
-own lines as the class ``unknown``. A family is predicted where its probability passes a
-threshold that is calibrated on held-out lines of unknown class; the prediction counts
+family's licence texts, notices and SPDX tag, and on the corpus's own distinct lines, all
+of them, as the class ``unknown``: three of four teach, the fourth is held out. It knows the
+features that a variant holds; the others tell of no family. A family is predicted where
+its probability passes a threshold that is calibrated on all held-out lines; the prediction counts
 when the paragraph also shares enough word pairs with a template of that family, and
 with every other family less. DataFrame functions and Spark ML only.
 
@@ -93,8 +94,10 @@ TEMPLATES = {
              "SPDX-License-Identifier: Zlib"],
 }
 FAMILIES = [UNKNOWN, *sorted(TEMPLATES)]
-#: Variants of a template, and sampled corpus lines of unknown class, at most.
-VARIANTS, UNKNOWN_LINES = 24, 3000
+#: Variants of a template, and the weight of the lines of unknown class that teach, all together, at most.
+VARIANTS, TAUGHT = 24, 2250
+#: Tasks of the training at least, and the lines of one.
+TASKS, TASK_LINES = 4, 500_000
 #: Buckets of the hashed features, the weight of the penalty, the part of it that is L1 (the rest, L2,
 #: spreads the weight over all telling words of a notice), and the passes of the training.
 BUCKETS, PENALTY, L1, PASSES = 1 << 14, 0.0005, 0.1, 60
@@ -112,8 +115,28 @@ def _pairs(words: Column) -> Column:
                       lambda a, b: F.concat_ws(" ", a, b))
 
 
+def _grams(words: Column) -> Column:
+    return F.concat(words, _pairs(words))
+
+
+def _hashed(grams: Column) -> Column:
+    return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+
+
 def _buckets(words: Column) -> Column:
-    return F.transform(F.concat(words, _pairs(words)), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+    return _hashed(_grams(words))
+
+
+def _within(grams: str, listed: list[str]) -> Column:
+    """The entries of the column that are listed; as text, since each listed literal would be a call (no quote is in a word)."""
+    texts = ", ".join(f"'{g}'" for g in listed)
+    return F.expr(f"filter({grams}, g -> g in ({texts}))")
+
+
+def _features(words: Column, vocabulary: list[str], rows: DataFrame) -> DataFrame:
+    """``rows`` with ``b``: the distinct buckets of the words and pairs that are in the vocabulary."""
+    return rows.withColumn("_grams", _grams(words)) \
+        .withColumn("b", F.sort_array(F.array_distinct(_hashed(_within("_grams", vocabulary))))).drop("_grams")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -127,30 +150,35 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike("[0-9A-Za-z\\x{80}-\\x{10ffff}]")).withColumn("h", F.xxhash64("line"))
 
 
-def training_rows(docs: DataFrame) -> DataFrame:
-    """``family, w, held``: variants of the templates and sampled lines of unknown class.
+def variants(docs: DataFrame) -> DataFrame:
+    """``family, w``: variants of the templates.
 
-    Variants drop words by hash and stand alone or between words of a corpus
-    line. Lines of the sample that share a template's word pairs to the
-    confirming share are not of unknown class and are left out.
+    Variants drop words by hash and stand alone or between words of a corpus line;
+    these words are all that is taken from the VARIANTS lines of lowest hash.
     """
-    spark = docs.sparkSession
     # by hash first, so that neither the lines are exchanged nor all of them cut into words
     lines = _lines(docs)
-    chosen = lines.select("h").distinct().orderBy("h").limit(UNKNOWN_LINES)
+    chosen = lines.select("h").distinct().orderBy("h").limit(VARIANTS)
     picked = lines.join(F.broadcast(chosen), "h").dropDuplicates(["h"])
-    sample = materialize(picked.select(item_words(F.col("line")).alias("w")).distinct())
-    temps = _templates(spark)
-    listed = [F.lit(" ".join(_words(t))) for texts in TEMPLATES.values() for t in texts]
-    noted = F.exists(F.array(*listed), lambda t: _share(F.col("w"), F.split(t, " ")) >= CONFIRM)
-    unknown = sample.where(~noted).select(F.lit(UNKNOWN).alias("family"), "w", (F.pmod(F.xxhash64("w", F.lit(1)), F.lit(4)) == 0).alias("held"))
-    frame = sample.select(F.row_number().over(Window.orderBy(F.xxhash64("w"))).alias("v"), F.slice("w", 1, 6).alias("around")) \
-        .where(F.col("v") <= VARIANTS)
-    variants = temps.withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(VARIANTS)))).join(F.broadcast(frame), "v", "left")
+    around = picked.select(item_words(F.col("line")).alias("w")).distinct()
+    frame = around.select(F.row_number().over(Window.orderBy(F.xxhash64("w"))).alias("v"), F.slice("w", 1, 6).alias("around"))
+    each = _templates(docs.sparkSession).withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(VARIANTS)))) \
+        .join(F.broadcast(frame), "v", "left")
     kept = F.filter("w", lambda x, i: (F.col("v") <= 2) | (F.pmod(F.xxhash64(x, i, F.col("v")), F.lit(5)) > 0))
     framed = F.when(F.col("v") % 3 == 0, F.concat(F.coalesce("around", F.array().cast("array<string>")), kept)).otherwise(kept)
-    known = variants.select("family", framed.alias("w"), F.lit(False).alias("held"))
-    return unknown.unionByName(known)
+    return each.select("family", framed.alias("w"))
+
+
+def unknown_lines(rows: DataFrame) -> DataFrame:
+    """``h, b, held``: every distinct line of unknown class of ``paragraphs``.
+
+    Lines that share a template's word pairs to the confirming share are not of
+    unknown class; every fourth line by hash is held out for the threshold.
+    """
+    listed = [F.lit(" ".join(_words(t))) for texts in TEMPLATES.values() for t in texts]
+    noted = F.exists(F.array(*listed), lambda t: _share(F.col("w"), F.split(t, " ")) >= CONFIRM)
+    lines = rows.where(F.col("h").isNotNull() & F.when(F.col("w").isNull(), True).otherwise(~noted))
+    return lines.select("h", "b").distinct().withColumn("held", F.pmod(F.xxhash64("h"), F.lit(4)) == 0)
 
 
 def _words(text: str) -> list[str]:
@@ -172,31 +200,48 @@ def _one_hot(buckets: Column) -> Column:
     return F.from_json(F.to_json(stored), StructType([StructField("v", VectorUDT())]))["v"]
 
 
-def train(docs: DataFrame) -> tuple[DataFrame, list[float], float]:
-    """Weights (``bucket, weights`` by family), intercepts, and the calibrated threshold."""
-    spark = docs.sparkSession
-    rows = materialize(training_rows(docs).withColumn("b", F.array_sort(F.array_distinct(_buckets(F.col("w"))))))
+def train(known: DataFrame, unknown: DataFrame) -> tuple[DataFrame, list[float], float]:
+    """Weights (``bucket, weights`` by family), intercepts, and the calibrated threshold.
+
+    ``known``: ``family, b``; ``unknown``: ``unknown_lines``, all of which teach or calibrate; those that
+    teach weigh together as TAUGHT lines at most, so that the classes keep their shares in corpora of any size.
+    Lines with the same features are one example with their number.
+    """
+    spark = known.sparkSession
+    counts = {r["held"]: r["n"] for r in unknown.groupBy("held").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taught, n_held = counts.get(False, 0), counts.get(True, 0)
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")).cast("double") - 1
-    learn = rows.where(~F.col("held")).select(label.alias("label"), _one_hot(F.col("b")).alias("features")).coalesce(2)
-    model = LogisticRegression(family="multinomial", elasticNetParam=L1, regParam=PENALTY, maxIter=PASSES,
-                               standardization=False).fit(learn)
+    lines = unknown.where(~F.col("held")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    learn = known.select(label.alias("label"), F.lit(1.0).alias("weight"), "b").unionByName(
+        lines.select(F.lit(0.0).alias("label"), (F.col("n") * F.lit(min(1.0, TAUGHT / max(taught, 1)))).alias("weight"), "b"))
+    learn = materialize(learn.select("label", "weight", _one_hot(F.col("b")).alias("features")))
+    model = LogisticRegression(family="multinomial", elasticNetParam=L1, regParam=PENALTY, maxIter=PASSES, standardization=False,
+                               weightCol="weight").fit(learn.coalesce(max(TASKS, taught // TASK_LINES)))
     matrix, intercepts = model.coefficientMatrix.toArray(), [float(x) for x in model.interceptVector]
     used = [(int(b), [float(x) for x in matrix[:, b]]) for b in matrix.any(axis=0).nonzero()[0]]
     weights = materialize(spark.createDataFrame(used, "bucket int, weights array<double>").coalesce(1))
-    held = rows.where("held").select(F.monotonically_increasing_id().alias("key"), "w")
-    high = probabilities(held, weights, intercepts) \
-        .agg(F.percentile("probability", F.lit(1 - FALSE_RATE)).alias("p")).first()["p"]
-    release(rows)
-    return weights, intercepts, max(LEAST, high or 0.0)
+    high = _percentile(probabilities(unknown.where("held").select(F.col("h").alias("key"), "b"), weights, intercepts), n_held)
+    release(learn)
+    return weights, intercepts, max(LEAST, high)
+
+
+def _percentile(scored: DataFrame, n: int) -> float:
+    """The probability that FALSE_RATE of the ``n`` rows pass, by their upper end alone; 0 without rows."""
+    at = max(n - 1, 0) * (1 - FALSE_RATE)
+    upper = scored.select("probability").orderBy(F.desc("probability")).limit(max(n - int(at), 1))
+    ends = [r["probability"] for r in upper.orderBy("probability").limit(2).collect()]
+    return ends[0] + (ends[-1] - ends[0]) * (at - int(at)) if ends else 0.0
 
 
 def probabilities(rows: DataFrame, weights: DataFrame, intercepts: list[float]) -> DataFrame:
-    """``key, family, probability``: the likeliest family (unknown aside) of each row of ``key, w``.
+    """``key, family, probability``: the likeliest family (unknown aside) of each row of ``key, w``
+    (or ``key, b``, its distinct buckets).
 
     ``weights`` has at most BUCKETS rows and is broadcast.
     """
     n = len(intercepts)
-    each = rows.select("key", F.explode_outer(F.array_distinct(_buckets(F.col("w")))).alias("bucket"))
+    buckets = F.col("b") if "b" in rows.columns else F.array_distinct(_buckets(F.col("w")))
+    each = rows.select("key", F.explode_outer(buckets).alias("bucket"))
     sums = each.join(F.broadcast(weights), "bucket", "left").groupBy("key").agg(
         *[F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"z{i}") for i in range(n)])
     scored = sums.select("key", F.array(*[F.col(f"z{i}") + F.lit(intercepts[i]) for i in range(n)]).alias("z")) \
@@ -217,17 +262,18 @@ def _template_pairs() -> list[str]:
     return sorted(pairs)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """A row of every document (``rid, doc_id, n_paragraphs``) and its lines (``at, w``)
+def paragraphs(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """A row of every line with a word (``rid, doc_id, n_paragraphs, at, h, b, w``), or one without line
+    of a document that has none. ``h, b``: hash and distinct buckets of the vocabulary. ``w`` only of lines
     that hold a telling word pair of any template; only such lines can be confirmed."""
-    known = F.lit(_template_pairs())
+    known, w = _template_pairs(), F.col("x.w")
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("at"), item_words(x).alias("w")))
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                        F.filter(lines, lambda x: F.size(x["w"]) > 0).alias("_lines"))
-    near = F.filter("_lines", lambda x: F.arrays_overlap(_pairs(x["w"]), known))
-    return rows.select("rid", "doc_id", F.size("_lines").cast("long").alias("n_paragraphs"), near.alias("_near")) \
-        .select("rid", "doc_id", "n_paragraphs", F.explode_outer("_near").alias("x")) \
-        .select("rid", "doc_id", "n_paragraphs", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
+    rows = rows.select("rid", "doc_id", F.size("_lines").cast("long").alias("n_paragraphs"), F.explode_outer("_lines").alias("x"))
+    rows = _features(w, vocabulary, rows).withColumn("_pairs", _pairs(w))
+    return rows.select("rid", "doc_id", "n_paragraphs", F.col("x.at").alias("at"), F.when(w.isNotNull(), F.xxhash64(w)).alias("h"), "b",
+                       F.when(F.size(_within("_pairs", known)) > 0, w).alias("w"))
 
 
 def wrapped(rows: DataFrame) -> DataFrame:
@@ -241,10 +287,11 @@ def wrapped(rows: DataFrame) -> DataFrame:
     return lines.select("rid", "at", F.col("at").alias("until"), "w").unionByName(joined)
 
 
-def classified(rows: DataFrame, weights: DataFrame, intercepts: list[float], threshold: float) -> DataFrame:
+def classified(rows: DataFrame, vocabulary: list[str], weights: DataFrame, intercepts: list[float], threshold: float) -> DataFrame:
     """``rid, at, until, family, probability, share``: the confirmed lines and wrapped paragraphs."""
     lines = wrapped(rows).select(F.struct("rid", "at", "until").alias("key"), "w")
-    predicted = probabilities(lines, weights, intercepts).where(F.col("probability") >= threshold)
+    features = _features(F.col("w"), vocabulary, lines).select("key", "b")
+    predicted = probabilities(features, weights, intercepts).where(F.col("probability") >= threshold)
 
     def best(texts: Column) -> Column:
         return F.aggregate(texts, F.lit(0.0), lambda acc, t: F.greatest(acc, _share(F.col("w"), t)))
@@ -261,9 +308,13 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_paragraphs, n_licensed, families, probability`` of every row of ``docs`` (``doc_id, text``).
     ``n_licensed``: the lines that are confirmed by themselves or as part of a wrapped paragraph."""
     docs = docs.select("doc_id", "text")
-    weights, intercepts, threshold = train(docs)
-    rows = materialize(paragraphs(docs))
-    confirmed = materialize(classified(rows, weights, intercepts, threshold))
+    texts = materialize(variants(docs))
+    vocabulary = sorted(r["g"] for r in texts.select(F.explode(_grams(F.col("w"))).alias("g")).distinct().collect())
+    rows = materialize(paragraphs(docs, vocabulary))
+    unknown = materialize(unknown_lines(rows))
+    weights, intercepts, threshold = train(texts.select("family", F.sort_array(F.array_distinct(_buckets(F.col("w")))).alias("b")), unknown)
+    release(texts, unknown)
+    confirmed = materialize(classified(rows, vocabulary, weights, intercepts, threshold))
     found = confirmed.groupBy("rid").agg(F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"), F.max("probability").alias("p"))
     lines = confirmed.select("rid", F.explode(F.sequence("at", "until")).alias("at")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n"))
     heads = rows.select("rid", "doc_id", "n_paragraphs").distinct()

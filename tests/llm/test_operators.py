@@ -338,6 +338,38 @@ def test_license_scan_of_real_notices(spark):
     assert all(got[i].n_licensed == 0 for i in range(120))
 
 
+def test_license_training_takes_every_line(spark, monkeypatch):
+    """Each distinct line of unknown class teaches or calibrates, beyond any fixed number."""
+    from pyspark.sql import functions as F
+    seen, weights = [], []
+
+    class Recorded(license_scan.LogisticRegression):
+        def fit(self, learn):
+            weights.append(learn.where("label = 0").agg(F.sum("weight")).first()[0])
+            return super().fit(learn)
+
+    real = license_scan.train
+    monkeypatch.setattr(license_scan, "train", lambda known, unknown: seen.append(unknown.groupBy("held").count().collect()) or real(known, unknown))
+    monkeypatch.setattr(license_scan, "LogisticRegression", Recorded)
+    lines = [english(8, i) for i in range(4500)]
+    rows = [(i, "\n".join(lines[3 * i: 3 * i + 6] + ["Released under the MIT License."])) for i in range(1500)]
+    got = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    taught, held = (dict(seen[0])[k] for k in (False, True))
+    assert taught + held == 4500 and 900 < held < 1350
+    assert abs(weights[0] - license_scan.TAUGHT) < 1e-6  # taught x (TAUGHT / taught)
+    assert got.where(F.col("families") == "mit").count() == 1500
+
+
+def test_license_threshold_is_the_exact_percentile(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(4)
+    for n in (1, 2, 900, 3001):
+        df = spark.createDataFrame([(rnd.random(),) for _ in range(n)], "probability double")
+        want = df.agg(F.percentile("probability", F.lit(1 - license_scan.FALSE_RATE))).first()[0]
+        assert abs(license_scan._percentile(df, n) - want) < 1e-12
+    assert license_scan._percentile(df.limit(0), 0) == 0.0
+
+
 def test_license_probabilities_equal_plain_python(spark):
     """The joined scoring against the softmax of summed weights."""
     import math
