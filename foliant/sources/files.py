@@ -4,8 +4,9 @@
   JSON lines. The offset of the stream is the page token, so a stream can start
   behind a token that was recorded before a scan, and its checkpoint is that token.
 * ``named_files`` (batch write): ordered pieces become one file per target name, each
-  with a bounded buffer. Tasks write below a work folder of the job; ``commit`` moves
-  the finished files to their names, ``abort`` and a failed task leave none.
+  with a bounded buffer. Tasks write below a work folder of the job, with a list of their
+  targets beside the files; the driver hears of one folder a task. Tasks then move the files
+  of the finished folders to their names; a failed write leaves none.
 
 Files are opened through pyarrow's file systems by URI, on executors and driver alike.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,58 +122,57 @@ def read_pages(spark: SparkSession, path: str, start_token: int = 0) -> DataFram
 
 # -- named files ---------------------------------------------------------------------
 
+#: Files of a work folder: the targets of a task's files, and the folders of the finished tasks.
+TARGETS, FINISHED = "_targets", "_finished"
+
+
 @dataclass
 class _Written(WriterCommitMessage):
-    files: list = field(default_factory=list)  # (work path, target)
+    folder: str | None = None  # of the task's files; None: it had no rows
 
 
 class NamedFilesWriter(DataSourceWriter):
-    def __init__(self, path: str):
-        self.path, self.work = path, f"_work-{uuid.uuid4().hex}"
+    def __init__(self, path: str, work: str):
+        self.path, self.work = path, work
 
     def write(self, iterator):
         store, base = open_store(self.path)
-        attempt = f"{base}/{self.work}/{uuid.uuid4().hex}"
-        message, out, target = _Written(), None, None
+        folder = uuid.uuid4().hex
+        attempt = f"{base}/{self.work}/{folder}"
+        out, target, listed, n = None, None, None, 0
         try:
             for row in iterator:
                 if row["target"] != target:
                     if out is not None:
                         out.close()
                     target = row["target"]
-                    store.create_dir(attempt, recursive=True)
-                    path = f"{attempt}/{len(message.files)}"
-                    message.files.append((path, target))
-                    out = store.open_output_stream(path, compression=None)
+                    if listed is None:
+                        store.create_dir(attempt, recursive=True)
+                        listed = store.open_output_stream(f"{attempt}/{TARGETS}", compression=None)
+                    listed.write(json.dumps([str(n), target]).encode() + b"\n")
+                    out = store.open_output_stream(f"{attempt}/{n}", compression=None)
+                    n += 1
                 if row["piece"] is not None:
                     out.write(row["piece"].encode())
         finally:
-            if out is not None:
-                out.close()
-        return message
+            for stream in (out, listed):
+                if stream is not None:
+                    stream.close()
+        return _Written(folder if listed is not None else None)
 
     def commit(self, messages) -> None:
         store, base = open_store(self.path)
-        files = [f for m in messages if m is not None for f in m.files]
-        names = [target for _, target in files]
-        if len(set(names)) < len(names):
-            self.abort(messages)
-            raise ValueError("a target's pieces came from several tasks or out of order")
-        for path, target in files:
-            final = f"{base}/{target}"
-            store.create_dir(posixpath.dirname(final), recursive=True)
-            store.move(path, final)
-        self.abort(messages)
+        store.create_dir(f"{base}/{self.work}", recursive=True)
+        with store.open_output_stream(f"{base}/{self.work}/{FINISHED}", compression=None) as out:
+            out.write("\n".join(m.folder for m in messages if m is not None and m.folder is not None).encode())
 
     def abort(self, messages) -> None:
-        store, base = open_store(self.path)
-        from pyarrow import fs
-        if store.get_file_info(f"{base}/{self.work}").type != fs.FileType.NotFound:
-            store.delete_dir(f"{base}/{self.work}")
+        _remove(self.path, self.work)
 
 
 class NamedFiles(DataSource):
-    """Option ``path``; rows ``target, piece``, all rows of a target in one task and in order."""
+    """Options ``path`` and ``work``, the work folder's name; rows ``target, piece``, all rows of a target in
+    one task and in order. ``write_named_files`` moves what has been written to its names."""
 
     @classmethod
     def name(cls) -> str:
@@ -182,7 +182,61 @@ class NamedFiles(DataSource):
         return "target string, piece string"
 
     def writer(self, schema, overwrite):
-        return NamedFilesWriter(self.options["path"])
+        return NamedFilesWriter(self.options["path"], self.options["work"])
+
+
+def _remove(path: str, work: str) -> None:
+    from pyarrow import fs
+    store, base = open_store(path)
+    if store.get_file_info(f"{base}/{work}").type != fs.FileType.NotFound:
+        store.delete_dir(f"{base}/{work}")
+
+
+def _move_files(spark: SparkSession, path: str, work: str) -> None:
+    """Move the files of the finished tasks to their names, the files of a folder in one task."""
+    store, base = open_store(path)
+    with store.open_input_stream(f"{base}/{work}/{FINISHED}") as stream:
+        folders = stream.read().decode().split()
+    if not folders:
+        return
+
+    def listed(batches):
+        import pandas as pd
+        store, base = open_store(path)
+        for batch in batches:
+            for folder in batch["folder"]:
+                with store.open_input_stream(f"{base}/{work}/{folder}/{TARGETS}") as stream:
+                    rows = []
+                    for line in _lines(stream):
+                        name, target = json.loads(line)
+                        rows.append((f"{work}/{folder}/{name}", target))
+                        if len(rows) == 10_000:
+                            yield pd.DataFrame(rows, columns=["source", "target"])
+                            rows = []
+                    yield pd.DataFrame(rows, columns=["source", "target"], dtype=object)
+
+    def moved(batches):
+        from pyarrow import fs
+        store, base = open_store(path)
+        made = None
+        for batch in batches:
+            for source, target in zip(batch["source"], batch["target"]):
+                final = f"{base}/{target}"
+                if posixpath.dirname(final) != made:
+                    made = posixpath.dirname(final)
+                    store.create_dir(made, recursive=True)
+                try:
+                    store.move(f"{base}/{source}", final)
+                except FileNotFoundError:  # moved by an earlier attempt of this task
+                    if store.get_file_info(final).type == fs.FileType.NotFound:
+                        raise
+            yield batch[["target"]]
+
+    files = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders)) \
+        .mapInPandas(listed, "source string, target string")
+    if not files.groupBy("target").count().where("count > 1").isEmpty():
+        raise ValueError("a target's pieces came from several tasks or out of order")
+    files.mapInPandas(moved, "target string").count()
 
 
 def write_named_files(pieces: DataFrame, path: str, target: str, order_cols: list[str], piece: str = "piece") -> None:
@@ -193,4 +247,9 @@ def write_named_files(pieces: DataFrame, path: str, target: str, order_cols: lis
     spark.dataSource.register(NamedFiles)
     rows = pieces.select(F.col(target).alias("target"), F.col(piece).alias("piece"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
     rows = rows.repartition("target").sortWithinPartitions("target", *[f"_o{i}" for i in range(len(order_cols))]).select("target", "piece")
-    rows.write.format("named_files").option("path", path).mode("append").save()
+    work = f"_work-{uuid.uuid4().hex}"
+    try:
+        rows.write.format("named_files").option("path", path).option("work", work).mode("append").save()
+        _move_files(spark, path, work)
+    finally:
+        _remove(path, work)

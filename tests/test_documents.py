@@ -76,6 +76,26 @@ def test_a_failed_write_leaves_no_files(spark):
     assert below(path) == {} if os.path.exists(path.removeprefix("file:")) else True
 
 
+def test_a_task_of_named_files_tells_the_driver_one_folder(spark, tmp_path):
+    """What a writing task sends back does not grow with its files; the moves bring them to their names."""
+    import pickle
+
+    def sent(n, work):
+        writer = FL.NamedFiles({"path": str(tmp_path), "work": work}).writer(None, False)
+        return writer, writer.write({"target": f"c{i}/a long name of file {i}.txt", "piece": "x"} for i in range(n))
+
+    sizes = [len(pickle.dumps(sent(n, f"_work-{n}")[1])) for n in (1, 500)]
+    assert sizes[0] == sizes[1]
+    writer, message = sent(300, "_work-a")
+    writer.commit([message, None])
+    FL._move_files(spark, str(tmp_path), "_work-a")
+    assert sum(name.startswith("c") for name in below(str(tmp_path))) == 300
+    writer, twice = sent(3, "_work-b")
+    writer.commit([twice, sent(1, "_work-b")[1]])
+    with pytest.raises(ValueError):
+        FL._move_files(spark, str(tmp_path), "_work-b")
+
+
 def test_pages_are_read_from_a_token(spark):
     path, ckpt, out = (scratch_dir(spark, n) for n in ("pages", "ckpt", "out"))
     change = "token long, seq long, change_type string, file_id string, removed boolean, parent_id string, name string, mime_type string, size long"
