@@ -53,7 +53,7 @@ def _write_level(level: DataFrame, path: str) -> tuple[int, int]:
 
 def tree_paths(nodes: DataFrame, root_id: str,
                checkpoint_every: int | None = None, broadcast_bytes: int | None = None,
-               store_result: bool = True) -> DataFrame:
+               store_result: bool = True, store=materialize) -> DataFrame:
     """Full path and indent of every node reachable from ``root_id``.
 
     ``nodes`` has at least ``id, parent_id, name, mime_type``; other columns
@@ -66,7 +66,7 @@ def tree_paths(nodes: DataFrame, root_id: str,
     table, which the next step reads. A level is broadcast into the next join
     only when its measured size (observed by the write) is below the broadcast
     bound; larger levels go through a shuffle join. With ``store_result`` (default)
-    the result is written as a stage table and the folder and level tables are
+    the result is written by ``store``, as a stage table, and the folder and level tables are
     removed before returning. There is no bound on the depth: a walk longer than
     the number of folders has met a cycle (ids that repeat with several parents)
     and raises. ``checkpoint_every`` is accepted for old callers and has no effect,
@@ -108,7 +108,7 @@ def tree_paths(nodes: DataFrame, root_id: str,
     result = items.unionByName(root_row.select(*items.columns))
     if not store_result:
         return result
-    stored = materialize(result)
+    stored = store(result)
     release(folders, levels)
     return stored
 

@@ -89,11 +89,20 @@ class InventoryStore:
         rows = self.read("state").collect()
         return rows[0].asDict() if rows else None
 
+    def put(self, part: str, table: DataFrame) -> DataFrame:
+        """Write one part of the next generation, and read it; ``commit`` makes the generation count."""
+        path = self._gen_path((self.current_gen() or 0) + 1, part)
+        table.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path)
+
     def write(self, inventory: DataFrame, nodes: DataFrame, state: dict) -> int:
+        self.put("inventory", inventory)
+        self.put("nodes", nodes)
+        return self.commit(state)
+
+    def commit(self, state: dict) -> int:
         gen = (self.current_gen() or 0) + 1
         state = {f.name: state.get(f.name) for f in STATE.fields}
-        inventory.write.mode("overwrite").parquet(self._gen_path(gen, "inventory"))
-        nodes.write.mode("overwrite").parquet(self._gen_path(gen, "nodes"))
         # The state file is written last: a generation counts once its state exists.
         self.spark.createDataFrame([state], STATE).coalesce(1).write.mode("overwrite") \
             .parquet(self._gen_path(gen, "state"))
@@ -153,31 +162,32 @@ def make_batch_writer(store: InventoryStore, root_id: str, root_label: str, poll
         last_seq, n_polls = state.get("last_seq"), state.get("n_polls", 0)
         rescan_day = state.get("last_rescan_day")
         todo = polls
+        # the last tables of the epoch are written once, where the new generation keeps them
+        keep = lambda part, df, last: store.put(part, df) if last else stage(df)
         if rescans:
             rescan_day = rescans[-1]
             upto = batch.where(F.col(poll_col) <= F.lit(rescan_day))
-            nodes = stage(apply_to_nodes(nodes, latest_changes(upto)))
-            stages.append(tree_paths(nodes, root_id))
-            inv = stages[-1].select(*INVENTORY_COLS)
             todo = [d for d in polls if d > rescan_day]
+            nodes = keep("nodes", apply_to_nodes(nodes, latest_changes(upto)), not todo)
+            inv = tree_paths(nodes, root_id, store=lambda df: keep("inventory", df.select(*INVENTORY_COLS), not todo))
         if todo and _span_is_mergeable(nodes, batch.where(F.col(poll_col).isin(todo))):
             # No id changed in these polls is anyone's parent, so no ancestor
             # changes between them: one patch against the final live nodes
             # equals patching poll by poll.
             last = latest_changes(batch.where(F.col(poll_col).isin(todo)))
-            nodes = stage(apply_to_nodes(nodes, last))
-            inv = stage(patch_inventory(inv, nodes, last, root_id, root_label))
+            nodes = keep("nodes", apply_to_nodes(nodes, last), True)
+            inv = keep("inventory", patch_inventory(inv, nodes, last, root_id, root_label), True)
             todo = []
         for day in todo:
             day_changes = batch.where(F.col(poll_col) == F.lit(day))
             last = latest_changes(day_changes)
-            nodes = stage(apply_to_nodes(nodes, last))
-            inv = stage(patch_inventory(inv, nodes, last, root_id, root_label))
+            nodes = keep("nodes", apply_to_nodes(nodes, last), day == todo[-1])
+            inv = keep("inventory", patch_inventory(inv, nodes, last, root_id, root_label), day == todo[-1])
         n_polls += len(polls)
         m = batch.agg(F.max("seq")).collect()[0][0]
         last_seq = m if last_seq is None or (m is not None and m > last_seq) else last_seq
-        store.write(inv, nodes, {**state, "last_epoch": epoch, "last_seq": last_seq, "n_polls": n_polls,
-                                 "last_rescan_day": rescan_day, "last_poll_day": polls[-1] if polls else None})
+        store.commit({**state, "last_epoch": epoch, "last_seq": last_seq, "n_polls": n_polls,
+                      "last_rescan_day": rescan_day, "last_poll_day": polls[-1] if polls else None})
         release(*stages)
         batch.unpersist()
 

@@ -224,3 +224,30 @@ def test_an_epoch_that_is_run_again_gives_the_same_rows(spark):
                                       (1, "f1", 5, "insert", "b", None), (1, "f9", 6, "insert", "new", None), (1, "f9", 7, "update", "new2", "new")]
     write(feed(spark, None, DAYS), 2)  # all applied already
     assert spark.read.parquet(out).count() == 6
+
+
+# -- stored inventory ----------------------------------------------------------------
+
+def test_an_epoch_writes_its_last_tables_once(spark, monkeypatch):
+    """No stage copy of the tables that the new generation keeps, whichever way the epoch ends."""
+    rows = tree(random.Random(3), 30, 60)
+    nodes = spark.createDataFrame(rows, NODE)
+    store = CF.InventoryStore(spark, scratch_dir(spark, "store"))
+    CF.init_store(store, H.tree_paths(nodes, "root"), nodes)
+    copies = []
+    real = CF.materialize
+    monkeypatch.setattr(CF, "materialize", lambda df: copies.append(1) or real(df))
+    write = CF.make_batch_writer(store, "root", "ROOT")
+    changes = [(1, "file", "f1", False, "d4", "a", "text/plain", 5, DAYS[0]), (2, "file", "d7", False, "d1", "b", FOLDER_MIME, None, DAYS[0]),
+               (3, "drive", None, False, None, None, None, None, DAYS[1]), (4, "file", "f2", True, None, None, None, None, DAYS[1])]
+    more = [(5, "file", "f3", False, "d7", "c", "text/plain", 6, DAYS[2])]
+    inv = H.tree_paths(nodes, "root")
+    before = session.open_stages()
+    for epoch, batch in enumerate((changes, more)):
+        df = spark.createDataFrame(batch, CHANGE + ", batch_day string").withColumn("batch_day", session_date("batch_day"))
+        write(df, epoch)
+        inv, nodes, _ = CH.apply_changes(inv, nodes, df, "root", "ROOT")
+        assert as_rows(store.read("inventory"), *CH.INVENTORY_COLS) == as_rows(inv, *CH.INVENTORY_COLS)
+        assert as_rows(store.read("nodes"), *CH.NODE_COLS) == as_rows(nodes, *CH.NODE_COLS)
+        assert store.read("inventory").columns == CH.INVENTORY_COLS and store.current_gen() == epoch + 2
+    assert copies == [] and len(session.open_stages()) >= len(before)
