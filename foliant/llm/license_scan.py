@@ -101,6 +101,8 @@ TASKS, TASK_LINES = 4, 500_000
 #: Buckets of the hashed features, the weight of the penalty, the part of it that is L1 (the rest, L2,
 #: spreads the weight over all telling words of a notice), and the passes of the training.
 BUCKETS, PENALTY, L1, PASSES = 1 << 14, 0.0005, 0.1, 60
+#: Hash values of the vocabulary's words and pairs (a multiple of BUCKETS and of 64).
+MARKS = 1 << 18
 #: Held-out lines of unknown class that may pass the threshold, and its least value.
 FALSE_RATE, LEAST = 0.001, 0.5
 #: Share of the word pairs of the line or of the template, whichever has fewer, that both must hold,
@@ -119,24 +121,33 @@ def _grams(words: Column) -> Column:
     return F.concat(words, _pairs(words))
 
 
-def _hashed(grams: Column) -> Column:
-    return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+def _hashed(grams: Column, values: int) -> Column:
+    return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(values)).cast("int"))
 
 
 def _buckets(words: Column) -> Column:
-    return _hashed(_grams(words))
+    return _hashed(_grams(words), BUCKETS)
 
 
-def _within(grams: str, listed: list[str]) -> Column:
-    """The entries of the column that are listed; as text, since each listed literal would be a call (no quote is in a word)."""
-    texts = ", ".join(f"'{g}'" for g in listed)
-    return F.expr(f"filter({grams}, g -> g in ({texts}))")
+def _constant(numbers: list[int], kind: str) -> Column:
+    """A constant array, as one text: each literal of a list would be a call."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
 
 
-def _features(words: Column, vocabulary: list[str], rows: DataFrame) -> DataFrame:
-    """``rows`` with ``b``: the distinct buckets of the words and pairs that are in the vocabulary."""
-    return rows.withColumn("_grams", _grams(words)) \
-        .withColumn("b", F.sort_array(F.array_distinct(_hashed(_within("_grams", vocabulary))))).drop("_grams")
+def _features(words: Column, vocabulary: list[int], rows: DataFrame) -> DataFrame:
+    """``rows`` with ``b``: the distinct buckets of the words and pairs whose hash value is in the vocabulary."""
+    bits = [0] * (MARKS // 64)
+    for mark in vocabulary:
+        bits[mark // 64] |= 1 << mark % 64
+    table = _constant([x - (1 << 64) if x >> 63 else x for x in bits], "bigint")
+
+    def listed(mark: Column) -> Column:
+        place = F.element_at(table, F.shiftright(mark, 6) + 1)
+        return F.call_function("getbit", place, mark.bitwiseAND(F.lit(63))) == 1
+
+    marks = rows.withColumn("_marks", _hashed(_grams(words), MARKS)).withColumn("_marks", F.filter("_marks", listed))
+    found = F.transform("_marks", lambda mark: F.pmod(mark, F.lit(BUCKETS)))
+    return marks.withColumn("b", F.sort_array(F.array_distinct(found))).drop("_marks")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -193,17 +204,17 @@ def _share(a: Column, b: Column) -> Column:
     return F.when(common >= LEAST_PAIRS, common / F.greatest(F.least(F.size(pa), F.size(pb)), F.lit(1))).otherwise(F.lit(0.0))
 
 
-def _one_hot(buckets: Column) -> Column:
+def _one_hot(at: Column, size: int) -> Column:
     """A sparse vector of ones, from the JSON form of the vector type."""
-    stored = F.struct(F.struct(F.lit(0).alias("type"), F.lit(BUCKETS).alias("size"), buckets.alias("indices"),
-                               F.transform(buckets, lambda _: F.lit(1.0)).alias("values")).alias("v"))
+    stored = F.struct(F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), at.alias("indices"),
+                               F.transform(at, lambda _: F.lit(1.0)).alias("values")).alias("v"))
     return F.from_json(F.to_json(stored), StructType([StructField("v", VectorUDT())]))["v"]
 
 
-def train(known: DataFrame, unknown: DataFrame) -> tuple[DataFrame, list[float], float]:
+def train(known: DataFrame, unknown: DataFrame, buckets: list[int]) -> tuple[DataFrame, list[float], float]:
     """Weights (``bucket, weights`` by family), intercepts, and the calibrated threshold.
 
-    ``known``: ``family, b``; ``unknown``: ``unknown_lines``, all of which teach or calibrate; those that
+    ``known``: ``family, b``; ``buckets``: all that these hold, sorted; ``unknown``: ``unknown_lines``, all of which teach or calibrate; those that
     teach weigh together as TAUGHT lines at most, so that the classes keep their shares in corpora of any size.
     Lines with the same features are one example with their number.
     """
@@ -214,11 +225,13 @@ def train(known: DataFrame, unknown: DataFrame) -> tuple[DataFrame, list[float],
     lines = unknown.where(~F.col("held")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     learn = known.select(label.alias("label"), F.lit(1.0).alias("weight"), "b").unionByName(
         lines.select(F.lit(0.0).alias("label"), (F.col("n") * F.lit(min(1.0, TAUGHT / max(taught, 1)))).alias("weight"), "b"))
-    learn = materialize(learn.select("label", "weight", _one_hot(F.col("b")).alias("features")))
+    at = dict(zip(buckets, range(len(buckets))))
+    places = _constant([at.get(b, -1) for b in range(BUCKETS)], "int")
+    learn = materialize(learn.select("label", "weight", _one_hot(F.transform("b", lambda b: F.element_at(places, b + 1)), len(buckets)).alias("features")))
     model = LogisticRegression(family="multinomial", elasticNetParam=L1, regParam=PENALTY, maxIter=PASSES, standardization=False,
                                weightCol="weight").fit(learn.coalesce(max(TASKS, taught // TASK_LINES)))
     matrix, intercepts = model.coefficientMatrix.toArray(), [float(x) for x in model.interceptVector]
-    used = [(int(b), [float(x) for x in matrix[:, b]]) for b in matrix.any(axis=0).nonzero()[0]]
+    used = [(buckets[b], [float(x) for x in matrix[:, b]]) for b in matrix.any(axis=0).nonzero()[0]]
     weights = materialize(spark.createDataFrame(used, "bucket int, weights array<double>").coalesce(1))
     high = _percentile(probabilities(unknown.where("held").select(F.col("h").alias("key"), "b"), weights, intercepts), n_held)
     release(learn)
@@ -262,18 +275,18 @@ def _template_pairs() -> list[str]:
     return sorted(pairs)
 
 
-def paragraphs(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+def paragraphs(docs: DataFrame, vocabulary: list[int]) -> DataFrame:
     """A row of every line with a word (``rid, doc_id, n_paragraphs, at, h, b, w``), or one without line
     of a document that has none. ``h, b``: hash and distinct buckets of the vocabulary. ``w`` only of lines
     that hold a telling word pair of any template; only such lines can be confirmed."""
-    known, w = _template_pairs(), F.col("x.w")
+    w, telling = F.col("x.w"), ", ".join(f"'{p}'" for p in _template_pairs())
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("at"), item_words(x).alias("w")))
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                        F.filter(lines, lambda x: F.size(x["w"]) > 0).alias("_lines"))
     rows = rows.select("rid", "doc_id", F.size("_lines").cast("long").alias("n_paragraphs"), F.explode_outer("_lines").alias("x"))
     rows = _features(w, vocabulary, rows).withColumn("_pairs", _pairs(w))
     return rows.select("rid", "doc_id", "n_paragraphs", F.col("x.at").alias("at"), F.when(w.isNotNull(), F.xxhash64(w)).alias("h"), "b",
-                       F.when(F.size(_within("_pairs", known)) > 0, w).alias("w"))
+                       F.when(F.expr(f"exists(_pairs, p -> p in ({telling}))"), w).alias("w"))
 
 
 def wrapped(rows: DataFrame) -> DataFrame:
@@ -287,7 +300,7 @@ def wrapped(rows: DataFrame) -> DataFrame:
     return lines.select("rid", "at", F.col("at").alias("until"), "w").unionByName(joined)
 
 
-def classified(rows: DataFrame, vocabulary: list[str], weights: DataFrame, intercepts: list[float], threshold: float) -> DataFrame:
+def classified(rows: DataFrame, vocabulary: list[int], weights: DataFrame, intercepts: list[float], threshold: float) -> DataFrame:
     """``rid, at, until, family, probability, share``: the confirmed lines and wrapped paragraphs."""
     lines = wrapped(rows).select(F.struct("rid", "at", "until").alias("key"), "w")
     features = _features(F.col("w"), vocabulary, lines).select("key", "b")
@@ -309,10 +322,11 @@ def license_scan(docs: DataFrame) -> DataFrame:
     ``n_licensed``: the lines that are confirmed by themselves or as part of a wrapped paragraph."""
     docs = docs.select("doc_id", "text")
     texts = materialize(variants(docs))
-    vocabulary = sorted(r["g"] for r in texts.select(F.explode(_grams(F.col("w"))).alias("g")).distinct().collect())
+    vocabulary = sorted(r["m"] for r in texts.select(F.explode(_hashed(_grams(F.col("w")), MARKS)).alias("m")).distinct().collect())
     rows = materialize(paragraphs(docs, vocabulary))
     unknown = materialize(unknown_lines(rows))
-    weights, intercepts, threshold = train(texts.select("family", F.sort_array(F.array_distinct(_buckets(F.col("w")))).alias("b")), unknown)
+    known = texts.select("family", F.sort_array(F.array_distinct(_buckets(F.col("w")))).alias("b"))
+    weights, intercepts, threshold = train(known, unknown, sorted({m % BUCKETS for m in vocabulary}))
     release(texts, unknown)
     confirmed = materialize(classified(rows, vocabulary, weights, intercepts, threshold))
     found = confirmed.groupBy("rid").agg(F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"), F.max("probability").alias("p"))

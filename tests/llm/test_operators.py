@@ -349,7 +349,7 @@ def test_license_training_takes_every_line(spark, monkeypatch):
             return super().fit(learn)
 
     real = license_scan.train
-    monkeypatch.setattr(license_scan, "train", lambda known, unknown: seen.append(unknown.groupBy("held").count().collect()) or real(known, unknown))
+    monkeypatch.setattr(license_scan, "train", lambda known, unknown, *a: seen.append(unknown.groupBy("held").count().collect()) or real(known, unknown, *a))
     monkeypatch.setattr(license_scan, "LogisticRegression", Recorded)
     lines = [english(8, i) for i in range(4500)]
     rows = [(i, "\n".join(lines[3 * i: 3 * i + 6] + ["Released under the MIT License."])) for i in range(1500)]
