@@ -16,6 +16,10 @@ Two halves:
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,16 +268,11 @@ def _edits(length):
     return F.floor(F.lit(100 - THRESHOLD_PCT) * length / 100).cast("int")
 
 
-def cut_table(names: DataFrame) -> DataFrame:
-    """``n, t, k, s, z``: start and length of the ``t + 1`` segments of names of length ``n``.
+def place_weights(names: DataFrame) -> DataFrame:
+    """``n, t, p, w``: what each place of the names of a length tells apart, with the edits of that length.
 
-    The cuts follow what the places of a name tell apart: a place weighs as much as its
-    letter says beyond the two letters before it, over all names of that length (the
-    logarithm of the ratio of collision rates of letter pairs and letter triples there).
-    So a long ending that many names share lies in one segment together with letters
-    that differ, and no segment is common to them all. The segments in the middle, which
-    may have moved farther, get more weight than those at the ends. Any cut into
-    ``t + 1`` non-empty pieces is complete; the weights only choose between them.
+    A place weighs as much as its letter says beyond the two letters before it, over all names of
+    that length (the logarithm of the ratio of collision rates of letter pairs and letter triples there).
     """
     from pyspark.sql import Window
     sized = names.select("norm", F.length("norm").alias("n")).withColumn("t", _edits(F.col("n"))).where("t > 0")
@@ -287,7 +286,21 @@ def cut_table(names: DataFrame) -> DataFrame:
 
     before = collisions(2, "c2").select("n", (F.col("p") + 1).alias("p"), "c2")
     weight = F.greatest(F.log(F.coalesce("c2", F.lit(1.0)) / F.col("c3")), F.lit(0.0)) + F.lit(0.02)
-    rows = collisions(3, "c3").join(before, ["n", "p"], "left").select("n", "t", "p", weight.alias("w"))
+    return collisions(3, "c3").join(before, ["n", "p"], "left").select("n", "t", "p", weight.alias("w"))
+
+
+def cut_table(names: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """``n, t, k, s, z``: start and length of the ``t + 1`` segments of names of length ``n``.
+
+    The cuts follow what the places of a name tell apart (``place_weights``, computed here when not given).
+    So a long ending that many names share lies in one segment together with letters
+    that differ, and no segment is common to them all. The segments in the middle, which
+    may have moved farther, get more weight than those at the ends. Any cut into
+    ``t + 1`` non-empty pieces is complete; the weights only choose between them.
+    """
+    from pyspark.sql import Window
+    rows = place_weights(names) if weights is None else weights
+    sized = rows.select("n", "t").distinct()
     by_place, whole = Window.partitionBy("n").orderBy("p"), Window.partitionBy("n")
     # segment i may stand at 2 min(i, t - i) + 1 places of the other name, so it needs that much more weight
     places_of = lambda i: F.log(2 * F.least(i, F.col("t") - i) + 1)
@@ -298,7 +311,7 @@ def cut_table(names: DataFrame) -> DataFrame:
     rows = rows.withColumn("j", F.size(F.filter(ends, lambda x: x <= F.col("_mid"))))
     rows = rows.withColumn("_j", F.coalesce(F.lag("j").over(by_place), F.lit(-1))).where("j > _j")
     reached = rows.select("n", F.explode(F.sequence(F.col("_j") + 1, F.col("j"))).alias("k"), "p")
-    wanted = sized.select("n", "t").distinct().select("n", "t", F.explode(F.sequence(F.lit(0), F.col("t"))).alias("k"))
+    wanted = sized.select("n", "t", F.explode(F.sequence(F.lit(0), F.col("t"))).alias("k"))
     starts = wanted.join(reached, ["n", "k"], "left").withColumn("p", F.coalesce("p", "n"))
     by_cut = Window.partitionBy("n").orderBy("k")
     start = F.least(F.max(F.col("p") - F.col("k")).over(by_cut) + F.col("k"), F.col("n") - (F.col("t") + 1 - F.col("k")))
@@ -318,10 +331,22 @@ def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame, own_lis
     counted where the join meets the pair, so only pairs that pass are exchanged to be
     made distinct. Only the cuts are broadcast: a row for each length and segment.
     """
+    return _edit_rows(short, long, cuts, own_list).select("a", "b").distinct()
+
+
+def _side(names: DataFrame, side: str, *more) -> DataFrame:
+    """The names as column ``side`` (their numbers, where they have any, as ``side_id``)."""
+    ids = [F.col("id").alias(f"{side}_id")] if "id" in names.columns else []
+    return names.select(F.col("norm").alias(side), *ids, *more)
+
+
+def _edit_rows(short: DataFrame, long: DataFrame, cuts: DataFrame, own_list: bool) -> DataFrame:
+    """The pairs of ``_edit_candidates`` as often as they have segments in common."""
     cuts = F.broadcast(materialize(cuts))
-    own = long.select(F.col("norm").alias("b"), F.length("norm").alias("n")).join(cuts, "n")
-    index = own.select("b", "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
-    probe = short.select(F.col("norm").alias("a"), F.length("norm").alias("m"))
+    own = _side(long, "b", F.length("norm").alias("n")).join(cuts, "n")
+    index = own.select(*[c for c in own.columns if c.startswith("b")], "n", "k", F.col("b").substr(F.col("s") + 1, F.col("z")).alias("seg"))
+    probe = _side(short, "a", F.length("norm").alias("m"))
+    ids = [c for c in probe.columns if c.startswith("a")]
     reach = F.ceil(F.col("m") * 100 / F.lit(THRESHOLD_PCT)).cast("int")
     probe = probe.withColumn("n", F.explode(F.sequence(F.col("m"), F.greatest(reach, F.col("m"))))) \
         .where(F.col("n") - _edits(F.col("n")) <= F.col("m")).join(cuts, "n")
@@ -329,11 +354,136 @@ def _edit_candidates(short: DataFrame, long: DataFrame, cuts: DataFrame, own_lis
     probe = probe.withColumn("lo", F.greatest(F.lit(0), F.col("s") - F.col("k"), right - (F.col("t") - F.col("k")))) \
         .withColumn("hi", F.least(F.col("m") - F.col("z"), F.col("s") + F.col("k"), right + (F.col("t") - F.col("k")))).where("lo <= hi") \
         .withColumn("seg", F.explode(F.array_distinct(F.transform(F.sequence("lo", "hi"), lambda p: F.col("a").substr(p + 1, F.col("z")))))) \
-        .select("a", "n", "k", "seg")
+        .select(*ids, "n", "k", "seg")
     met = probe.join(index.hint("merge"), ["n", "k", "seg"])
     if own_list:
         met = met.where((F.length("a") < F.col("n")) | (F.col("a") < F.col("b")))
-    return met.where(_within_edits(F.col("a"), F.col("b"))).select("a", "b").distinct()
+    return met.where(_within_edits(F.col("a"), F.col("b"))).drop("n", "k", "seg")
+
+
+# --- many names of one length: several segments at once ---
+
+# Measures of work by which the number of segments is chosen: of a row that looks for its like, and of a pair that meets.
+ROW_COST, PAIR_COST = 1.5, 0.3
+MOST_EDITS, MOST_LOOKUPS = 8, 1000
+
+
+def _equal_cuts(weights: list[float], parts: int) -> list[tuple[int, int]]:
+    """``parts`` non-empty pieces (start, length) of a name that weigh about the same."""
+    starts, spent, n = [0], 0.0, len(weights)
+    for p, w in enumerate(weights):
+        middle = spent + w / 2
+        if p > starts[-1] and len(starts) < parts and (middle >= len(starts) * sum(weights) / parts or n - p <= parts - len(starts)):
+            starts.append(p)
+        spent += w
+    return [(s, e - s) for s, e in zip(starts, [*starts[1:], n])]
+
+
+@lru_cache(maxsize=None)
+def _moves(gaps: tuple[int, ...], last: int) -> list[tuple[int, ...]]:
+    """How far each chosen segment may have moved: between two of them by at most the
+    segments left out there, and ``last`` behind them all."""
+    if len(gaps) == 1:
+        return [()] if abs(last) <= gaps[0] else []
+    return [(d, *(d + x for x in rest)) for d in range(-gaps[0], gaps[0] + 1) for rest in _moves(gaps[1:], last - d)]
+
+
+def _lookups(cuts: list[tuple[int, int]], kept: int, m: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """``set, pieces``: where ``kept`` segments of a longer name may stand in one of length ``m``.
+
+    Of ``t + kept`` segments, ``t`` edits leave ``kept`` unchanged. Count up by one at an unchanged
+    segment and down by its edits less one at any other; the segments where the count first reaches
+    1, 2, .. are chosen. Up to each of them there are as many edits as segments left out, so also between
+    two of them, and behind the last at most as many: this bounds how far they move against each other.
+    """
+    n, out = sum(z for _, z in cuts), []
+    for number, chosen in enumerate(combinations(range(len(cuts)), kept)):
+        gaps = tuple(b - a - 1 for a, b in zip((-1, *chosen), (*chosen, len(cuts))))
+        for moves in _moves(gaps, m - n):
+            pieces = [(cuts[i][0] + d, cuts[i][1]) for i, d in zip(chosen, moves)]
+            ends = [0, *(p + z for p, z in pieces)]
+            if all(p >= e for (p, _), e in zip(pieces, ends)) and ends[-1] <= m:
+                out.append((number, pieces))
+    return out
+
+
+def _dense_cuts(weights: DataFrame, names: DataFrame) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+    """``length -> segments to share, cuts`` for the lengths at which so many names share one of ``t + 1``
+    segments that it costs less to ask for several of more segments at once. Any choice is complete."""
+    longest = max(n for n in range(1, 1000) if n * (100 - THRESHOLD_PCT) // 100 <= MOST_EDITS)
+    sizes = dict(names.groupBy(F.length("norm").alias("n")).count().where(F.col("n") <= longest).collect())
+    places: dict[int, dict[int, float]] = {}
+    for n, p, w in weights.where(F.col("n") <= longest).select("n", "p", "w").collect():
+        places.setdefault(n, {})[p] = w
+    found = {}
+    for n, by_place in places.items():
+        t = n * (100 - THRESHOLD_PCT) // 100
+        w = [by_place.get(p, 0.0) for p in range(n)]
+        asking = sum(sizes.get(m, 0) for m in range(n - t, n + 1))
+        best = None
+        for kept in range(1, min(6, n - t) + 1):
+            if kept > 1 and math.comb(t + kept, kept) > 150:
+                break
+            cuts = _equal_cuts(w, t + kept)
+            looks = _lookups(cuts, kept, n)
+            if kept > 1 and len(looks) > MOST_LOOKUPS:
+                break
+            says = [sum(w[s: s + z]) for s, z in cuts]
+            shared = [math.exp(-sum(says[i] for i in chosen)) for chosen in combinations(range(len(cuts)), kept)]
+            cost = asking * (ROW_COST * len(looks) + PAIR_COST * sizes[n] * sum(shared[number] for number, _ in looks))
+            if best is None or cost < best[0]:
+                best = cost, kept, cuts
+        if best[1] > 1:
+            found[n] = best[1:]
+    return found
+
+
+def _letters(norm):
+    """Which letters a name has and how often (up to 3 times), as bits: 21 classes of letters, 3 bits each."""
+    def more(held, letter):
+        at = F.pmod(F.ascii(letter), F.lit(21)) * 3
+        bits = F.call_function("shiftright", held, at).bitwiseAND(F.lit(7).cast("long"))
+        return held.bitwiseOR(F.call_function("shiftleft", (bits * 2 + 1).bitwiseAND(F.lit(7).cast("long")), at))
+    return F.aggregate(F.split(norm, ""), F.lit(0).cast("long"), lambda held, x: F.when(x == "", held).otherwise(more(held, x)))
+
+
+def _dense_rows(names: DataFrame, dense: dict[int, tuple[int, list[tuple[int, int]]]]) -> DataFrame:
+    """The same pairs of one numbered list for the lengths (of the longer name) in ``dense``, some of them several times.
+
+    Names meet that have all pieces of a set of segments in common (a hash of them; the edits
+    are counted for each pair). An edit changes one letter at most, so pairs of names whose letters differ
+    by more are left before that, and a common ending is not compared again.
+    """
+    spark = names.sparkSession
+    most = max(kept for kept, _ in dense.values())
+    pad = lambda pieces: [x for p, z in [*pieces, *[(0, 0)] * (most - len(pieces))] for x in (p + 1, z)]
+    parts = ", ".join(f"p{i} int, z{i} int" for i in range(most))
+    own, looks = [], []
+    for n, (kept, cuts) in sorted(dense.items()):
+        t = len(cuts) - kept
+        own += [(n, number, t, cuts[-1][1] - 1, *pad([cuts[i] for i in chosen]))
+                for number, chosen in enumerate(combinations(range(len(cuts)), kept))]
+        looks += [(n, number, cuts[-1][1] - 1, m, *pad(pieces)) for m in range(n - t, n + 1) for number, pieces in _lookups(cuts, kept, m)]
+    own = F.broadcast(materialize(spark.createDataFrame(own, f"n int, chosen int, t int, tail int, {parts}")))
+    looks = F.broadcast(materialize(spark.createDataFrame(looks, f"n int, chosen int, tail int, m int, {parts}")))
+
+    key = F.xxhash64("n", "chosen", *[F.col("norm").substr(F.col(f"p{i}"), F.col(f"z{i}")) for i in range(most)]).alias("key")
+    stored = materialize(names.select("norm", "id", F.length("norm").alias("m"), _letters(F.col("norm")).alias("bits")))
+
+    def side(rows, out):
+        size = F.col("m") - F.col("tail")
+        return rows.select(key, F.col("id").alias(f"{out}_id"), F.col("bits").alias(f"{out}_bits"), F.col("norm").substr(F.lit(1), size).alias(f"{out}_head"),
+                           F.col("norm").substr(size + 1, F.col("tail")).alias(f"{out}_tail"), *[c for c in ("same", "t") if c in rows.columns])
+
+    index = side(stored.join(own, F.col("m") == F.col("n")), "b")
+    probe = side(stored.join(looks, "m").withColumn("same", F.col("m") == F.col("n")), "a")
+    met = probe.join(index.hint("merge"), "key").where(~F.col("same") | (F.col("a_id") < F.col("b_id")))
+    lost = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= F.col("t")
+    met = met.where(lost("a_bits", "b_bits") & lost("b_bits", "a_bits"))
+    a, b = F.concat("a_head", "a_tail"), F.concat("b_head", "b_tail")
+    edits = F.when(F.col("a_tail") == F.col("b_tail"), F.call_function("levenshtein", F.col("a_head"), F.col("b_head"), F.col("t"))) \
+        .otherwise(F.call_function("levenshtein", a, b, F.col("t")))
+    return met.where(edits >= 0).select(a.alias("a"), b.alias("b"), "a_id", "b_id")
 
 
 def _shared_tokens(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -349,10 +499,12 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return _shared_tokens(left, right).unionByName(up).unionByName(down).distinct()
 
 
-def _self_candidates(u: DataFrame) -> DataFrame:
-    """The same within one list, each pair once (``norm < other``)."""
-    edits = _edit_candidates(u, u, cut_table(u), own_list=True).select(F.least("a", "b").alias("norm"), F.greatest("a", "b").alias("other"))
-    return _shared_tokens(u, u).unionByName(edits).where("norm < other").distinct()
+def _self_edits(u: DataFrame) -> DataFrame:
+    """``a, b`` (and their numbers) within the edits, of one list; a pair may come several times, in one order or the other."""
+    weights = materialize(place_weights(u))
+    dense = _dense_cuts(weights, u)
+    pairs = _edit_rows(u, u, cut_table(u, weights.where(~F.col("n").isin(*dense)) if dense else weights), own_list=True)
+    return pairs.unionByName(_dense_rows(u, dense)) if dense else pairs
 
 
 def _scored(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -388,10 +540,26 @@ def match_best(pairs: DataFrame) -> DataFrame:
     return pairs.join(best, "name").where(F.col("score") == F.col("_best")).drop("_best")
 
 
+def _numbered_forms(names: DataFrame) -> DataFrame:
+    """``norm, tokens, id`` of the distinct normal forms, stored once; the numbers follow the order of the forms."""
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms = names.select("norm", "tokens").distinct().repartitionByRange(n, "norm").sortWithinPartitions("norm")
+    return materialize(forms.withColumn("id", F.monotonically_increasing_id()))
+
+
+def _edge_rows(u: DataFrame) -> DataFrame:
+    """``a, b, a_id, b_id``: normal forms that match each other. Pairs within the edits pass the threshold by
+    their edits; those with a common rare token are scored."""
+    shared = _shared_tokens(u, u).where("norm < other").distinct()
+    tokens = _scored(shared, u, u).select(F.col("norm").alias("a"), F.col("other").alias("b"))
+    for side in ("a", "b"):
+        tokens = tokens.join(u.select(F.col("norm").alias(side), F.col("id").alias(f"{side}_id")).hint("merge"), side)
+    return _self_edits(u).unionByName(tokens)
+
+
 def name_edges(names: DataFrame) -> DataFrame:
     """Edges ``norm, other`` (norm the smaller) between normal forms that match each other."""
-    u = _distinct_forms(names)
-    return _scored(_self_candidates(u), u, u).select("norm", "other")
+    return _edge_rows(_numbered_forms(names)).select(F.least("a", "b").alias("norm"), F.greatest("a", "b").alias("other")).distinct()
 
 
 def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -64,6 +64,40 @@ def test_edit_candidates_are_complete(spark, names):
         assert found.count() < 20 * true.count()
 
 
+@pytest.mark.parametrize("names, kept", [(ending, 4), (near_endings, 3), (mixed, 2), (typos, 2), (alike, 3), (alike, 1)])
+def test_edges_by_several_segments_are_complete(spark, names, kept):
+    """Lengths at which many names meet ask for several segments at once; every pair within the edits is still found."""
+    rows = sorted(set(names(random.Random(5))))[:400]
+    if names is alike:
+        rows += ["\u00c9\u4e2d" * 5, "\u00c9\u4e2d" * 4 + "\u4e2d", "X" * 8, "X" * 7]
+    u = M._numbered_forms(spark.createDataFrame([(n, n.split()) for n in rows], "norm string, tokens array<string>"))
+    lengths = sorted({len(n) for n in rows if 7 <= len(n) < 45 and 15 * len(n) // 100 + kept <= len(n)})
+    dense = {n: (kept, M._equal_cuts(([3.0] * 8 + [0.02] * n)[:n], 15 * n // 100 + kept)) for n in lengths}
+    ids = {r.norm: r.id for r in u.collect()}
+    assert sorted(ids, key=ids.get) == sorted(rows, key=str.encode)
+    found = {(r.a, r.b) for r in M._dense_rows(u, dense).collect()}
+    assert all(len(a) < len(b) or len(a) == len(b) and a < b for a, b in found)
+    pairs = spark.createDataFrame([(a, b) for a in rows for b in rows if len(b) in dense and (len(a), a) < (len(b), b)], "a string, b string")
+    true = pairs.where(F.levenshtein("a", "b") <= F.floor(F.lit(15) * F.length("b") / 100))
+    assert found == {(r.a, r.b) for r in true.collect()} and found
+
+
+def test_many_names_of_one_length_ask_for_several_segments(spark):
+    rows = [(w, [w]) for w in sorted({word(random.Random(i), 8) + " COMERCIO DE ALIMENTOS" for i in range(6000)})]
+    u = M._numbered_forms(spark.createDataFrame(rows, "norm string, tokens array<string>"))
+    dense = M._dense_cuts(M.place_weights(u), u)
+    kept, cuts = dense[30]
+    assert kept > 1 and len(cuts) == 4 + kept and all(z >= 1 for _, z in cuts)
+    assert [s for s, _ in cuts] == [sum(z for _, z in cuts[:i]) for i in range(len(cuts))] and sum(z for _, z in cuts) == 30
+
+
+def test_pairs_within_the_edits_are_not_joined_with_the_names_again(spark):
+    names = spark.createDataFrame([(w, w, w.split()) for w in ending(random.Random(6))], "name string, norm string, tokens array<string>")
+    plan = M.name_edges(names)._jdf.queryExecution().optimizedPlan().toString()
+    last = plan[:plan.index("Union")]  # behind the union of pairs by edits and pairs by tokens
+    assert "Join" not in last and last.count("Aggregate") == 1, last
+
+
 def test_cuts_cover_every_name(spark):
     rnd = random.Random(4)
     rows = sorted(set(mixed(rnd) + typos(rnd) + alike(rnd)))
