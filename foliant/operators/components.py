@@ -9,6 +9,7 @@ union-find, since the time would otherwise go into starting tasks.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,52 @@ def _finish(batches):
             yield pa.RecordBatch.from_arrays([pa.array(us, kind), pa.array(vs, kind)], ["u", "v"])
 
 
+def _tree_edges(u, v):
+    """Of edges between numbers: each node but the smallest of a component, and that one."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u):]
+    least = np.arange(len(nodes))
+    while True:
+        a, b = least[a], least[b]
+        open_ = a != b
+        a, b = a[open_], b[open_]
+        if not len(a):
+            break
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while ((nearer := least[least]) != least).any():
+            least = nearer
+    other = least != np.arange(len(nodes))
+    return nodes[other], nodes[least[other]]
+
+
+def spanning_forest(edges: DataFrame, a: str = "u", b: str = "v", held: int = 2_000_000) -> DataFrame:
+    """``a, b``: edges of the same components, between numbers (long), before any exchange: each task keeps only
+    those that connect its nodes. A task holds up to ``held`` edges between two reductions; once its
+    trees are half as large, it gives them out and begins again."""
+    def reduce(batches):
+        us, vs, n = [], [], 0
+
+        def rows(u, v):
+            for i in range(0, len(u), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(u[i: i + 100_000], pa.int64()), pa.array(v[i: i + 100_000], pa.int64())], [a, b])
+
+        for batch in batches:
+            us.append(batch.column(0).to_numpy(zero_copy_only=False))
+            vs.append(batch.column(1).to_numpy(zero_copy_only=False))
+            n += batch.num_rows
+            if n >= held:
+                u, v = _tree_edges(np.concatenate(us), np.concatenate(vs))
+                us, vs, n = [u], [v], len(u)
+                if 2 * n >= held:
+                    yield from rows(u, v)
+                    us, vs, n = [], [], 0
+        if n:
+            yield from rows(*_tree_edges(np.concatenate(us), np.concatenate(vs)))
+
+    pairs = edges.select(F.col(a).cast("long").alias(a), F.col(b).cast("long").alias(b)).where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return pairs.mapInArrow(reduce, f"{a} long, {b} long")
+
+
 def _star(directed: DataFrame) -> DataFrame:
     """``u, v, m``: m is the smallest of u and all its v."""
     least = directed.groupBy("u").agg(F.min("v").alias("m"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.functions import strip_all
-from foliant.operators.components import connected_components
+from foliant.operators.components import connected_components, spanning_forest
 from foliant.operators.hierarchy import with_parent_id
 from foliant.operators.positional import with_global_index
 from foliant.session import REQUEST_BATCH_SIZE, materialize
@@ -570,6 +570,11 @@ def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def consolidate_names(names: DataFrame) -> DataFrame:
-    """``name -> master``: master = smallest normalised name of the cluster."""
-    labels = connected_labels(names, name_edges(names))
-    return names.select("name", "norm").join(labels.hint("merge"), "norm").select("name", F.col("label").alias("master"))
+    """``name -> master``: master = smallest normalised name of the cluster. The clusters are found on the
+    numbers of the names; of the edges only as many as connect the names are exchanged."""
+    u = _numbered_forms(names)
+    edges = spanning_forest(_edge_rows(u).select(F.col("a_id").alias("norm"), F.col("b_id").alias("other")), "norm", "other")
+    labels = connected_labels(u.select(F.col("id").alias("norm")), edges).select(F.col("norm").alias("id"), F.col("label").alias("_least"))
+    masters = labels.join(u.select("id", "norm").hint("merge"), "id") \
+        .join(u.select(F.col("id").alias("_least"), F.col("norm").alias("master")).hint("merge"), "_least").select("norm", "master")
+    return names.select("name", "norm").join(masters.hint("merge"), "norm").select("name", "master")

@@ -98,6 +98,20 @@ def test_pairs_within_the_edits_are_not_joined_with_the_names_again(spark):
     assert "Join" not in last and last.count("Aggregate") == 1, last
 
 
+def test_forest_keeps_components_and_few_edges(spark):
+    from foliant.operators.components import connected_components, spanning_forest
+    rnd = random.Random(7)
+    rows = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(5000)] + [(1000 + rnd.randrange(900), 1000 + rnd.randrange(900)) for _ in range(500)] \
+        + [(5000, 5000), (None, 3), (4, None)]
+    edges = spark.createDataFrame(rows, "x long, y long").repartition(3)
+    want = sorted(map(tuple, connected_components(edges, "x", "y").collect()))
+    for held in (40, 2_000_000):
+        forest = spanning_forest(edges, "x", "y", held).cache()
+        assert sorted(map(tuple, connected_components(forest, "x", "y").collect())) == want
+    assert forest.count() < 3 * 1200 < len(rows)
+    assert spanning_forest(edges.limit(0), "x", "y").count() == 0
+
+
 def test_cuts_cover_every_name(spark):
     rnd = random.Random(4)
     rows = sorted(set(mixed(rnd) + typos(rnd) + alike(rnd)))
