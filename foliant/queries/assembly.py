@@ -18,6 +18,7 @@ from foliant.sources import files as FL
 from foliant.sources import store as ST
 
 V = fx.with_views
+TEXT_FOLDERS = 512
 
 
 def _plan(spark, sf):
@@ -82,9 +83,10 @@ def q_read_text_lenient(spark, sf):
 
 
 def q_read_text_files(spark, sf):
-    """Texts written as files and read back whole (``binaryFile``)."""
+    """Texts written as files, dealt over folders so that tasks can list them, and read back whole."""
     path = scratch_dir(spark, "text-files")
-    docs = fx.fx_content(spark, sf).select(F.concat("file_id", F.lit(".txt")).alias("target"), F.lit(0).alias("n"), "text")
+    folder = F.pmod(F.xxhash64("file_id"), F.lit(TEXT_FOLDERS)).cast("string")
+    docs = fx.fx_content(spark, sf).select(F.concat(folder, F.lit("/"), "file_id", F.lit(".txt")).alias("target"), F.lit(0).alias("n"), "text")
     FL.write_named_files(docs, path, "target", ["n"], "text")
     return A.read_text_lenient(spark, path).select(F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("file_id"), "text")
 

@@ -7,6 +7,7 @@
   with a bounded buffer. Tasks write below a work folder of the job, with a list of their
   targets beside the files; the driver hears of one folder a task. Tasks then move the files
   of the finished folders to their names; a failed write leaves none.
+* ``read_whole_files``: whole files below a folder, listed and read by tasks.
 
 Files are opened through pyarrow's file systems by URI, on executors and driver alike.
 """
@@ -14,6 +15,7 @@ Files are opened through pyarrow's file systems by URI, on executors and driver
 from __future__ import annotations
 
 import json
+import os
 import posixpath
 import uuid
 from dataclasses import dataclass
@@ -253,3 +255,96 @@ def write_named_files(pieces: DataFrame, path: str, target: str, order_cols: lis
         _move_files(spark, path, work)
     finally:
         _remove(path, work)
+
+
+# -- whole files ---------------------------------------------------------------------
+
+#: Bytes of file contents that a reading task hands over at once (a longer file alone).
+READ_BATCH = 8 << 20
+
+
+def _entries(store, folder: str):
+    """``path, is_folder`` of what a folder holds, but for the names that Spark's readers leave out."""
+    from pyarrow import fs
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            rows = ((f.name, f.is_dir()) for f in found)
+            yield from ((posixpath.join(folder, name), is_folder) for name, is_folder in rows if not _left_out(name))
+    else:
+        for f in store.get_file_info(fs.FileSelector(folder)):
+            if not _left_out(f.base_name):
+                yield f.path, f.type == fs.FileType.Directory
+
+
+def _left_out(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _files_below(store, folder: str):
+    for path, is_folder in _entries(store, folder):
+        if is_folder:
+            yield from _files_below(store, path)
+        else:
+            yield path
+
+
+def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, content`` of every file below a folder (or of one file) that is not empty, as ``binaryFile`` gives
+    them. One task lists the folder itself, the folders in it are shared out and listed by tasks, and so are the
+    files to be read; the driver knows of none. A writer of very many files puts them into several folders.
+    A path with a pattern goes to ``binaryFile``."""
+    from pyarrow import fs
+    if any(c in path for c in "*?[{"):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place)
+    uri, shown = place.toUri().toString(), place.toString()
+    store, base = open_store(uri)
+    kind = store.get_file_info(base).type
+    if kind == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    prefix = shown.removesuffix(base)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def batches_of(rows, columns, kinds, size=lambda row: 1, most=10_000):
+        import pyarrow as pa
+        held, total = [], 0
+        for row in rows:
+            if held and total + size(row) > most:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], columns)
+                held, total = [], 0
+            held.append(row)
+            total += size(row)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], columns)
+
+    def top(batches):
+        import pyarrow as pa
+        store, _ = open_store(uri)
+        rows = (row for batch in batches for folder in batch.column(0).to_pylist() for row in _entries(store, folder))
+        yield from batches_of(rows, ["path", "is_folder"], [pa.string(), pa.bool_()])
+
+    def below(batches):
+        import pyarrow as pa
+        store, _ = open_store(uri)
+        found = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        rows = ((file,) for name, is_folder in found for file in (_files_below(store, name) if is_folder else [name]))
+        yield from batches_of(rows, ["path"], [pa.string()])
+
+    def read(batches):
+        import pyarrow as pa
+        store, _ = open_store(uri)
+
+        def contents():
+            for batch in batches:
+                for name in batch.column(0).to_pylist():
+                    with store.open_input_stream(name, compression=None) as stream:
+                        content = stream.read()
+                    if content:
+                        yield prefix + name, content
+        yield from batches_of(contents(), ["path", "content"], [pa.string(), pa.binary()], lambda row: len(row[1]) + 200, READ_BATCH)
+
+    start = spark.createDataFrame([(base,)], "path string")
+    if kind == fs.FileType.Directory:
+        start = start.mapInArrow(top, "path string, is_folder boolean").repartition(n, "path").mapInArrow(below, "path string")
+    return start.repartition(n, "path").mapInArrow(read, "path string, content binary")

@@ -4,6 +4,7 @@ import glob
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from foliant.operators import assembly as A
@@ -44,6 +45,25 @@ def test_read_text_lenient_drops_bad_bytes(spark):
     assert got == {"good.txt": "ação ok", "bad.txt": "abcdef"}
 
 
+def test_whole_files_are_listed_by_tasks(spark, tmp_path):
+    """The driver holds no list of the files; folders of any depth are read, hidden names left out, paths as Spark writes them."""
+    files = {f"{i % 7}/f{i}.txt": f"text {i}" for i in range(60)} | {"top.txt": "top", "a b%41/c#/deep.txt": "deep", "k=1/_x=2/p.txt": "part"}
+    for name, text in (files | {"empty.txt": "", "_hidden/h.txt": "no", ".h.txt": "no", "1/_SUCCESS": "no", "2/z._COPYING_": "no"}).items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    df = A.read_text_lenient(spark, str(tmp_path))
+    assert df.inputFiles() == []
+    assert sorted((r.path, r.text) for r in df.collect()) == sorted((f"file:{tmp_path}/{name}", text) for name, text in files.items())
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path)).select("path")
+    assert sorted(r.path for r in listed.collect()) == sorted(r.path for r in df.collect())
+    assert [r.text for r in A.read_text_lenient(spark, f"{tmp_path}/top.txt").collect()] == ["top"]
+    assert A.read_text_lenient(spark, f"{tmp_path}/1/*.txt").count() == 9
+    (tmp_path / "none").mkdir()
+    assert A.read_text_lenient(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(FileNotFoundError):
+        A.read_text_lenient(spark, f"{tmp_path}/absent")
+
+
 def test_stream_epoch_replay_is_skipped(spark):
     nodes = spark.createDataFrame([("root", None, "ROOT", FOLDER, None), ("a", "root", "a", "text/plain", 1)],
                                   "id string, parent_id string, name string, mime_type string, size long")
